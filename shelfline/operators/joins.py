@@ -1,0 +1,51 @@
+"""Left join that stays balanced when a few keys hold much of the left side."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# The heavy-key list is the only thing broadcast; this is its largest row count.
+HEAVY_KEYS = 1000
+
+
+def left_join_totals(
+    left: DataFrame,
+    totals: DataFrame,
+    key: str,
+    spread_by: Sequence[str],
+    pieces: int = 64,
+) -> DataFrame:
+    """``left`` LEFT JOIN ``totals`` on ``key``; ``totals`` has one row per key.
+
+    ``totals`` usually comes out of a ``groupBy(key)``, and Spark's run-time skew
+    split does not reach through that aggregate. So the at most ``HEAVY_KEYS``
+    most frequent keys of ``left`` are cut into ``pieces`` by a hash of
+    ``spread_by``, and only their rows in ``totals`` are repeated per piece. Any
+    key outside that list holds less than 1/``HEAVY_KEYS`` of ``left``. The hash
+    is a function of the row, so a recomputed task lands its rows as before.
+    """
+    heavy = (
+        left.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .count()
+        .where(F.col("count") > pieces)
+        .orderBy(F.desc("count"), key)
+        .limit(HEAVY_KEYS)
+        .select(key, F.lit(True).alias("_heavy"))
+    )
+    piece = F.pmod(F.xxhash64(*spread_by), F.lit(pieces)).cast("int")
+    left_cut = (
+        left.join(F.broadcast(heavy), key, "left")
+        .withColumn("_piece", F.when(F.col("_heavy"), piece).otherwise(F.lit(0)))
+        .drop("_heavy")
+    )
+    all_pieces = F.sequence(F.lit(0), F.lit(pieces - 1))
+    totals_cut = (
+        totals.join(F.broadcast(heavy), key, "left")
+        .withColumn("_piece", F.explode(F.when(F.col("_heavy"), all_pieces).otherwise(F.array(F.lit(0)))))
+        .drop("_heavy")
+    )
+    return left_cut.join(totals_cut, [key, "_piece"], "left").drop("_piece")
