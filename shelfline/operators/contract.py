@@ -167,6 +167,22 @@ def contract_report(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) ->
     return totals.select(F.inline(F.array(*rows)))
 
 
+def drift_columns(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) -> DataFrame:
+    """Columns the contract does not know, with the number of rows that fill them."""
+    known = {f.name for f in contract.fields}
+    unknown = sorted(set(df.columns) - known)
+    totals = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in unknown])
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.col("_rows").alias("row_count"), F.col(c).alias("filled_rows"))
+        for c in unknown
+    ]
+    if not rows:
+        return totals.select(
+            F.lit("").alias("column_name"), F.col("_rows").alias("row_count"), F.col("_rows").alias("filled_rows")
+        ).where(F.lit(False))
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def contract_gate(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) -> DataFrame:
     """``df`` as it is, or no rows at all when a critical rule is broken."""
     broken = contract_report(df, contract).where((F.col("severity") == CRITICAL) & (F.col("n") > 0))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import money, month_of, ratio
 from shelfline.operators.joins import left_join_totals
-from shelfline.sources.tables import read_layer, write_layer
+from shelfline.sources.tables import write_layer
 
 
 def _total(column: str) -> Column:
@@ -113,15 +113,13 @@ def month_over_month(channel_mart: DataFrame) -> DataFrame:
     )
 
 
-def build(spark: SparkSession, root: str) -> dict[str, int]:
-    """Rebuild all marts from silver; returns rows per mart."""
-    orders, customers, inventory = (
-        read_layer(spark, root, "silver", t) for t in ("orders", "customers", "inventory")
-    )
+def build(silver: dict[str, DataFrame], root: str) -> dict[str, int]:
+    """Rebuild all marts from the silver tables; returns rows per mart."""
+    orders = silver["orders"]
     marts = {
         "revenue_mart": revenue_mart(orders),
         "channel_performance_mart": channel_performance_mart(orders),
-        "customer_360_mart": customer_360_mart(orders, customers),
-        "inventory_turnover_mart": inventory_turnover_mart(inventory, orders),
+        "customer_360_mart": customer_360_mart(orders, silver["customers"]),
+        "inventory_turnover_mart": inventory_turnover_mart(silver["inventory"], orders),
     }
     return {name: write_layer(df, root, "gold", name) for name, df in marts.items()}

@@ -23,7 +23,7 @@ SCHEMA_FACET = "https://openlineage.io/spec/facets/1-0-0/SchemaDatasetFacet.json
 PARENT_FACET = "https://openlineage.io/spec/facets/1-0-0/ParentRunFacet.json"
 
 # What readers of the log need of an event; other parts are ignored.
-EVENT_SCHEMA = T.StructType.fromDDL(
+EVENT_SCHEMA = (
     "eventType string, eventTime string, run struct<runId: string>, "
     "job struct<namespace: string, name: string>, "
     "inputs array<struct<namespace: string, name: string>>, "

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from shelfline.names import BRONZE_TABLES, SILVER_TABLES
 from shelfline.operators.batches import Batch
 from shelfline.plans import bronze, gold, lineage, silver
 from shelfline.plans.catalog import LAYERS
@@ -14,15 +13,19 @@ from shelfline.plans.quality import layer_gate
 from shelfline.sources.tables import read_layer, table_path, write_table
 
 
+def layer_tables(spark: SparkSession, root: str, layer: str) -> dict[str, DataFrame]:
+    """The stored tables of a layer. Each is listed once and then used by all steps."""
+    return {table: read_layer(spark, root, layer, table) for table in LAYERS[layer]}
+
+
 @dataclass
 class RunResult:
     ingest: bronze.IngestResult
-    silver: dict[str, int]
-    gold: dict[str, int]
+    rows: dict[str, dict[str, int]]
+    tables: dict[str, dict[str, DataFrame]]
 
     def counts(self) -> list[tuple[str, str, int]]:
-        per_layer = {"bronze": self.ingest.rows, "silver": self.silver, "gold": self.gold}
-        return [(layer, table, n) for layer, rows in per_layer.items() for table, n in rows.items()]
+        return [(layer, table, n) for layer, rows in self.rows.items() for table, n in rows.items()]
 
 
 def run_layers(
@@ -36,20 +39,22 @@ def run_layers(
 ) -> RunResult:
     """Ingest ``feeds`` and rebuild silver and gold under ``root``."""
     ingested = bronze.ingest(spark, root, feeds, batch, reload=reload)
+    rows, tables = {"bronze": ingested.rows}, {"bronze": layer_tables(spark, root, "bronze")}
     if gates:
-        layer_gate({t: read_layer(spark, root, "bronze", t) for t in BRONZE_TABLES}, "bronze")
-    silver_rows = silver.build(spark, root, created_at)
+        layer_gate(tables["bronze"], "bronze")
+    rows["silver"] = silver.build(tables["bronze"], root, created_at)
+    tables["silver"] = layer_tables(spark, root, "silver")
     if gates:
-        layer_gate({t: read_layer(spark, root, "silver", t) for t in SILVER_TABLES}, "silver")
-    return RunResult(ingested, silver_rows, gold.build(spark, root))
+        layer_gate(tables["silver"], "silver")
+    rows["gold"] = gold.build(tables["silver"], root)
+    tables["gold"] = layer_tables(spark, root, "gold")
+    return RunResult(ingested, rows, tables)
 
 
-def log_lineage(spark: SparkSession, root: str, run_id: str, event_time: str) -> str:
+def log_lineage(spark: SparkSession, root: str, result: RunResult, run_id: str, event_time: str) -> str:
     """Append the events of a finished run to the event log; returns its path."""
     schemas = {
-        f"{layer}.{table}": read_layer(spark, root, layer, table).schema
-        for layer, tables in LAYERS.items()
-        for table in tables
+        f"{layer}.{table}": df.schema for layer, tables in result.tables.items() for table, df in tables.items()
     }
     path = table_path(root, "ops", "lineage_events")
     write_table(lineage.run_events(spark, schemas, run_id, event_time), path, mode="append")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import as_date, as_double, as_int, as_timestamp
@@ -18,7 +18,7 @@ from shelfline.names import (
     UNKNOWN,
 )
 from shelfline.operators.dedup import first_source, latest_per_key
-from shelfline.sources.tables import read_layer, write_layer
+from shelfline.sources.tables import write_layer
 
 
 def conform_storefront(bronze: DataFrame) -> DataFrame:
@@ -113,10 +113,10 @@ def in_period(table: DataFrame, first_day: str, last_day: str) -> DataFrame:
     return table.where(F.col("order_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
 
 
-def build(spark: SparkSession, root: str, created_at: Column | None = None) -> dict[str, int]:
-    """Rebuild all silver tables from bronze; returns rows per table."""
+def build(bronze: dict[str, DataFrame], root: str, created_at: Column | None = None) -> dict[str, int]:
+    """Rebuild all silver tables from the bronze ones; returns rows per table."""
     storefront, marketplace, stock = (
-        read_layer(spark, root, "bronze", t) for t in (STOREFRONT_TABLE, MARKETPLACE_TABLE, INVENTORY_TABLE)
+        bronze[t] for t in (STOREFRONT_TABLE, MARKETPLACE_TABLE, INVENTORY_TABLE)
     )
     tables = {
         "orders": orders(storefront, marketplace),

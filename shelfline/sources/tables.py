@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +42,19 @@ def read_layer(spark: SparkSession, root: str, layer: str, table: str, **options
     return read_table(spark, table_path(root, layer, table), **options)
 
 
+@contextmanager
+def _session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -52,18 +68,23 @@ def write_table(
 
     ``rebalance`` gathers the rows of a partition value to hold the file count
     down, and lets adaptive execution split a value that is too big for one task,
-    so a hot day or month does not end up in one writer. A batch that carries a
-    single partition value needs no gathering and is written from its own splits.
+    so a hot day or month does not end up in one writer. Small shuffle partitions
+    are not merged for such a write: that would save no files, and would put
+    thousands of days into one task. A batch that carries a single partition value
+    needs no gathering and is written from its own splits.
     """
     counter = Observation()
-    out = df.hint("rebalance", partition_by) if partition_by and rebalance else df
+    gather = bool(partition_by) and rebalance
+    out = df.hint("rebalance", partition_by) if gather else df
     out = out.observe(counter, F.count(F.lit(1)).alias("rows"))
     writer = out.write.format(fmt).mode(mode)
     if only_touched_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.save(path)
+    merge_small = "spark.sql.adaptive.coalescePartitions.enabled"
+    with _session_setting(df.sparkSession, merge_small, "false") if gather else nullcontext():
+        writer.save(path)
     return counter.get["rows"]
 
 
