@@ -1,70 +1,78 @@
-"""Column helpers shared by the layers. All of them stay inside Spark SQL."""
+"""Expressions shared by the layers, as SQL text.
+
+They are meant for ``selectExpr`` and ``expr``: a projection written that way is
+handed to Spark in one call, where a tree of ``Column`` objects takes dozens.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from shelfline.names import MONEY
 
 
-def as_double(name: str) -> Column:
+def as_double(name: str) -> str:
     """Number or text to double. Text that is no number, and NaN, become null."""
-    return F.nanvl(F.col(name).try_cast("double"), F.lit(None).cast("double"))
+    return f"nanvl(try_cast({name} AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
-def as_int(df: DataFrame, name: str) -> Column:
+def as_int(df: DataFrame, name: str) -> str:
     """Number or text to int; text such as ``79.0`` counts as a number."""
     if isinstance(df.schema[name].dataType, (T.StringType, T.DoubleType, T.FloatType)):
-        return as_double(name).try_cast("int")
-    return F.col(name).try_cast("int")
+        return f"try_cast({as_double(name)} AS INT)"
+    return f"try_cast({name} AS INT)"
 
 
-def as_date(name: str) -> Column:
+def as_date(name: str) -> str:
     """Date, timestamp or ISO text (with or without a time part) to date."""
-    return F.col(name).try_cast("date")
+    return f"try_cast({name} AS DATE)"
 
 
-def as_timestamp(name: str) -> Column:
-    return F.col(name).try_cast("timestamp")
+def as_timestamp(name: str) -> str:
+    return f"try_cast({name} AS TIMESTAMP)"
 
 
-def as_declared(df: DataFrame, name: str, kind: T.DataType) -> Column:
+def as_declared(df: DataFrame, name: str, kind: T.DataType) -> str:
     """``name`` as the type its feed declares; null where it cannot be read so."""
     if isinstance(kind, T.IntegerType):
-        return as_int(df, name)
-    return F.col(name).try_cast(kind)
+        return as_int(df, f"{name}")
+    return f"try_cast(`{name}` AS {kind.simpleString()})"
+
+
+def money(name: str) -> str:
+    return f"try_cast({name} AS {MONEY.simpleString()})"
+
+
+def total(name: str) -> str:
+    """Sum of money, independent of row order, as a double."""
+    return f"CAST(sum({money(name)}) AS DOUBLE)"
 
 
-def money(column: Column | str) -> Column:
-    column = F.col(column) if isinstance(column, str) else column
-    return column.try_cast(MONEY)
+def average(name: str) -> str:
+    """Average of the money values that are not null."""
+    return f"try_divide({total(name)}, CAST(count({money(name)}) AS DOUBLE))"
 
 
-def month_of(column: Column | str) -> Column:
+def month_of(name: str) -> str:
     """Month as ``yyyy-MM`` text, the partition key of the gold tables."""
-    return F.date_format(column, "yyyy-MM")
+    return f"date_format({name}, 'yyyy-MM')"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """``numerator / denominator``, or 0.0 unless the denominator is positive."""
-    return F.when(denominator > 0, F.try_divide(numerator, denominator)).otherwise(F.lit(0.0))
+    return f"CASE WHEN {denominator} > 0 THEN ({numerator}) / ({denominator}) ELSE CAST(0 AS DOUBLE) END"
 
 
-def padded_id(prefix: str, key: Column, width: int) -> Column:
+def padded_id(prefix: str, key: str, width: int) -> str:
     """``prefix`` + ``key`` with zeros in front up to ``width`` digits.
 
     Longer keys are kept whole (``lpad`` alone would cut them).
     """
-    digits = key.cast("string")
-    return F.concat(
-        F.lit(prefix),
-        F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits),
-    )
+    digits = f"CAST({key} AS STRING)"
+    return f"concat('{prefix}', CASE WHEN length({digits}) < {width} THEN lpad({digits}, {width}, '0') ELSE {digits} END)"
 
 
-def seconds_between(start: Column, end: Column) -> Column:
+def seconds_between(start: str, end: str) -> str:
     """Seconds from ``start`` to ``end`` with microseconds kept."""
-    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
-    return micros / F.lit(1e6)
+    return f"(unix_micros(CAST({end} AS TIMESTAMP)) - unix_micros(CAST({start} AS TIMESTAMP))) / 1e6D"

@@ -119,7 +119,7 @@ def contract_report(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) ->
     rules: list[tuple[str, str, str, str, Column]] = []
     for f in present:
         kind = SPARK_TYPES[f.type]
-        typed[f.name] = as_declared(df, f.name, kind)
+        typed[f.name] = F.expr(as_declared(df, f.name, kind))
         flags[f"_missing_{f.name}"] = _is_missing(df, f.name)
         if f.required:
             rules.append((

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,9 +25,10 @@ def latest_per_key(
     """
     if tie_breaks is None:
         tie_breaks = [c for c in df.columns if c not in {*keys, order_col}]
-    newest_first = [F.col(c).desc_nulls_last() for c in (order_col, *tie_breaks)]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
-    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
+    newest_first = ", ".join(f"`{c}` DESC NULLS LAST" for c in (order_col, *tie_breaks))
+    per_key = ", ".join(f"`{c}`" for c in keys)
+    rank = F.expr(f"row_number() OVER (PARTITION BY {per_key} ORDER BY {newest_first})")
+    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def first_source(feeds: Sequence[tuple[str, DataFrame]], key: str) -> DataFrame:
@@ -38,12 +39,12 @@ def first_source(feeds: Sequence[tuple[str, DataFrame]], key: str) -> DataFrame:
     """
     union: DataFrame | None = None
     for priority, (_, feed) in enumerate(feeds):
-        part = feed.select(key, F.lit(priority).alias("_priority"))
+        part = feed.selectExpr(key, f"{priority} AS _priority")
         union = part if union is None else union.unionByName(part)
-    labels = F.array(*[F.lit(label) for label, _ in feeds])
+    labels = ", ".join(f"'{label}'" for label, _ in feeds)
     return (
-        union.where(F.col(key).isNotNull())
+        union.where(f"{key} IS NOT NULL")
         .groupBy(key)
         .agg(F.min("_priority").alias("_priority"))
-        .select(key, F.get(labels, F.col("_priority")).alias("source"))
+        .selectExpr(key, f"get(array({labels}), _priority) AS source")
     )

@@ -23,31 +23,29 @@ _SLOTS = 10_000
 _STEP = 7919  # shares no factor with the slot count, so every slot is reached once
 
 
-def hit(key: str, rate: float, shift: int = 0) -> Column:
-    """True for ``rate`` of all keys; another ``shift`` hits other keys."""
-    slot = F.pmod(F.pmod(F.col(key), F.lit(_SLOTS)) * _STEP + shift, F.lit(_SLOTS))
-    return slot < round(rate * _SLOTS)
+def hit(key: str, rate: float, shift: int = 0) -> str:
+    """SQL predicate, true for ``rate`` of all keys; another ``shift`` hits other keys."""
+    return f"(pmod(pmod({key}, {_SLOTS}) * {_STEP} + {shift}, {_SLOTS}) < {round(rate * _SLOTS)})"
 
 
 def _hit(df: DataFrame, key: str, rate: float, shift: int, at_least_one: bool) -> Column:
-    if not at_least_one:
-        return hit(key, rate, shift)
-    return hit(key, rate, shift) | (F.col(key) == df.agg(F.min(key)).scalar())
+    by_rate = F.expr(hit(key, rate, shift))
+    return by_rate | (F.col(key) == df.agg(F.min(key)).scalar()) if at_least_one else by_rate
 
 
 def inject_nulls(
     df: DataFrame, columns: Sequence[str], key: str, rate: float = NULL_RATE, shift: int = 0
 ) -> DataFrame:
     """Null out ``columns`` on a share of the rows."""
-    return df.withColumns({c: F.when(~hit(key, rate, shift), F.col(c)) for c in columns})
+    return df.withColumns({c: F.expr(f"CASE WHEN NOT {hit(key, rate, shift)} THEN `{c}` END") for c in columns})
 
 
 def inject_duplicates(
     df: DataFrame, key: str, rate: float = DUPLICATE_RATE, shift: int = 0, at_least_one: bool = False
 ) -> DataFrame:
     """Repeat a share of the rows once, in one pass over the input."""
-    copies = F.when(_hit(df, key, rate, shift, at_least_one), F.array(F.lit(0), F.lit(1)))
-    return df.withColumn("_copy", F.explode(copies.otherwise(F.array(F.lit(0))))).drop("_copy")
+    copies = F.when(_hit(df, key, rate, shift, at_least_one), F.expr("array(0, 1)")).otherwise(F.expr("array(0)"))
+    return df.withColumn("_copy", F.explode(copies)).drop("_copy")
 
 
 def inject_late_arrivals(
@@ -59,12 +57,9 @@ def inject_late_arrivals(
     at_least_one: bool = False,
 ) -> DataFrame:
     """Move the date of a share of the rows back by one to three days."""
-    days = (F.pmod(F.col(key), F.lit(MAX_LATE_DAYS)) + 1).cast("int")
-    moved = (
-        F.date_sub(date_column, days)
-        if isinstance(df.schema[date_column].dataType, T.DateType)
-        else F.col(date_column) - F.make_dt_interval(days)
-    )
+    days = f"CAST(pmod({key}, {MAX_LATE_DAYS}) + 1 AS INT)"
+    is_date = isinstance(df.schema[date_column].dataType, T.DateType)
+    moved = F.expr(f"date_sub({date_column}, {days})" if is_date else f"{date_column} - make_dt_interval({days})")
     late = _hit(df, key, rate, shift, at_least_one)
     return df.withColumn(date_column, F.when(late, moved).otherwise(F.col(date_column)))
 
@@ -78,5 +73,5 @@ def inject_schema_drift(
     at_least_one: bool = False,
 ) -> DataFrame:
     """Add a column the contract does not know, filled on a share of the rows."""
-    code = F.concat(F.lit("PROMO-"), F.lpad(F.pmod(F.col(key), F.lit(10_000)).cast("string"), 4, "0"))
+    code = F.expr(f"concat('PROMO-', lpad(CAST(pmod({key}, 10000) AS STRING), 4, '0'))")
     return df.withColumn(column, F.when(_hit(df, key, rate, shift, at_least_one), code))

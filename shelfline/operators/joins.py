@@ -27,25 +27,17 @@ def left_join_totals(
     key outside that list holds less than 1/``HEAVY_KEYS`` of ``left``. The hash
     is a function of the row, so a recomputed task lands its rows as before.
     """
-    heavy = (
-        left.where(F.col(key).isNotNull())
+    heavy = F.broadcast(
+        left.where(f"{key} IS NOT NULL")
         .groupBy(key)
         .count()
-        .where(F.col("count") > pieces)
+        .where(f"count > {pieces}")
         .orderBy(F.desc("count"), key)
         .limit(HEAVY_KEYS)
-        .select(key, F.lit(True).alias("_heavy"))
-    )
-    piece = F.pmod(F.xxhash64(*spread_by), F.lit(pieces)).cast("int")
-    left_cut = (
-        left.join(F.broadcast(heavy), key, "left")
-        .withColumn("_piece", F.when(F.col("_heavy"), piece).otherwise(F.lit(0)))
-        .drop("_heavy")
-    )
-    all_pieces = F.sequence(F.lit(0), F.lit(pieces - 1))
-    totals_cut = (
-        totals.join(F.broadcast(heavy), key, "left")
-        .withColumn("_piece", F.explode(F.when(F.col("_heavy"), all_pieces).otherwise(F.array(F.lit(0)))))
-        .drop("_heavy")
+        .selectExpr(key, "TRUE AS _heavy")
     )
+    piece = f"CASE WHEN _heavy THEN CAST(pmod(xxhash64({', '.join(spread_by)}), {pieces}) AS INT) ELSE 0 END"
+    every_piece = f"explode(CASE WHEN _heavy THEN sequence(0, {pieces - 1}) ELSE array(0) END)"
+    left_cut = left.join(heavy, key, "left").withColumn("_piece", F.expr(piece)).drop("_heavy")
+    totals_cut = totals.join(heavy, key, "left").withColumn("_piece", F.expr(every_piece)).drop("_heavy")
     return left_cut.join(totals_cut, [key, "_piece"], "left").drop("_piece")

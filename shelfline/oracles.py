@@ -631,7 +631,6 @@ FROM events, {_EVENT_FIELDS} GROUP BY 1, 2, 3""",
         ]
     ) + _latest("seen"),
     "compact_partition": sql(
-        f"SELECT order_date, COUNT(*) AS row_count FROM silver_orders WHERE order_date {_IN_PERIOD} GROUP BY order_date",
-        "silver_orders",
+        "SELECT order_month, COUNT(*) AS row_count FROM revenue_mart GROUP BY order_month", "revenue_mart"
     ),
 }

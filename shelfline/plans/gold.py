@@ -2,71 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.functions.columns import money, month_of, ratio
+from shelfline.functions.columns import average, month_of, ratio, total
 from shelfline.operators.joins import left_join_totals
 from shelfline.sources.tables import write_layer
 
 
-def _total(column: str) -> Column:
-    return F.sum(money(column)).cast("double")
-
-
-def _average(column: str) -> Column:
-    return F.try_divide(_total(column), F.count(money(column)).cast("double"))
-
-
 def revenue_mart(orders: DataFrame) -> DataFrame:
     """Revenue on any day by channel and order status."""
     return (
         orders.groupBy("order_date", "channel", "order_status")
         .agg(
-            _total("revenue").alias("total_revenue"),
-            F.sum("quantity").alias("total_quantity"),
-            F.count("order_id").alias("order_count"),
-            _average("revenue").alias("avg_order_value"),
+            F.expr(f"{total('revenue')} AS total_revenue"),
+            F.expr("sum(quantity) AS total_quantity"),
+            F.expr("count(order_id) AS order_count"),
+            F.expr(f"{average('revenue')} AS avg_order_value"),
         )
-        .withColumn("order_month", month_of("order_date"))
-        .where(F.col("total_revenue") >= 0)
+        .withColumn("order_month", F.expr(month_of("order_date")))
+        .where("total_revenue >= 0")
     )
 
 
 def channel_performance_mart(orders: DataFrame) -> DataFrame:
     """Monthly figures per channel; ``unknown`` counts as one customer."""
-    return (
-        orders.groupBy(month_of("order_date").alias("order_month"), "channel")
-        .agg(
-            _total("revenue").alias("total_revenue"),
-            F.sum("quantity").alias("total_units_sold"),
-            F.count("order_id").alias("total_orders"),
-            _average("revenue").alias("avg_order_value"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-        )
+    return orders.groupBy(F.expr(f"{month_of('order_date')} AS order_month"), "channel").agg(
+        F.expr(f"{total('revenue')} AS total_revenue"),
+        F.expr("sum(quantity) AS total_units_sold"),
+        F.expr("count(order_id) AS total_orders"),
+        F.expr(f"{average('revenue')} AS avg_order_value"),
+        F.expr("count(DISTINCT customer_id) AS unique_customers"),
     )
 
 
 def customer_360_mart(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Lifetime figures of every known customer, buying or not."""
     metrics = (
-        orders.where(F.col("customer_id").isNotNull())
+        orders.where("customer_id IS NOT NULL")
         .groupBy("customer_id")
         .agg(
-            _total("revenue").alias("lifetime_revenue"),
-            F.count("order_id").alias("total_orders"),
-            F.sum("quantity").alias("total_units_purchased"),
-            _average("revenue").alias("avg_order_value"),
-            F.min("order_date").alias("first_order_date"),
-            F.max("order_date").alias("last_order_date"),
-            F.count_distinct("channel").alias("channels_used"),
+            F.expr(f"{total('revenue')} AS lifetime_revenue"),
+            F.expr("count(order_id) AS total_orders"),
+            F.expr("sum(quantity) AS total_units_purchased"),
+            F.expr(f"{average('revenue')} AS avg_order_value"),
+            F.expr("min(order_date) AS first_order_date"),
+            F.expr("max(order_date) AS last_order_date"),
+            F.expr("count(DISTINCT channel) AS channels_used"),
         )
     )
     return customers.join(metrics, "customer_id", "left").withColumns(
         {
-            "lifetime_revenue": F.coalesce("lifetime_revenue", F.lit(0.0)),
-            "total_orders": F.coalesce("total_orders", F.lit(0).cast("bigint")),
-            "order_month": month_of("last_order_date"),
+            "lifetime_revenue": F.expr("coalesce(lifetime_revenue, CAST(0 AS DOUBLE))"),
+            "total_orders": F.expr("coalesce(total_orders, 0L)"),
+            "order_month": F.expr(month_of("last_order_date")),
         }
     )
 
@@ -77,18 +66,18 @@ def units_sold(orders: DataFrame) -> DataFrame:
 
 def inventory_turnover_mart(inventory: DataFrame, orders: DataFrame) -> DataFrame:
     """Units sold against stock; each warehouse shows the product's full sales."""
-    sold = F.coalesce("total_units_sold", F.lit(0).cast("bigint"))
-    return left_join_totals(inventory, units_sold(orders), "product_id", ["inventory_id"]).select(
+    sold = "coalesce(total_units_sold, 0L)"
+    return left_join_totals(inventory, units_sold(orders), "product_id", ["inventory_id"]).selectExpr(
         "inventory_id",
         "product_id",
         "warehouse_id",
         "quantity_available",
         "quantity_reserved",
-        (F.col("quantity_available") - F.col("quantity_reserved")).alias("net_available"),
-        sold.alias("total_units_sold"),
-        ratio(sold, F.col("quantity_available")).alias("turnover_ratio"),
+        "quantity_available - quantity_reserved AS net_available",
+        f"{sold} AS total_units_sold",
+        f"{ratio(sold, 'quantity_available')} AS turnover_ratio",
         "last_updated",
-        month_of("last_updated").alias("order_month"),
+        f"{month_of('last_updated')} AS order_month",
     )
 
 

@@ -34,7 +34,7 @@ def run_durations(runs: DataFrame, now: Column) -> DataFrame:
         .select(
             F.col("execution_date").alias("time"),
             F.col("dag_id").alias("metric"),
-            seconds_between(F.col("start_date"), F.col("end_date")).alias("value"),
+            F.expr(f"{seconds_between('start_date', 'end_date')} AS value"),
         )
         .orderBy("time", "metric", "value")
     )

@@ -22,29 +22,29 @@ from shelfline.sources.tables import write_layer
 
 
 def conform_storefront(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
+    return bronze.selectExpr(
         "order_id",
         "customer_id",
         "product_id",
-        as_date("order_date").alias("order_date"),
-        as_int(bronze, "quantity").alias("quantity"),
-        as_double("revenue").alias("revenue"),
-        F.coalesce("order_status", F.lit(UNKNOWN)).alias("order_status"),
-        F.lit(STOREFRONT).alias("channel"),
+        f"{as_date('order_date')} AS order_date",
+        f"{as_int(bronze, 'quantity')} AS quantity",
+        f"{as_double('revenue')} AS revenue",
+        f"coalesce(order_status, '{UNKNOWN}') AS order_status",
+        f"'{STOREFRONT}' AS channel",
     )
 
 
 def conform_marketplace(bronze: DataFrame) -> DataFrame:
     """Marketplace lines; this source has no status, and may lack the customer."""
-    return bronze.select(
-        F.col("marketplace_order_id").alias("order_id"),
-        F.coalesce("customer_id", F.lit(UNKNOWN)).alias("customer_id"),
-        F.col("sku").alias("product_id"),
-        as_date("order_timestamp").alias("order_date"),
-        as_int(bronze, "quantity").alias("quantity"),
-        as_double("revenue").alias("revenue"),
-        F.lit(UNKNOWN).alias("order_status"),
-        F.lit(MARKETPLACE).alias("channel"),
+    return bronze.selectExpr(
+        "marketplace_order_id AS order_id",
+        f"coalesce(customer_id, '{UNKNOWN}') AS customer_id",
+        "sku AS product_id",
+        f"{as_date('order_timestamp')} AS order_date",
+        f"{as_int(bronze, 'quantity')} AS quantity",
+        f"{as_double('revenue')} AS revenue",
+        f"'{UNKNOWN}' AS order_status",
+        f"'{MARKETPLACE}' AS channel",
     )
 
 
@@ -52,7 +52,7 @@ def orders(storefront: DataFrame, marketplace: DataFrame) -> DataFrame:
     """Lines of both channels, newest version of each (order_id, channel)."""
     lines = conform_storefront(storefront).unionByName(conform_marketplace(marketplace))
     return latest_per_key(
-        lines.where(F.col("order_id").isNotNull()),
+        lines.where("order_id IS NOT NULL"),
         keys=["order_id", "channel"],
         order_col="order_date",
         tie_breaks=["revenue", "quantity", "product_id", "customer_id", "order_status"],
@@ -86,15 +86,14 @@ def products(
 
 def inventory(inventory_feed: DataFrame) -> DataFrame:
     """Newest stock position per inventory_id."""
-    positions = inventory_feed.where(F.col("inventory_id").isNotNull()).select(
+    reserved = as_int(inventory_feed, "quantity_reserved")
+    positions = inventory_feed.where("inventory_id IS NOT NULL").selectExpr(
         "inventory_id",
         "product_id",
         "warehouse_id",
-        as_int(inventory_feed, "quantity_available").alias("quantity_available"),
-        F.when(F.col("quantity_reserved").isNull(), F.lit(0))
-        .otherwise(as_int(inventory_feed, "quantity_reserved"))
-        .alias("quantity_reserved"),
-        as_timestamp("last_updated").alias("last_updated"),
+        f"{as_int(inventory_feed, 'quantity_available')} AS quantity_available",
+        f"CASE WHEN quantity_reserved IS NULL THEN 0 ELSE {reserved} END AS quantity_reserved",
+        f"{as_timestamp('last_updated')} AS last_updated",
     )
     return (
         latest_per_key(
@@ -103,7 +102,7 @@ def inventory(inventory_feed: DataFrame) -> DataFrame:
             order_col="last_updated",
             tie_breaks=["quantity_available", "quantity_reserved", "product_id", "warehouse_id"],
         )
-        .withColumn("order_date", as_date("last_updated"))
+        .withColumn("order_date", F.expr(as_date("last_updated")))
         .select(*INVENTORY_COLUMNS)
     )
 

@@ -56,12 +56,11 @@ def _now():
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.orders(derived.raw_storefront(spark, folder), derived.raw_marketplace(spark, folder))
+    return silver.orders(*derived.raw_sales(spark, folder))
 
 
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    dimension = silver.customers(derived.raw_storefront(spark, folder), derived.raw_marketplace(spark, folder))
-    return dimension.drop("_created_at")
+    return silver.customers(*derived.raw_sales(spark, folder)).drop("_created_at")
 
 
 def _products(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,10 +139,8 @@ def bronze_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def bronze_replay(spark: SparkSession, folder: str) -> DataFrame:
-    root = new_run_root(spark, "replay")
-    write_layer(derived.storefront_history(spark, folder), root, "bronze", STOREFRONT_TABLE, mode="append")
-    stored = read_layer(spark, root, "bronze", STOREFRONT_TABLE)
-    return bronze.arrived_on(stored, REPLAY_DAY).drop("_ingestion_timestamp", "_source_system")
+    storefront, _ = derived.sales_history(spark, folder)
+    return bronze.arrived_on(storefront, REPLAY_DAY).drop("_ingestion_timestamp", "_source_system")
 
 
 @query
@@ -261,19 +258,14 @@ def silver_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def silver_period(spark: SparkSession, folder: str) -> DataFrame:
-    root = new_run_root(spark, "period")
-    write_layer(_orders(spark, folder), root, "silver", "orders")
-    stored = read_layer(spark, root, "silver", "orders")
-    return silver.in_period(stored, *PERIOD)
+    return silver.in_period(_orders(spark, folder), *PERIOD)
 
 
 @query
 def silver_as_of(spark: SparkSession, folder: str) -> DataFrame:
     """Silver orders as they were at the end of a day, from that day's bronze."""
-    return silver.orders(
-        bronze.arrived_until(derived.storefront_history(spark, folder), AS_OF_DAY),
-        bronze.arrived_until(derived.marketplace_history(spark, folder), AS_OF_DAY),
-    )
+    history = derived.sales_history(spark, folder)
+    return silver.orders(*[bronze.arrived_until(feed, AS_OF_DAY) for feed in history])
 
 
 # gold
@@ -291,7 +283,8 @@ def channel_performance_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def customer_360_mart(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.customer_360_mart(_orders(spark, folder), _customers(spark, folder))
+    sales = derived.raw_sales(spark, folder)
+    return gold.customer_360_mart(silver.orders(*sales), silver.customers(*sales).drop("_created_at"))
 
 
 @query
@@ -402,7 +395,8 @@ def referential_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def late_arrival_profile_query(spark: SparkSession, folder: str) -> DataFrame:
-    return late_arrival_profile(derived.storefront_history(spark, folder), "order_date")
+    storefront, _ = derived.sales_history(spark, folder)
+    return late_arrival_profile(storefront, "order_date")
 
 
 # run health
@@ -435,25 +429,19 @@ def runs_failed_total(spark: SparkSession, folder: str) -> DataFrame:
 def lineage_events(spark: SparkSession, folder: str) -> DataFrame:
     """Event log with one finished run per row of ``events``."""
     events = derived.table(spark, folder, "events")
-    fields = F.array(
-        *[
-            F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString().upper()).alias("type"))
-            for f in events.schema
-        ]
+    fields = ", ".join(
+        f"named_struct('name', '{f.name}', 'type', '{f.dataType.simpleString().upper()}')" for f in events.schema
     )
-    kind = F.col("event_type")
     return events.select(
         "event_id",
         lineage.event_json(
-            run_id=F.concat(F.lit("run-"), F.col("event_id").cast("string")),
-            parent_run_id=F.concat(F.lit("day-"), F.date_format("ts", "yyyy-MM-dd")),
-            event_time=F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00")),
-            job=kind,
-            inputs=F.array(
-                F.concat(F.lit("src."), kind), F.concat(F.lit("u"), F.col("user_id").cast("string"))
-            ),
-            output=F.concat(F.lit("out."), kind),
-            fields=fields,
+            run_id=F.expr("concat('run-', event_id)"),
+            parent_run_id=F.expr("concat('day-', date_format(ts, 'yyyy-MM-dd'))"),
+            event_time=F.expr("concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\"), '+00:00')"),
+            job=F.col("event_type"),
+            inputs=F.expr("array(concat('src.', event_type), concat('u', user_id))"),
+            output=F.expr("concat('out.', event_type)"),
+            fields=F.expr(f"array({fields})"),
         ).alias("event"),
     )
 
@@ -505,13 +493,12 @@ def catalog_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def compact_partition(spark: SparkSession, folder: str) -> DataFrame:
-    """A period of silver orders, rewritten into fewer files."""
+    """The revenue mart stored in many small files, rewritten into few per month."""
     root = new_run_root(spark, "compact")
-    scattered = f"{root}/scattered"
-    write_table(_orders(spark, folder), scattered, partition_by="order_date", rebalance=False)
-    period = F.col("order_date").between(*[F.lit(d).cast("date") for d in PERIOD])
-    compact(spark, scattered, f"{root}/compacted", "order_date", where=period)
-    return spark.read.parquet(f"{root}/compacted").groupBy("order_date").agg(F.count(F.lit(1)).alias("row_count"))
+    mart = gold.revenue_mart(_orders(spark, folder))
+    write_table(mart, f"{root}/scattered", partition_by="order_month", rebalance=False)
+    compact(spark, f"{root}/scattered", f"{root}/compacted", "order_month")
+    return spark.read.parquet(f"{root}/compacted").groupBy("order_month").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 # Functions above that would hide an operator of the same name carry a suffix.

@@ -8,7 +8,7 @@ by itself. Nulls, the drift column and late dates are put in by key rules.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import padded_id
@@ -31,143 +31,154 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _lines(spark: SparkSession, folder: str, routed: Column) -> DataFrame:
-    lines = table(spark, folder, "lineitem").where(routed)
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with their order. Both feeds are cut from this one frame."""
+    lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
-        KEY, F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    )
+    # Both tables grow with the data, so neither is broadcast; a hot order key is
+    # split by the adaptive skew join.
+    return lines.join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey"))
 
 
-def _line_id(prefix: str) -> Column:
-    return F.concat(padded_id(prefix, F.col("l_orderkey"), 6), F.lit("-"), F.col("l_linenumber").cast("string"))
+_LINE_KEY = f"l_orderkey * 10 + l_linenumber AS {KEY}"
+_CUSTOMER = f"{padded_id('CUST-', 'o_custkey', 5)} AS customer_id"
+_PRODUCT = padded_id("PROD-", "l_partkey", 4)
 
 
-def clean_storefront(spark: SparkSession, folder: str) -> DataFrame:
-    """Storefront lines without defects, with their key."""
-    status = F.col("o_orderstatus")
-    return _lines(spark, folder, ~F.col("l_returnflag").eqNullSafe("R")).select(
-        KEY,
-        _line_id("SHOP-").alias("order_id"),
-        padded_id("CUST-", F.col("o_custkey"), 5).alias("customer_id"),
-        padded_id("PROD-", F.col("l_partkey"), 4).alias("product_id"),
-        F.col("l_shipdate").cast("date").alias("order_date"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").alias("revenue"),
-        F.when(status == "F", "delivered")
-        .when(status == "O", "placed")
-        .when(status == "P", "shipped")
-        .alias("order_status"),
+def _line_id(prefix: str) -> str:
+    return f"concat({padded_id(prefix, 'l_orderkey', 6)}, '-', l_linenumber)"
+
+
+def _clean_storefront(lines: DataFrame) -> DataFrame:
+    return lines.where("NOT l_returnflag <=> 'R'").selectExpr(
+        _LINE_KEY,
+        f"{_line_id('SHOP-')} AS order_id",
+        _CUSTOMER,
+        f"{_PRODUCT} AS product_id",
+        "CAST(l_shipdate AS DATE) AS order_date",
+        "CAST(l_quantity AS INT) AS quantity",
+        "l_extendedprice AS revenue",
+        "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'placed' WHEN 'P' THEN 'shipped' END AS order_status",
     )
 
 
-def clean_marketplace(spark: SparkSession, folder: str) -> DataFrame:
-    """Marketplace lines without defects, with their key."""
-    return _lines(spark, folder, F.col("l_returnflag").eqNullSafe("R")).select(
-        KEY,
-        _line_id("AMZN-").alias("marketplace_order_id"),
-        padded_id("CUST-", F.col("o_custkey"), 5).alias("customer_id"),
-        padded_id("PROD-", F.col("l_partkey"), 4).alias("sku"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").alias("revenue"),
-        F.col("l_shipdate").alias("order_timestamp"),
+def _clean_marketplace(lines: DataFrame) -> DataFrame:
+    return lines.where("l_returnflag <=> 'R'").selectExpr(
+        _LINE_KEY,
+        f"{_line_id('AMZN-')} AS marketplace_order_id",
+        _CUSTOMER,
+        f"{_PRODUCT} AS sku",
+        "CAST(l_quantity AS INT) AS quantity",
+        "l_extendedprice AS revenue",
+        "l_shipdate AS order_timestamp",
     )
 
 
-def _damaged_storefront(spark: SparkSession, folder: str) -> DataFrame:
-    return inject_schema_drift(inject_nulls(clean_storefront(spark, folder), ["order_status"], KEY), KEY)
+def _damaged_storefront(lines: DataFrame) -> DataFrame:
+    return inject_schema_drift(inject_nulls(_clean_storefront(lines), ["order_status"], KEY), KEY)
+
+
+def _damaged_marketplace(lines: DataFrame) -> DataFrame:
+    return inject_nulls(_clean_marketplace(lines), ["customer_id"], KEY)
 
 
-def _damaged_marketplace(spark: SparkSession, folder: str) -> DataFrame:
-    return inject_nulls(clean_marketplace(spark, folder), ["customer_id"], KEY)
+def clean_storefront(spark: SparkSession, folder: str) -> DataFrame:
+    """Storefront lines without defects, with their key."""
+    return _clean_storefront(order_lines(spark, folder))
+
+
+def clean_marketplace(spark: SparkSession, folder: str) -> DataFrame:
+    """Marketplace lines without defects, with their key."""
+    return _clean_marketplace(order_lines(spark, folder))
 
 
 def raw_storefront(spark: SparkSession, folder: str) -> DataFrame:
-    return _damaged_storefront(spark, folder).drop(KEY)
+    return _damaged_storefront(order_lines(spark, folder)).drop(KEY)
 
 
 def raw_marketplace(spark: SparkSession, folder: str) -> DataFrame:
-    return _damaged_marketplace(spark, folder).drop(KEY)
+    return _damaged_marketplace(order_lines(spark, folder)).drop(KEY)
+
+
+def raw_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Storefront and marketplace feed."""
+    lines = order_lines(spark, folder)
+    return _damaged_storefront(lines).drop(KEY), _damaged_marketplace(lines).drop(KEY)
 
 
 def raw_inventory(spark: SparkSession, folder: str) -> DataFrame:
     """Stock positions per part; some are sent again later with new figures."""
-    key = F.col("p_partkey")
-    copies = F.when(hit("p_partkey", 0.02, COPY_SHIFT), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    resent = F.col("_copy") == 1
-    first_seen = F.when(F.pmod(key, F.lit(2)) == 0, "2001-10-30 10:00:00").otherwise("2001-11-02 11:30:00")
-    never_sold = F.when(F.pmod(key, F.lit(40)) == 0, key + 1_000_000).otherwise(key)
+    resent = hit("p_partkey", 0.02, COPY_SHIFT)
+    never_sold = "CASE WHEN p_partkey % 40 = 0 THEN p_partkey + 1000000 ELSE p_partkey END"
     return (
         table(spark, folder, "part")
-        .select("p_partkey", "p_size", F.explode(copies).alias("_copy"))
-        .select(
-            padded_id("INV-", key, 5).alias("inventory_id"),
-            padded_id("PROD-", never_sold, 4).alias("product_id"),
-            padded_id("WH-", F.pmod(key, F.lit(5)) + 1, 2).alias("warehouse_id"),
-            ((F.col("p_size") - 1) * 20 + F.col("_copy") * 5).alias("quantity_available"),
-            F.when(resent, F.lit(3))
-            .when(~hit("p_partkey", 0.03), F.pmod(key, F.lit(100)).cast("int"))
-            .alias("quantity_reserved"),
-            F.when(resent, "2001-11-03 09:00:00").otherwise(first_seen).cast("timestamp").alias("last_updated"),
+        .selectExpr(
+            "p_partkey", "p_size", f"explode(CASE WHEN {resent} THEN array(0, 1) ELSE array(0) END) AS _copy"
+        )
+        .selectExpr(
+            f"{padded_id('INV-', 'p_partkey', 5)} AS inventory_id",
+            f"{padded_id('PROD-', never_sold, 4)} AS product_id",
+            f"{padded_id('WH-', '(p_partkey % 5 + 1)', 2)} AS warehouse_id",
+            "(p_size - 1) * 20 + _copy * 5 AS quantity_available",
+            f"CASE WHEN _copy = 1 THEN 3 WHEN NOT {hit('p_partkey', 0.03)} THEN CAST(p_partkey % 100 AS INT) END "
+            "AS quantity_reserved",
+            "CAST(CASE WHEN _copy = 1 THEN '2001-11-03 09:00:00' WHEN p_partkey % 2 = 0 THEN '2001-10-30 10:00:00' "
+            "ELSE '2001-11-02 11:30:00' END AS TIMESTAMP) AS last_updated",
         )
     )
 
 
 def raw_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    storefront, marketplace = raw_sales(spark, folder)
     return {
-        STOREFRONT_TABLE: raw_storefront(spark, folder),
-        MARKETPLACE_TABLE: raw_marketplace(spark, folder),
+        STOREFRONT_TABLE: storefront,
+        MARKETPLACE_TABLE: marketplace,
         INVENTORY_TABLE: raw_inventory(spark, folder),
     }
 
 
-def _arrived_on(date_column: str) -> tuple[Column, Column]:
-    day = F.date_format(date_column, "yyyy-MM-dd")
-    return F.concat(F.lit("batch-"), day), F.concat(day, F.lit("T00:00:00+00:00"))
-
-
-def storefront_history(spark: SparkSession, folder: str) -> DataFrame:
-    """Bronze storefront filled by one batch a day; some dates are late."""
-    batch_id, ingested_at = _arrived_on("order_date")
-    stamped = add_batch_columns(_damaged_storefront(spark, folder), STOREFRONT_TABLE, batch_id, ingested_at)
-    return inject_late_arrivals(stamped, "order_date", KEY, shift=LATE_SHIFT).drop(KEY)
+def _stamped(feed: DataFrame, source_system: str, date_column: str) -> DataFrame:
+    """One batch per day; afterwards some dates are moved before their batch."""
+    day = f"date_format({date_column}, 'yyyy-MM-dd')"
+    stamped = add_batch_columns(
+        feed, source_system, F.expr(f"concat('batch-', {day})"), F.expr(f"concat({day}, 'T00:00:00+00:00')")
+    )
+    return inject_late_arrivals(stamped, date_column, KEY, shift=LATE_SHIFT).drop(KEY)
 
 
-def marketplace_history(spark: SparkSession, folder: str) -> DataFrame:
-    batch_id, ingested_at = _arrived_on("order_timestamp")
-    stamped = add_batch_columns(_damaged_marketplace(spark, folder), MARKETPLACE_TABLE, batch_id, ingested_at)
-    return inject_late_arrivals(stamped, "order_timestamp", KEY, shift=LATE_SHIFT).drop(KEY)
+def sales_history(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Bronze storefront and marketplace filled by one batch a day, some rows late."""
+    lines = order_lines(spark, folder)
+    return (
+        _stamped(_damaged_storefront(lines), STOREFRONT_TABLE, "order_date"),
+        _stamped(_damaged_marketplace(lines), MARKETPLACE_TABLE, "order_timestamp"),
+    )
 
 
 def broken_storefront(spark: SparkSession, folder: str) -> DataFrame:
     """Storefront batch as text, breaking every kind of contract rule."""
 
-    def spoil(column: str, value: str | None, shift: int) -> Column:
-        text = F.col(column).cast("string")
-        return F.when(hit(KEY, 0.01, shift), F.lit(value)).otherwise(text)
+    def spoiled(column: str, *defects: tuple[str, int]) -> str:
+        cases = " ".join(f"WHEN {hit(KEY, 0.01, shift)} THEN {value}" for value, shift in defects)
+        return f"CASE {cases} ELSE CAST({column} AS STRING) END AS {column}"
 
-    quantity = F.when(hit(KEY, 0.01, 1000), "0").otherwise(spoil("quantity", "n/a", 2000))
-    revenue = F.when(hit(KEY, 0.01, 3000), "-10.00").otherwise(F.col("revenue").cast("string"))
-    return _damaged_storefront(spark, folder).select(
+    return _damaged_storefront(order_lines(spark, folder)).selectExpr(
         "order_id",
-        spoil("product_id", None, 4000).alias("product_id"),
-        spoil("order_date", "soon", 5000).alias("order_date"),
-        quantity.alias("quantity"),
-        revenue.alias("revenue"),
-        spoil("order_status", "lost", 6000).alias("order_status"),
+        spoiled("product_id", ("NULL", 4000)),
+        spoiled("order_date", ("'soon'", 5000)),
+        spoiled("quantity", ("'0'", 1000), ("'n/a'", 2000)),
+        spoiled("revenue", ("'-10.00'", 3000)),
+        spoiled("order_status", ("'lost'", 6000)),
         "promo_code_applied",
     )
 
 
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     """Scheduler run log: one run per event; some failed, some still running."""
-    slot = F.pmod(F.col("event_id"), F.lit(10))
-    state = F.when(slot == 0, "failed").when(slot == 1, "running").otherwise("success")
-    ended = F.col("ts") + F.make_dt_interval(secs=F.floor("value"))
-    return table(spark, folder, "events").select(
-        F.col("event_type").alias("dag_id"),
-        state.alias("state"),
-        F.col("ts").alias("execution_date"),
-        F.col("ts").alias("start_date"),
-        F.when(slot != 1, ended).alias("end_date"),
+    return table(spark, folder, "events").selectExpr(
+        "event_type AS dag_id",
+        "CASE event_id % 10 WHEN 0 THEN 'failed' WHEN 1 THEN 'running' ELSE 'success' END AS state",
+        "ts AS execution_date",
+        "ts AS start_date",
+        "CASE WHEN event_id % 10 <> 1 THEN ts + make_dt_interval(0, 0, 0, floor(value)) END AS end_date",
     )

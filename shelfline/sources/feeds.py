@@ -25,8 +25,8 @@ def typed_feed(text: DataFrame, schema: T.StructType) -> DataFrame:
     for the contract to judge.
     """
     declared = {f.name: f.dataType for f in schema}
-    return text.select(
-        *[as_declared(text, c, declared[c]).alias(c) if c in declared else text[c] for c in text.columns]
+    return text.selectExpr(
+        *[f"{as_declared(text, c, declared[c])} AS `{c}`" if c in declared else f"`{c}`" for c in text.columns]
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager, nullcontext
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,16 +94,17 @@ def write_layer(
     return write_table(df, table_path(root, layer, table), mode, partition_by, **options)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def batch_is_loaded(spark: SparkSession, path: str, batch_id: str, ingestion_date: str) -> bool:
     """Is ``batch_id`` already stored? Looks at its own day's partition only."""
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
+    if not path_exists(spark, path):
+        return False
     same_day = F.col("_ingestion_date") == F.lit(ingestion_date).cast("date")
-    return not stored.where(same_day & (F.col("_batch_id") == batch_id)).isEmpty()
+    return not spark.read.parquet(path).where(same_day & (F.col("_batch_id") == batch_id)).isEmpty()
 
 
 def compact(
