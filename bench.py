@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) is the data folder, BENCH_CPUS the
-number of local cores. Each query runs once to warm up, then BENCH_RUNS times;
-the median counts. Results go to the ``noop`` sink, so every row and column is
+number of local cores. All queries run once to warm up, then BENCH_RUNS times
+each; the median counts. Results go to the ``noop`` sink, so every row and column is
 computed. BENCH_QUERIES may name other registered queries, separated by commas.
 """
 
@@ -53,14 +53,15 @@ def main() -> None:
             "spark.sql.shuffle.partitions": str(cpus),
         },
     )
-    seconds: dict[str, float] = {}
+
+    def timed(name: str) -> float:
+        started = time.perf_counter()
+        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - started
+
     for name in names:
-        taken = []
-        for _ in range(runs + 1):
-            started = time.perf_counter()
-            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-            taken.append(time.perf_counter() - started)
-        seconds[name] = round(statistics.median(taken[1:]), 3)
+        timed(name)
+    seconds = {name: round(statistics.median(timed(name) for _ in range(runs)), 3) for name in names}
     spark.stop()
     print(
         json.dumps(

@@ -67,10 +67,11 @@ def write_table(
 
     ``rebalance`` gathers the rows of a partition value to hold the file count
     down, and lets adaptive execution split a value that is too big for one task,
-    so a hot day or month does not end up in one writer. Small shuffle partitions
-    are not merged for such a write: that would save no files, and would put
-    thousands of days into one task. A batch that carries a single partition value
-    needs no gathering and is written from its own splits.
+    so a hot day or month does not end up in one writer. Shuffle partitions are
+    merged only down to one task per core even when they are small: merging saves
+    no files here, and thousands of days in one task are slow to write. A batch
+    that carries a single partition value needs no gathering and is written from
+    its own splits.
     """
     counter = Observation()
     gather = bool(partition_by) and rebalance
@@ -81,8 +82,8 @@ def write_table(
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    merge_small = "spark.sql.adaptive.coalescePartitions.enabled"
-    with _session_setting(df.sparkSession, merge_small, "false") if gather else nullcontext():
+    smallest = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    with _session_setting(df.sparkSession, smallest, "16k") if gather else nullcontext():
         writer.save(path)
     return counter.get["rows"]
 

@@ -67,10 +67,10 @@ def test_feed_round_trip_and_sample(spark, root, same_rows):
 
 def test_write_counts_rows_and_keeps_one_file_per_value(spark, root):
     df = spark.range(1_000).selectExpr("id", "id % 5 AS p").repartition(4)
-    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", None)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize", None)
     assert write_table(df, f"{root}/t", partition_by="p") == 1_000
     assert len(files(f"{root}/t")) == 5
-    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", None) == before
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize", None) == before
 
 
 def test_partition_filter_is_pruned(spark, root):
@@ -169,10 +169,15 @@ def test_dropped_files_are_loaded_once(spark, root):
 # whole runs
 
 
+def keyed_feeds(spark):
+    """The feeds without the rows that lack their id."""
+    return {table: feed.where(F.col(feed.columns[0]).isNotNull()) for table, feed in fx.feeds(spark).items()}
+
+
 @pytest.fixture(scope="module")
 def run(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("run"))
-    return root, runs.run_layers(spark, root, fx.feeds(spark), BATCH)
+    return root, runs.run_layers(spark, root, keyed_feeds(spark), BATCH)
 
 
 def test_run_writes_every_table(spark, run):
@@ -193,16 +198,18 @@ def test_stored_silver_satisfies_its_keys(spark, run):
 
 def test_second_run_with_skip_changes_nothing(spark, run, same_rows):
     root, first = run
-    again = runs.run_layers(spark, root, fx.feeds(spark), BATCH, reload="skip_loaded")
+    again = runs.run_layers(spark, root, keyed_feeds(spark), BATCH, reload="skip_loaded")
     assert again.rows["silver"] == first.rows["silver"] and again.rows["gold"] == first.rows["gold"]
     assert set(again.ingest.skipped) == set(BRONZE_TABLES)
 
 
-def test_gate_stops_a_bad_run(spark, root):
-    feeds = fx.feeds(spark)
-    duplicate = feeds[MARKETPLACE_TABLE].withColumn("marketplace_order_id", F.lit("SHOP-2"))
+def test_gates_stop_a_bad_run(spark, root):
+    with pytest.raises(QualityFailure, match="bronze.amazon_orders.*bronze.inventory_feed"):
+        runs.run_layers(spark, f"{root}/a", fx.feeds(spark), BATCH)
+    feeds = keyed_feeds(spark)
+    feeds[MARKETPLACE_TABLE] = feeds[MARKETPLACE_TABLE].withColumn("marketplace_order_id", F.lit("SHOP-2"))
     with pytest.raises(QualityFailure, match="silver.orders"):
-        runs.run_layers(spark, root, feeds | {MARKETPLACE_TABLE: duplicate}, BATCH)
+        runs.run_layers(spark, f"{root}/b", feeds, BATCH)
 
 
 def test_lineage_of_a_run(spark, run):
@@ -251,3 +258,22 @@ def test_run_health(spark):
     ]
     assert health.runs_in_state(log, "success").first().value == 3
     assert health.runs_in_state(log, "none").first().value == 0
+
+
+# command line
+
+
+def test_command_line_steps(spark, root, capsys, monkeypatch):
+    from shelfline import __main__ as cli
+
+    monkeypatch.setattr(cli, "build_session", lambda name: spark)
+    paths = []
+    for option, (table, feed) in zip(("storefront", "marketplace", "inventory"), keyed_feeds(spark).items()):
+        write_feed(feed, f"{root}/in/{table}")
+        paths += [f"--{option}", f"{root}/in/{table}"]
+    for step in ("bronze", "silver", "gold", "quality"):
+        cli.main([step, "--root", f"{root}/t", "--batch-id", "b-1", *paths])
+    out = capsys.readouterr().out
+    assert "'orders': 6" in out and "'inventory_turnover_mart': 4" in out and "PASSED" in out
+    cli.main(["run", "--root", f"{root}/t", "--batch-id", "b-1", "--reload", "skip_loaded", *paths])
+    assert "gold inventory_turnover_mart 4" in capsys.readouterr().out
