@@ -9,13 +9,15 @@ from shelfline.functions.columns import as_declared
 from shelfline.operators.batches import clean_column_names
 
 
-def read_text_feed(spark: SparkSession, path: str) -> DataFrame:
+def read_text_feed(spark: SparkSession, path: str, infer_types: bool = False) -> DataFrame:
     """CSV with a header, every column as text, names stripped of blanks.
 
     Columns are taken by header name, so a new or moved column is seen as such.
-    No inference pass is made over the data.
+    ``infer_types`` lets Spark guess the types instead, in an extra pass over the
+    data; feeds with a declared schema do not need it.
     """
-    return clean_column_names(spark.read.option("header", "true").csv(path))
+    reader = spark.read.option("header", "true").option("inferSchema", str(infer_types).lower())
+    return clean_column_names(reader.csv(path))
 
 
 def typed_feed(text: DataFrame, schema: T.StructType) -> DataFrame:

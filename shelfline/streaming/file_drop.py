@@ -22,8 +22,10 @@ def load_new_files(
 
     The checkpoint remembers what was read, so a repeated call, or one that
     follows a lost run, adds no row twice. ``max_files`` bounds a micro-batch.
+    Headers are checked against ``schema``: a file with other or moved columns
+    stops the load instead of filling the wrong columns.
     """
-    reader = spark.readStream.schema(schema).option("header", "true")
+    reader = spark.readStream.schema(schema).option("header", "true").option("enforceSchema", "false")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stamped = add_batch_columns(reader.csv(drop_path), source_system, batch.batch_id, batch.ingested_at)

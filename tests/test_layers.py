@@ -138,3 +138,24 @@ def test_row_order_does_not_matter(spark, same_rows):
         )
         marts.append(gold.revenue_mart(orders))
     same_rows(*marts)
+
+
+def test_monthly_sums_agree_on_the_test_tables(spark):
+    from shelfline.registry import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    orders = QUERIES["silver_orders"](spark, folder)
+    daily = gold.revenue_mart(orders).groupBy("order_month", "channel").sum("order_count", "total_quantity")
+    monthly = gold.channel_performance_mart(orders).select("order_month", "channel", "total_orders", "total_units_sold")
+    assert {tuple(r) for r in daily.collect()} == {tuple(r) for r in monthly.collect()}
+
+
+def test_unknown_customers_are_missing_from_customer_360(spark):
+    from shelfline.registry import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    orders = QUERIES["silver_orders"](spark, folder)
+    known = QUERIES["customer_360_mart"](spark, folder).selectExpr("sum(total_orders) n").first().n
+    unknown = orders.where("customer_id = 'unknown'").count()
+    assert unknown > 0
+    assert known + unknown == orders.count()

@@ -2,6 +2,8 @@ import datetime as dt
 from collections import Counter
 
 from fixtures import day
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import (
@@ -135,6 +137,28 @@ def test_latest_per_key_with_a_hot_key(spark):
     assert out.where("k = 0").first().v == 29_997
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    rows=st.lists(
+        st.tuples(
+            st.sampled_from("abc"),
+            st.one_of(st.none(), st.integers(1, 3)),
+            st.one_of(st.none(), st.integers(-2, 2)),
+            st.one_of(st.none(), st.sampled_from("xyz")),
+        ),
+        min_size=1,
+        max_size=25,
+    )
+)
+def test_latest_per_key_equals_brute_force(spark, rows):
+    def nulls_first(row):
+        return [(value is not None, 0 if value is None else value) for value in row[1:]]
+
+    expected = {max((r for r in rows if r[0] == key), key=nulls_first) for key in {r[0] for r in rows}}
+    df = spark.createDataFrame(rows, "k string, d int, v int, s string").repartition(3)
+    assert {tuple(r) for r in latest_per_key(df, ["k"], "d").collect()} == expected
+
+
 def test_first_source_follows_priority_not_row_order(spark):
     first = spark.createDataFrame([("b",), (None,)], "k string")
     second = spark.createDataFrame([("a",), ("b",), ("a",)], "k string")

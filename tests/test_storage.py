@@ -2,7 +2,7 @@ import datetime as dt
 
 import fixtures as fx
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from shelfline.names import (
@@ -62,6 +62,13 @@ def test_feed_round_trip_and_sample(spark, root, same_rows):
     ]
 
 
+def test_types_can_be_inferred(spark, tmp_path):
+    path = tmp_path / "feed.csv"
+    path.write_text(" a,b\n1,x\n2,y\n")
+    assert read_text_feed(spark, str(path)).dtypes == [("a", "string"), ("b", "string")]
+    assert read_text_feed(spark, str(path), infer_types=True).dtypes == [("a", "int"), ("b", "string")]
+
+
 # tables
 
 
@@ -166,6 +173,13 @@ def test_dropped_files_are_loaded_once(spark, root):
     assert load() == 5
 
 
+def test_dropped_file_with_moved_columns_stops_the_load(spark, root):
+    moved = fx.marketplace(spark).select("customer_id", "marketplace_order_id", "sku", "quantity", "revenue", "order_timestamp")
+    moved.coalesce(1).write.option("header", "true").csv(f"{root}/drop")
+    with pytest.raises(StreamingQueryException):
+        load_new_files(spark, f"{root}/drop", MARKETPLACE_FEED, MARKETPLACE_TABLE, f"{root}/t", f"{root}/cp", BATCH)
+
+
 # whole runs
 
 
