@@ -47,7 +47,8 @@ BATCH = Batch("batch-1", "2024-01-31T00:00:00+00:00")
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the function's name; ``_query`` keeps it apart from an operator."""
+    QUERIES[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -499,7 +500,3 @@ def compact_partition(spark: SparkSession, folder: str) -> DataFrame:
     write_table(mart, f"{root}/scattered", partition_by="order_month", rebalance=False)
     compact(spark, f"{root}/scattered", f"{root}/compacted", "order_month")
     return spark.read.parquet(f"{root}/compacted").groupBy("order_month").agg(F.count(F.lit(1)).alias("row_count"))
-
-
-# Functions above that would hide an operator of the same name carry a suffix.
-QUERIES = {name.removesuffix("_query"): function for name, function in QUERIES.items()}
