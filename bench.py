@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 from pathlib import Path
 
@@ -51,6 +52,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
             "spark.sql.shuffle.partitions": str(cpus),
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
 

@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
-_LOCAL_BASE: dict[str, str] = {}
-
 
 def shared_base(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without one; it then gets a folder of its own.
+    Where that is unset, a folder below the session's warehouse, which driver and
+    executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    if context.applicationId not in _LOCAL_BASE:
-        _LOCAL_BASE[context.applicationId] = tempfile.mkdtemp(prefix="shelfline-")
-    return _LOCAL_BASE[context.applicationId]
+    return base.rstrip("/") if base else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_runs"
 
 
 def new_run_root(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing folder below the shared one."""
     return f"{shared_base(spark)}/shelfline/{label}-{uuid4().hex}"
+
+
+def stored(spark: SparkSession, df, root: str, name: str):
+    """``df`` written below ``root`` and read back: lineage ends at the shared folder."""
+    path = f"{root}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

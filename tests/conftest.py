@@ -8,9 +8,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from shelfline.sources.session import build_session
 
+    shared = tmp_path_factory.mktemp("shared")
+
     session = build_session(
         "tests",
         master="local[4]",
@@ -18,6 +20,8 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": f"{shared}/checkpoints",
+            "spark.sql.warehouse.dir": f"{shared}/warehouse",
         },
     )
     yield session
