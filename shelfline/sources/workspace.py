@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -27,3 +29,12 @@ def stored(spark: SparkSession, df, root: str, name: str):
     path = f"{root}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers find this package where it runs from a checkout and is not installed."""
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    here = str(Path(__file__).resolve().parents[2])
+    if here not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([here, *paths])
