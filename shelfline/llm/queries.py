@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup, ngram_join
+from shelfline.llm import exact_dedup, ngram_join, packing
 from shelfline.sources.workspace import let_workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
 
 
+@query
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(spark, _documents(spark, folder), packing.default_tokenizer())
+
+
 @query
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = ngram_join.similar_documents(spark, _documents(spark, folder), n=3, percent=90)
