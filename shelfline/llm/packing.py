@@ -36,8 +36,9 @@ from shelfline.sources.workspace import new_run_root, stored
 SEQUENCE = 2048
 OPEN_BINS = 4096
 PIECES_PER_TASK = 100_000
-#: Entries of a worker's memory of words; it is emptied when full.
-MEMORY = 400_000
+#: Entries of a worker's memories of words and of words with marks; each is emptied when full.
+WORDS_KNOWN = 1_000_000
+CHUNKS_KNOWN = 400_000
 SEPARATOR = 0
 
 _encoders: dict[str, "WordMemory"] = {}
@@ -74,7 +75,7 @@ class WordMemory:
                 self.words.update((w, self.direct(w)) for w in part)
 
     def learn(self, chunks: set[bytes]) -> None:
-        if len(self.words) > MEMORY:
+        if len(self.words) > WORDS_KNOWN:
             self.words.clear()
         split = [(c, t, t[:-1] if t[-1] in ".," and len(t) > 1 else t) for c, t in ((c, c.decode()) for c in chunks)]
         self.learn_words(list({w for _, _, w in split if w.isalpha() and w not in self.words}))
@@ -96,7 +97,7 @@ class WordMemory:
                 text = unicodedata.normalize("NFC", text)
             # bytes are parted at ASCII white space only; any other stays within and is the tokenizer's
             split.append(text.lower().encode().split())
-        if len(self.chunks) > MEMORY:
+        if len(self.chunks) > CHUNKS_KNOWN:
             self.chunks.clear()
         self.learn(set().union(*(s for s in split if s)).difference(self.chunks))
         get = self.chunks.__getitem__
