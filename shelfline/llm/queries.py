@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup, ngram_join, packing
+from shelfline.llm import exact_dedup, ngram_join, packing, quality
 from shelfline.sources.workspace import let_workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,18 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    model = quality.train(docs, spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality"))
+    return quality.scored(docs, model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_dedup.exact_groups(spark, _documents(spark, folder))
