@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup, ngram_join, packing, quality
+from shelfline.llm import exact_dedup, ngram_join, packing, quality, suffix_dedup
 from shelfline.sources.workspace import let_workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(spark, _documents(spark, folder))
+
+
 @query
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder)
@@ -61,3 +66,10 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
