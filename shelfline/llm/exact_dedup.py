@@ -166,9 +166,16 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` without the copies; all columns stay. Of rows that share doc_id and text, one stays."""
+    """``docs`` without the copies; all columns stay.
+
+    Of rows that share doc_id and text, one stays. Rows without doc_id stay: nothing names them.
+    """
     groups = exact_groups(spark, docs)
-    kept = groups.where("row = keep_row").select(F.col("doc_id").alias("__kept")).distinct()
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    shared_ids = groups.groupBy("doc_id").count().where("count > 1")
+    gone = (
+        groups.groupBy(F.col("doc_id").alias("__gone"))
+        .agg(F.bool_or(F.col("row") == F.col("keep_row")).alias("__stays"))
+        .where("not __stays")
+    )
+    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    shared_ids = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     return left if shared_ids.isEmpty() else left.dropDuplicates(["doc_id", "text"])
