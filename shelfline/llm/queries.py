@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup, ngram_join, packing, quality, suffix_dedup
+from shelfline.llm import exact_dedup, ngram_join, packing, quality, substring_dedup, suffix_dedup, token_counts
 from shelfline.sources.workspace import let_workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
 
 
+@query
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counts = token_counts.section_tokens(_documents(spark, folder), token_counts.default_ranks())
+    return counts.withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(spark, _documents(spark, folder), packing.default_tokenizer())
@@ -68,6 +74,11 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_units(spark, _documents(spark, folder))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
