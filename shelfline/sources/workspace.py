@@ -38,3 +38,8 @@ def let_workers_import(spark: SparkSession) -> None:
     here = str(Path(__file__).resolve().parents[2])
     if here not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([here, *paths])
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python workers at most 4 MB of rows at a time, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
