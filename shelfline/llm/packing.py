@@ -37,8 +37,8 @@ SEQUENCE = 2048
 OPEN_BINS = 4096
 PIECES_PER_TASK = 100_000
 #: Entries of a worker's memories of words and of words with marks; each is emptied when full.
-WORDS_KNOWN = 1_000_000
-CHUNKS_KNOWN = 400_000
+WORDS_KNOWN = 600_000
+CHUNKS_KNOWN = 250_000
 SEPARATOR = 0
 
 _encoders: dict[str, "WordMemory"] = {}

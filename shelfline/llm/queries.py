@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import exact_dedup, ngram_join, packing, quality, substring_dedup, suffix_dedup, token_counts
-from shelfline.sources.workspace import let_workers_import
+from shelfline.llm import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -17,7 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def query(function):
     @wraps(function)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        let_workers_import(spark)
+        prepare(spark)
         return function(spark, folder)
 
     QUERIES[function.__name__] = run

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are handled in slices of about this many bytes; one longer text makes a slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
