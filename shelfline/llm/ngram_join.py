@@ -39,6 +39,8 @@ from shelfline.sources.workspace import new_run_root, stored
 
 #: Slots of the table of word counts. It is the only thing that goes to every task, with 8 bytes a slot.
 WORD_SLOTS = 1 << 17
+#: Ids of at most so many documents (8 bytes each) go to every task; beyond, rows are shuffled.
+BROADCAST_NODES = 100_000
 #: Bytes of an n-gram hash that travel for the exact count.
 HASH_BYTES = 6
 
@@ -161,8 +163,9 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if a != last:
                 last, left = a, _unpack(a)
             counts.append(len(np.intersect1d(left, _unpack(b), assume_unique=True)))
+        names = ["a", "b", "a_size", "b_size"]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(counts, pa.int64())], names=["a", "b", "common"]
+            [*(batch.column(c) for c in names), pa.array(counts, pa.int64())], names=[*names, "common"]
         )
 
 
@@ -201,80 +204,92 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
         return (F.col(f"{a}_size") * 100 >= F.col(f"{b}_size") * percent) & (F.col(f"{b}_size") * 100 >= F.col(f"{a}_size") * percent)
 
     def counted(pairs: DataFrame, name: str) -> DataFrame:
-        """Links among ``pairs`` (a, b, a_size, b_size), counted on the whole sets."""
-        both = (
-            pairs.join(grams.select(F.col("doc_id").alias("b"), F.col("grams").alias("grams_b")), "b")
-            .join(grams.select(F.col("doc_id").alias("a"), F.col("grams").alias("grams_a")), "a")
-            .select("a", "b", "grams_a", "grams_b")
+        """Links among the stored ``pairs`` (a, b, a_size, b_size), counted on the whole sets."""
+        sides = []
+        for side in ("a", "b"):
+            nodes = pairs.select(F.col(side).alias("doc_id")).distinct()
+            # few documents find their sets without moving all of them
+            nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
+            own = grams.join(nodes, "doc_id", "left_semi")
+            sides.append(own.select(F.col("doc_id").alias(side), F.col("grams").alias(f"grams_{side}")))
+        common = (
+            pairs.join(sides[1], "b")
+            .join(sides[0], "a")
+            .select("a", "b", "grams_a", "grams_b", "a_size", "b_size")
+            .mapInArrow(_overlaps, "a long, b long, a_size long, b_size long, common long")
         )
-        common = both.mapInArrow(_overlaps, "a long, b long, common long")
         return stored(
             spark,
-            common.join(pairs.select("a", "b", "a_size", "b_size"), ["a", "b"])
-            .where(F.col("common") * 100 >= (F.col("a_size") + F.col("b_size") - F.col("common")) * percent)
+            common.where(F.col("common") * 100 >= (F.col("a_size") + F.col("b_size") - F.col("common")) * percent)
             .select("a", "b", "common"),
             root,
             name,
         )
 
-    def star(turn: int) -> DataFrame:
+    def star(rows: DataFrame, turn: int) -> DataFrame:
         """Each row of a block with the block's centre, and in how many blocks they meet."""
         rank = F.struct((F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("rank"), "node", "size")
-        centres = blocks.groupBy("key").agg(F.min(rank).alias("centre"))
+        centres = rows.groupBy("key").agg(F.min(rank).alias("centre"))
+        first = F.col("node") < F.col("centre.node")
         return (
-            blocks.join(centres, "key")
+            rows.join(centres, "key")
             .where("centre.node <> node")
             .select(
                 F.least("node", "centre.node").alias("a"),
                 F.greatest("node", "centre.node").alias("b"),
-                F.when(F.col("node") < F.col("centre.node"), F.col("size")).otherwise(F.col("centre.size")).alias("a_size"),
-                F.when(F.col("node") < F.col("centre.node"), F.col("centre.size")).otherwise(F.col("size")).alias("b_size"),
+                F.when(first, F.col("size")).otherwise(F.col("centre.size")).alias("a_size"),
+                F.when(first, F.col("centre.size")).otherwise(F.col("size")).alias("b_size"),
             )
             .groupBy("a", "b", "a_size", "b_size")
             .agg(F.count("*").alias("blocks"))
             .where(fits("a", "b"))
         )
 
-    pairs = stored(spark, star(0), root, "pairs-0")
-    best = pairs.groupBy("b").agg(F.max_by(F.struct("a", "a_size", "b_size"), "blocks").alias("x")).select("x.a", "b", "x.a_size", "x.b_size")
-    best = stored(spark, best, root, "best")
-    links = counted(best, "links-0")
-    tested = best.select("a", "b")
-    for turn in (0, 1, 2):
-        # 0: what is left of the first star; 1: a star round other centres; 2: every pair left
-        labels = stored(spark, components(spark, links), root, f"labels-{turn}") if not links.isEmpty() else None
-        named = blocks.withColumn("component", F.col("node")) if labels is None else (
-            blocks.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    def still_open(rows: DataFrame, links: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """Labels of the nodes, and the rows of blocks whose nodes are not all connected."""
+        labels = components(spark, links)
+        named = stored(
+            spark,
+            rows.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")),
+            root,
+            f"named-{name}",
         )
-        if turn < 2:
-            left = pairs if turn == 0 else star(1)
-            if labels is not None:
-                a = labels.select(F.col("node").alias("a"), F.col("component").alias("a_in"))
-                b = labels.select(F.col("node").alias("b"), F.col("component").alias("b_in"))
-                left = (
-                    left.join(a, "a", "left").join(b, "b", "left")
-                    .where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b"))
-                )
-            left = left.select("a", "b", "a_size", "b_size")
-        else:
-            named = stored(spark, named, root, "named")
-            split = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-            open_rows = named.join(split, "key", "left_semi")
-            x = open_rows.select("key", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("component").alias("a_in"))
-            y = open_rows.select("key", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("b_in"))
-            left = (
-                x.join(y, "key").where("a < b and a_in <> b_in").where(fits("a", "b"))
-                .select("a", "b", "a_size", "b_size").distinct()
-            )
-        left = stored(spark, left.join(tested, ["a", "b"], "left_anti"), root, f"left-{turn}")
-        tested = tested.union(left.select("a", "b"))
-        links = links.union(counted(left, f"links-{turn + 1}"))
-    ids = members
-    if not links.isEmpty():
-        labels = stored(spark, components(spark, links), root, "labels")
-        ids = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    else:
-        ids = members.withColumn("component", F.lit(None).cast("long"))
+        keys = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        return labels, stored(spark, named.join(keys.select("key"), "key", "left_semi"), root, f"open-{name}")
+
+    def across(pairs: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
+        """Pairs that join two components and have not been counted."""
+        a = labels.select(F.col("node").alias("a"), F.col("component").alias("a_in"))
+        b = labels.select(F.col("node").alias("b"), F.col("component").alias("b_in"))
+        return (
+            pairs.select("a", "b", "a_size", "b_size")
+            .distinct()
+            .join(a, "a", "left")
+            .join(b, "b", "left")
+            .where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b"))
+            .join(tested, ["a", "b"], "left_anti")
+            .select("a", "b", "a_size", "b_size")
+        )
+
+    # 1. every row of a block with the one document that it meets most often in the centre
+    best = star(blocks, 0).groupBy("b").agg(F.max_by(F.struct("a", "a_size", "b_size"), F.struct("blocks", "a")).alias("x"))
+    best = stored(spark, best.select("x.a", "b", "x.a_size", "x.b_size"), root, "best")
+    links, tested = counted(best, "links-1"), best.select("a", "b")
+    labels, rows = still_open(blocks, links, "1")
+    # 2. where that did not connect a block: all pairs with this and with another centre
+    if not rows.isEmpty():
+        pairs = stored(spark, across(star(rows, 0).union(star(rows, 1)), labels, tested), root, "pairs-2")
+        links, tested = links.union(counted(pairs, "links-2")), tested.union(pairs.select("a", "b"))
+        labels, rows = still_open(rows, links, "2")
+    # 3. and the pairs across components that are left
+    if not rows.isEmpty():
+        x = rows.select("key", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("component").alias("a_in"))
+        y = rows.select("key", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("b_in"))
+        pairs = x.join(y, "key").where("a < b and a_in <> b_in").where(fits("a", "b"))
+        pairs = stored(spark, across(pairs, labels, tested), root, "pairs-3")
+        links = links.union(counted(pairs, "links-3"))
+        labels = components(spark, links)
+    ids = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     return ids.select("doc_id", "n_shingles", "set_id", F.coalesce("component", "set_id", "doc_id").alias("component_id")), links
 
 
