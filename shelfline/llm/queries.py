@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup, ngram_join, packing, quality, substring_dedup, suffix_dedup, token_counts
+from shelfline.llm import exact_dedup, fingerprints, ngram_join, packing, quality, substring_dedup, suffix_dedup, token_counts
 from shelfline.llm import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,19 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared(_documents(spark, folder)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_string(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.as_string(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 @query
 def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeated_passages(spark, _documents(spark, folder))
