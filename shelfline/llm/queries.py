@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup, fingerprints, ngram_join, packing, quality, substring_dedup, suffix_dedup, token_counts
+from shelfline.llm import exact_dedup, fingerprints, ngram_join, packing, quality, sentence_pieces, substring_dedup, suffix_dedup, token_counts
 from shelfline.llm import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op4_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return sentence_pieces.round_trips(_documents(spark, folder), sentence_pieces.default_model())
+
+
 @query
 def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compared(_documents(spark, folder)).select(
