@@ -36,14 +36,20 @@ from shelfline.sources.workspace import new_run_root, stored
 SEQUENCE = 2048
 OPEN_BINS = 4096
 PIECES_PER_TASK = 100_000
-#: Entries of a worker's memories of words and of words with marks; each is emptied when full.
-WORDS_KNOWN = 600_000
-CHUNKS_KNOWN = 250_000
+#: Entries of a worker's memory of words; it is emptied when full.
+WORDS_KNOWN = 800_000
 SEPARATOR = 0
 
 _encoders: dict[str, "WordMemory"] = {}
 
 
+class _Known(dict):
+    """Ids of chunks of text; a word with a full stop or comma behind it is put together, not stored."""
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        return self[chunk[:-1]] + self[chunk[-1:]]
+
+
 class WordMemory:
     """Token ids of whole texts, equal to the tokenizer's own, for vocabularies that never cross white space.
 
@@ -58,33 +64,40 @@ class WordMemory:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.is_end = np.zeros(1 << 16, bool)
         self.is_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.known = _Known()
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
 
-    def learn_words(self, words: list[str]) -> None:
+    def learn(self, chunks: set[bytes]) -> None:
+        """See that every chunk is known, or is a known word with a known mark behind it."""
+        if len(self.known) > WORDS_KNOWN:
+            self.known.clear()
+        known = self.known
+        known[b"."], known[b","] = self.direct("."), self.direct(",")
+        words, others = set(), []
+        for chunk in chunks.difference(known):
+            word = chunk[:-1] if chunk[-1] in b".," else chunk
+            if not word.decode().isalpha():
+                others.append(chunk)
+            elif word not in known:
+                words.add(word)
+        self.learn_words(list(words))
+        known.update((c, self.direct(c.decode())) for c in others)
+
+    def learn_words(self, words: list[bytes]) -> None:
+        """Runs of letters."""
         for at in range(0, len(words), 5000):
             part = words[at : at + 5000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint16)
-            ends = np.flatnonzero(self.is_end[ids]) + 1
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.uint16)
+            ends = (np.flatnonzero(self.is_end[ids]) + 1).tolist()
             if len(ends) == len(part):
-                self.words.update(zip(part, (x.tobytes() for x in np.split(ids, ends[:-1])), strict=True))
-            else:
-                self.words.update((w, self.direct(w)) for w in part)
-
-    def learn(self, chunks: set[bytes]) -> None:
-        if len(self.words) > WORDS_KNOWN:
-            self.words.clear()
-        split = [(c, t, t[:-1] if t[-1] in ".," and len(t) > 1 else t) for c, t in ((c, c.decode()) for c in chunks)]
-        self.learn_words(list({w for _, _, w in split if w.isalpha() and w not in self.words}))
-        ends = {".": self.direct("."), ",": self.direct(",")}
-        for chunk, text, word in split:
-            if not word.isalpha():
-                self.chunks[chunk] = self.direct(text)
+                raw = ids.tobytes()
+                self.known.update(
+                    (w, raw[2 * a : 2 * b]) for w, a, b in zip(part, [0, *ends[:-1]], ends, strict=True)
+                )
             else:
-                self.chunks[chunk] = self.words[word] + (b"" if word is text else ends[text[-1]])
+                self.known.update((w, self.direct(w.decode())) for w in part)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split: list[list[bytes] | None] = []
@@ -97,10 +110,8 @@ class WordMemory:
                 text = unicodedata.normalize("NFC", text)
             # bytes are parted at ASCII white space only; any other stays within and is the tokenizer's
             split.append(text.lower().encode().split())
-        if len(self.chunks) > CHUNKS_KNOWN:
-            self.chunks.clear()
-        self.learn(set().union(*(s for s in split if s)).difference(self.chunks))
-        get = self.chunks.__getitem__
+        self.learn(set().union(*(s for s in split if s)))
+        get = self.known.__getitem__
         return [self.direct(t or "") if s is None else b"".join(map(get, s)) for t, s in zip(texts, split, strict=True)]
 
 
@@ -119,7 +130,7 @@ def encoder(path: str) -> WordMemory:
 def _pieces(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = encoder(path)
-        for batch in slices(batches):
+        for batch in slices(batches, most=1 << 21):
             ids = batch.column("doc_id").to_pylist()
             rows = []
             for doc, code in zip(ids, memory.encode(batch.column("text").to_pylist()), strict=True):
