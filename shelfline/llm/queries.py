@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup, fingerprints, ngram_join, packing, quality, sentence_pieces, substring_dedup, suffix_dedup, token_counts
+from shelfline.llm import exact_dedup, fingerprints, ngram_join, packing, quality, sentence_pieces, substring_dedup, suffix_dedup, token_counts, toxicity
 from shelfline.llm import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,15 @@ def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _documents(spark, folder)
+    model = toxicity.train(docs, spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @query
 def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeated_passages(spark, _documents(spark, folder))
