@@ -79,14 +79,16 @@ def repeated(rows: DataFrame, stored) -> DataFrame:
             _mark, "key long, doc_id long, place long, lead_doc long, lead_place long, part int, border boolean"
         )
     )
-    border_keys = found.where("border").select("key").distinct()
+    # one row per key before anything is joined; at most two keys per partition are border keys
     borders = (
-        found.join(F.broadcast(border_keys), "key")
-        .groupBy("key")
+        found.groupBy("key")
         .agg(
             F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "place"))).alias("first"),
             F.count("doc_id").alias("n"),
+            F.bool_or("border").alias("border"),
         )
+        .where("border")
+        .drop("border")
     )
     return (
         found.where("doc_id is not null")
