@@ -37,6 +37,8 @@ def as_declared(df: DataFrame, name: str, kind: T.DataType) -> str:
     """``name`` as the type its feed declares; null where it cannot be read so."""
     if isinstance(kind, T.IntegerType):
         return as_int(df, f"{name}")
+    if isinstance(kind, T.DoubleType):
+        return as_double(f"`{name}`")
     return f"try_cast(`{name}` AS {kind.simpleString()})"
 
 
@@ -45,13 +47,18 @@ def money(name: str) -> str:
 
 
 def total(name: str) -> str:
-    """Sum of money, independent of row order, as a double."""
-    return f"CAST(sum({money(name)}) AS DOUBLE)"
+    """Sum of money as a double, independent of row order.
+
+    Amounts beyond 22 digits before the point do not fit the decimal; a group that
+    holds one is added up as doubles instead.
+    """
+    fits = f"count({money(name)}) = count({as_double(name)})"
+    return f"CASE WHEN {fits} THEN CAST(try_sum({money(name)}) AS DOUBLE) ELSE sum({as_double(name)}) END"
 
 
 def average(name: str) -> str:
     """Average of the money values that are not null."""
-    return f"try_divide({total(name)}, CAST(count({money(name)}) AS DOUBLE))"
+    return f"try_divide({total(name)}, CAST(count({as_double(name)}) AS DOUBLE))"
 
 
 def month_of(name: str) -> str:

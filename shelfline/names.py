@@ -28,13 +28,14 @@ GOLD_TABLES = (
 
 BATCH_COLUMNS = ("_ingestion_timestamp", "_source_system", "_batch_id", "_ingestion_date")
 
-# Partition column of each stored table (None = not partitioned).
+# Partition columns of each stored table (None = not partitioned).
 PARTITION_COLUMN = {
-    "bronze": {t: "_ingestion_date" for t in BRONZE_TABLES},
+    "bronze": {t: ("_ingestion_date", "_batch_id") for t in BRONZE_TABLES},
     "silver": {"orders": "order_date", "customers": None, "products": None, "inventory": "order_date"},
     "gold": {t: "order_month" for t in GOLD_TABLES},
 }
 
+# Columns of the stored tables, and the schemas of the feeds below.
 ORDER_COLUMNS = (
     "order_id", "customer_id", "product_id", "order_date",
     "quantity", "revenue", "order_status", "channel",
@@ -45,7 +46,14 @@ INVENTORY_COLUMNS = (
 )
 
 # Money is added up as a decimal, so that sums do not depend on row order.
-MONEY = T.DecimalType(18, 2)
+MONEY = T.DecimalType(30, 8)
+
+# Days and months that the registered period, replay and as-of queries ask for.
+PERIOD = ("1998-03-01", "1998-03-31")
+MONTHS = ("1998-01", "1998-03")
+REPLAY_DAY = "1998-03-15"
+AS_OF_DAY = "1998-06-30"
+DRIFT_START = "1998-07-01"
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:

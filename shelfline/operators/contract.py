@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions.columns import as_declared
-from shelfline.names import MONEY, ORDER_STATUSES
+from shelfline.names import ORDER_STATUSES
 
 CRITICAL = "critical"
 WARNING = "warning"
@@ -24,7 +24,12 @@ SPARK_TYPES: dict[str, T.DataType] = {
     "string": T.StringType(),
     "date": T.DateType(),
     "integer": T.IntegerType(),
-    "decimal": MONEY,
+    "decimal": T.DoubleType(),  # judged as it is, not rounded
+    "double": T.DoubleType(),
+    "float": T.DoubleType(),
+    "long": T.LongType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
 }
 SEVERITY_OF_POLICY = {"reject": CRITICAL, "warn": WARNING, "ignore": None}
 
@@ -84,6 +89,9 @@ def load_contract(path: str) -> Contract:
         )
         for f in document["schema"]
     )
+    unread = sorted({f"{f.name}: {f.type}" for f in fields if f.type not in SPARK_TYPES})
+    if unread:
+        raise ValueError(f"contract {document['name']} has unknown types ({', '.join(unread)}); known are {sorted(SPARK_TYPES)}")
     policy = document.get("evolution_policy") or {}
     return Contract(document["name"], str(document["version"]), fields, **policy)
 
@@ -124,7 +132,7 @@ def contract_report(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) ->
         if f.required:
             rules.append((
                 "null_required", f.name, CRITICAL,
-                f"%d null value(s) in required field '{f.name}'",
+                f"{f.name} is required, but empty in %d row(s)",
                 F.col(f"_missing_{f.name}"),
             ))
         if isinstance(df.schema[f.name].dataType, T.StringType) and not isinstance(kind, T.StringType):
@@ -137,7 +145,7 @@ def contract_report(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) ->
         if f.allowed_values:
             rules.append((
                 "outside_allowed", f.name, WARNING,
-                f"%d value(s) in '{f.name}' outside allowed set {list(f.allowed_values)}",
+                f"{f.name}: %d row(s) hold none of {', '.join(f.allowed_values)}",
                 ~F.col(f.name).isin(*f.allowed_values),
             ))
         if f.validation:
@@ -195,6 +203,6 @@ def enforce(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) -> dict[str
     critical = [r.message for r in found if r.severity == CRITICAL]
     if critical:
         raise ContractViolation(
-            f"{contract.name} violated with {len(critical)} critical issue(s): {critical}"
+            f"batch refused by contract {contract.name}: {'; '.join(critical)}"
         )
     return {"critical": critical, "warnings": [r.message for r in found if r.severity == WARNING]}

@@ -85,10 +85,9 @@ def _measures(df: DataFrame, columns: Sequence[str], row_checks: Sequence[tuple[
 def evaluate(df: DataFrame, table_name: str, layer: str, suite: Sequence[Expectation]) -> DataFrame:
     """One row per expectation: checked and offending rows, severity, success.
 
-    The whole suite is one pass. Where a column must be unique, the rows are
-    first folded per value of that column (with partial sums before the shuffle)
-    and the folded rows then give both the repeated keys and all other counts.
-    Further unique columns, which no shipped suite has, take a pass each.
+    The row checks are one pass without a shuffle of rows. A column that must be
+    unique takes a pass over that column alone, which on a stored table reads nothing
+    else.
     """
     numbered = list(enumerate(suite))
     present = [(i, e) for i, e in numbered if e.column in df.columns and e.check != EXISTS]
@@ -96,24 +95,13 @@ def evaluate(df: DataFrame, table_name: str, layer: str, suite: Sequence[Expecta
     unique_checks = [(i, e) for i, e in present if e.check == UNIQUE]
     columns = sorted({e.column for _, e in present})
     measures = _measures(df, columns, row_checks)
-    names = ["_rows", *[f"_filled_{c}" for c in columns], *[f"_n{i}" for i, _ in row_checks]]
-
-    if unique_checks:
-        (first, key), *others = unique_checks
-        repeated = F.when(F.col(key.column).isNotNull() & (F.col("_rows") > 1), F.col("_rows"))
-        totals = (
-            df.groupBy(key.column).agg(*measures)
-            .agg(
-                *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
-                F.coalesce(F.sum(repeated), F.lit(0)).alias(f"_n{first}"),
-            )
-        )
-        for i, e in others:
-            per_value = df.where(F.col(e.column).isNotNull()).groupBy(e.column).count()
-            repeats = per_value.where("count > 1").agg(F.coalesce(F.sum("count"), F.lit(0)))
-            totals = totals.withColumn(f"_n{i}", repeats.scalar())
-    else:
-        totals = df.agg(*measures)
+
+    # one row per task for the row checks; keys alone are shuffled, and partly counted before
+    totals = df.agg(*measures)
+    for i, e in unique_checks:
+        per_value = df.where(F.col(e.column).isNotNull()).groupBy(e.column).count()
+        repeats = per_value.where("count > 1").agg(F.coalesce(F.sum("count"), F.lit(0)))
+        totals = totals.withColumn(f"_n{i}", repeats.scalar())
 
     def row(i: int, e: Expectation) -> Column:
         if e.check == EXISTS:
@@ -141,7 +129,7 @@ def evaluate(df: DataFrame, table_name: str, layer: str, suite: Sequence[Expecta
 
 def table_status(results: DataFrame) -> DataFrame:
     """Per table: PASSED or FAILED, and the failed checks as ``; ``-joined text."""
-    message = F.format_string("%s failed on column '%s'", "expectation", "column_name")
+    message = F.format_string("%s failed on column '%s'", "expectation", "column_name")  # fixed value: text in result rows
     failed = F.when(~F.col("success"), message)
 
     def joined(severity: str) -> Column:

@@ -6,6 +6,8 @@ names, and those they need, in front of its text.
 
 from __future__ import annotations
 
+from shelfline.names import AS_OF_DAY, DRIFT_START, MONTHS, PERIOD, REPLAY_DAY
+
 
 def hit(key: str, rate: float, shift: int = 0) -> str:
     return f"((({key}) % 10000) * 7919 + {shift}) % 10000 < {round(rate * 10000)}"
@@ -118,6 +120,13 @@ FROM damaged_marketplace""",
     ),
     "conform_storefront": (("raw_storefront",), _conform_storefront("raw_storefront")),
     "conform_marketplace": (("raw_marketplace",), _conform_marketplace("raw_marketplace")),
+    "market_orders": (("conform_marketplace",), _latest("conform_marketplace")),
+    "dirty_inventory": (
+        ("raw_inventory",),
+        """SELECT *, CASE WHEN CAST(substr(inventory_id, 5) AS INTEGER) % 7 = 0 THEN 'n/a'
+  WHEN quantity_reserved IS NOT NULL THEN CAST(quantity_reserved AS VARCHAR) || '.0' END AS reserved_text
+FROM raw_inventory""",
+    ),
     "conformed": (
         ("conform_storefront", "conform_marketplace"),
         "SELECT * FROM conform_storefront UNION ALL BY NAME SELECT * FROM conform_marketplace",
@@ -465,11 +474,6 @@ _EVENT_FIELDS = """(VALUES ('event_id', 'BIGINT'), ('ts', 'TIMESTAMP_NTZ'), ('us
   ('event_type', 'STRING'), ('value', 'DOUBLE'), ('props', 'STRING')) AS f(field, type)"""
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
-PERIOD = ("1998-03-01", "1998-03-31")
-MONTHS = ("1998-01", "1998-03")
-REPLAY_DAY = "1998-03-15"
-AS_OF_DAY = "1998-06-30"
-DRIFT_START = "1998-07-01"
 
 _STOREFRONT_COLUMNS = "order_id, customer_id, product_id, order_date, quantity, revenue, order_status"
 _IN_PERIOD = "BETWEEN DATE '{}' AND DATE '{}'".format(*PERIOD)
@@ -508,9 +512,15 @@ FROM clean_marketplace""",
     "bronze_marketplace": step("bronze_marketplace"),
     "bronze_inventory": step("bronze_inventory"),
     "bronze_replay": sql(
-        f"SELECT {_STOREFRONT_COLUMNS}, promo_code_applied, _batch_id, _ingestion_date FROM storefront_history "
-        f"WHERE _ingestion_date = DATE '{REPLAY_DAY}'",
-        "storefront_history",
+        _union([
+            f"SELECT '{table}' AS feed, {key} AS line_id, customer_id, CAST(quantity AS VARCHAR) AS quantity, "
+            f"_batch_id, _ingestion_date FROM {source} WHERE _ingestion_date = DATE '{REPLAY_DAY}'"
+            for table, key, source in (
+                ("shopify_orders", "order_id", "storefront_history"),
+                ("amazon_orders", "marketplace_order_id", "marketplace_history"),
+            )
+        ]),
+        "storefront_history", "marketplace_history",
     ),
     "bronze_schema_evolution": sql(
         f"SELECT {_STOREFRONT_COLUMNS}, CASE WHEN order_date >= DATE '{DRIFT_START}' THEN promo_code_applied END "
@@ -520,11 +530,73 @@ FROM clean_marketplace""",
     "idempotent_reload": sql(
         _union([
             f"SELECT '{mode}' AS reload, {runs} * COUNT(*) AS row_count FROM raw_marketplace"
-            for mode, runs in (("append", 2), ("skip_loaded", 1), ("replace_day", 1))
+            for mode, runs in (("append", 4), ("skip_loaded", 2), ("replace_batch", 2))
         ]),
         "raw_marketplace",
     ),
-    "file_drop_stream": step("bronze_marketplace"),
+    "file_drop_stream": step("bronze_marketplace", "* REPLACE ('batch-1-0' AS _batch_id)"),
+    "bronze_from_csv": sql(
+        "SELECT inventory_id, product_id, warehouse_id, CAST(quantity_available AS VARCHAR) AS quantity_available, "
+        "reserved_text, strftime(last_updated, '%Y-%m-%d %H:%M:%S') AS last_updated, "
+        "CASE WHEN reserved_text <> 'n/a' THEN quantity_reserved END AS reserved_read, "
+        "COUNT(*) FILTER (WHERE reserved_text = 'n/a') OVER () AS unreadable FROM dirty_inventory",
+        "dirty_inventory",
+    ),
+    "file_drop_inventory": sql(
+        """SELECT inventory_id, product_id, warehouse_id, quantity_available,
+  CASE WHEN reserved_text IS NULL THEN 0 WHEN reserved_text <> 'n/a' THEN quantity_reserved END AS quantity_reserved,
+  last_updated, CAST(last_updated AS DATE) AS order_date
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY inventory_id
+        ORDER BY last_updated DESC NULLS LAST, quantity_available DESC NULLS LAST) AS rn
+      FROM dirty_inventory) WHERE rn = 1""",
+        "dirty_inventory",
+    ),
+    "stream_then_batch": sql(
+        "SELECT 'batch-1-0' AS _batch_id, COUNT(*) AS row_count FROM raw_marketplace "
+        "UNION ALL SELECT 'batch-2', COUNT(*) FROM raw_marketplace",
+        "raw_marketplace",
+    ),
+    "schema_growth": sql(
+        f"""SELECT CASE WHEN order_date >= DATE '{DRIFT_START}' THEN 'batch-2' ELSE 'batch-1' END AS _batch_id,
+  COUNT(*) AS row_count,
+  COUNT(CASE WHEN order_date >= DATE '{DRIFT_START}' THEN order_status END) AS with_status,
+  COUNT(CASE WHEN order_date >= DATE '{DRIFT_START}' THEN promo_code_applied END) AS with_promo,
+  (SELECT COUNT(DISTINCT order_id) FROM raw_storefront) AS silver_orders
+FROM raw_storefront GROUP BY 1""",
+        "raw_storefront",
+    ),
+    "money_extremes": """SELECT DATE '2024-01-01' AS order_date, 'shopify' AS channel, kind AS order_status,
+  unit_total AS total_revenue, CAST(n AS BIGINT) AS total_quantity, n AS order_count,
+  unit_total / n AS avg_order_value, '2024-01' AS order_month
+FROM (SELECT kind, COUNT(*) AS n, CASE kind
+        WHEN 'tenths of a cent' THEN CAST(COUNT(*) * 4 AS DOUBLE) / CAST(1000 AS DOUBLE)
+        WHEN 'very large' THEN CAST(COUNT(*) AS DOUBLE) * 18014398509481984.0::DOUBLE
+        ELSE CAST(COUNT(*) AS DOUBLE) * 1.2676506002282294e30::DOUBLE END AS unit_total
+      FROM (SELECT CASE o_orderkey % 4 WHEN 0 THEN 'tenths of a cent' WHEN 1 THEN 'very large'
+                   WHEN 2 THEN 'beyond the decimal' END AS kind FROM orders)
+      WHERE kind IS NOT NULL GROUP BY kind)""",
+    "layer_run_skipped": sql(
+        _union([
+            f"SELECT '{layer}' AS layer, '{table}' AS table_name, ({n}) AS row_count, CAST(1 AS BIGINT) AS events"
+            for layer, table, n in (
+                ("bronze", "amazon_orders", "SELECT COUNT(*) FROM raw_marketplace"),
+                ("bronze", "inventory_feed", "SELECT COUNT(*) FROM raw_inventory"),
+                ("silver", "orders", "SELECT COUNT(*) FROM market_orders"),
+                ("silver", "customers",
+                 "SELECT COUNT(DISTINCT customer_id) FROM raw_marketplace"),
+                ("silver", "products",
+                 "SELECT COUNT(*) FROM (SELECT sku FROM raw_marketplace WHERE sku IS NOT NULL "
+                 "UNION SELECT product_id FROM raw_inventory)"),
+                ("silver", "inventory", "SELECT COUNT(*) FROM silver_inventory"),
+                ("gold", "revenue_mart", "SELECT COUNT(DISTINCT order_date) FROM market_orders"),
+                ("gold", "channel_performance_mart",
+                 "SELECT COUNT(DISTINCT strftime(order_date, '%Y-%m')) FROM market_orders"),
+                ("gold", "customer_360_mart", "SELECT COUNT(DISTINCT customer_id) FROM raw_marketplace"),
+                ("gold", "inventory_turnover_mart", "SELECT COUNT(*) FROM silver_inventory"),
+            )
+        ]),
+        "raw_marketplace", "raw_inventory", "market_orders", "silver_inventory",
+    ),
     # contract
     "contract_report_clean": _contract("raw_storefront", CLEAN_RULES),
     "contract_report_dirty": _contract("broken_storefront", BROKEN_RULES),
@@ -589,9 +661,11 @@ FROM (SELECT *, LAG(total_revenue) OVER (PARTITION BY channel ORDER BY order_mon
         "silver_orders", "silver_customers", "silver_products", "silver_inventory",
     ),
     "late_arrival_profile": sql(
-        "SELECT CAST(_ingestion_date - order_date AS INTEGER) AS days_late, COUNT(*) AS row_count "
-        "FROM storefront_history GROUP BY 1",
-        "storefront_history",
+        "SELECT feed, days_late, COUNT(*) AS row_count FROM ("
+        "SELECT 'shopify_orders' AS feed, CAST(_ingestion_date - order_date AS INTEGER) AS days_late "
+        "FROM storefront_history UNION ALL SELECT 'amazon_orders', "
+        "CAST(_ingestion_date - CAST(order_timestamp AS DATE) AS INTEGER) FROM marketplace_history) GROUP BY 1, 2",
+        "storefront_history", "marketplace_history",
     ),
     # run health
     "run_status_24h": sql(

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from shelfline.functions.columns import as_declared
 from shelfline.names import (
     FEED_SCHEMAS,
     INVENTORY_TABLE,
@@ -21,7 +23,7 @@ from shelfline.operators.contract import (
     contract_gate,
     enforce,
 )
-from shelfline.sources.feeds import read_text_feed, typed_feed
+from shelfline.sources.feeds import read_text_feed
 from shelfline.sources.tables import batch_is_loaded, table_path, write_layer
 
 
@@ -52,15 +54,38 @@ def arrived_until(bronze: DataFrame, day: str) -> DataFrame:
     return bronze.where(F.col("_ingestion_date") <= F.lit(day).cast("date"))
 
 
+def as_arrived(feed: DataFrame, table: str) -> DataFrame:
+    """Every source column as text; declared columns that did not come are null.
+
+    Bronze keeps what came, readable or not. Types are given on the way to silver.
+    """
+    came = [F.col(c).cast("string").alias(c) for c in feed.columns]
+    absent = [F.lit(None).cast("string").alias(c) for c in FEED_SCHEMAS[table].fieldNames() if c not in feed.columns]
+    return feed.select(*came, *absent)
+
+
+def _unreadable(text: DataFrame, table: str) -> dict[str, Column]:
+    """Per declared column that is not text: rows whose text cannot be read as its type."""
+    return {
+        f.name: F.count_if(F.col(f.name).isNotNull() & F.expr(as_declared(text, f.name, f.dataType)).isNull())
+        for f in FEED_SCHEMAS[table]
+        if not isinstance(f.dataType, T.StringType)
+    }
+
+
 @dataclass
 class IngestResult:
-    """Rows written per table, and why tables were left out."""
+    """Rows written per table, values that cannot be read as their type, and why tables were left out."""
 
     rows: dict[str, int] = field(default_factory=dict)
+    unreadable: dict[str, dict[str, int]] = field(default_factory=dict)
     skipped: dict[str, str] = field(default_factory=dict)
     warnings: list[str] = field(default_factory=list)
 
 
+RELOADS = ("append", "skip_loaded", "replace_batch")
+
+
 def ingest(
     spark: SparkSession,
     root: str,
@@ -69,22 +94,22 @@ def ingest(
     contract: Contract = STOREFRONT_CONTRACT,
     reload: str = "append",
 ) -> IngestResult:
-    """Write one batch of every feed into bronze.
+    """Write one batch of every feed into bronze, as text.
 
     ``feeds`` maps a table to a CSV path or to a frame. A missing path raises
     before anything is written. A storefront batch that breaks the contract is
     left out as a whole, and the other feeds go on.
 
     ``reload`` decides what a second run of a batch does: ``append`` stores it
-    again, ``skip_loaded`` leaves it out, and ``replace_day`` replaces what the
-    batch's day held before.
+    again, ``skip_loaded`` leaves it out, and ``replace_batch`` replaces what the
+    same batch stored before. Other batches of the day stay.
     """
-    if reload not in ("append", "skip_loaded", "replace_day"):
+    if reload not in RELOADS:
         raise ValueError(f"unknown reload mode: {reload}")
     batch = batch or Batch()
     texts = {t: read_text_feed(spark, f) if isinstance(f, str) else clean_column_names(f) for t, f in feeds.items()}
     result = IngestResult()
-    for table, text in texts.items():
+    for table, feed in texts.items():
         if reload == "skip_loaded" and batch_is_loaded(
             spark, table_path(root, "bronze", table), batch.batch_id, batch.ingestion_date
         ):
@@ -92,18 +117,20 @@ def ingest(
             continue
         if table == STOREFRONT_TABLE:
             try:
-                result.warnings += enforce(text, contract)["warnings"]
+                result.warnings += enforce(feed, contract)["warnings"]
             except ContractViolation as violation:
                 result.skipped[table] = str(violation)
                 continue
-        out = stamp(typed_feed(text, FEED_SCHEMAS[table]), table, batch)
+        text, lost = as_arrived(feed, table), Observation()
+        counts = [n.alias(c) for c, n in _unreadable(text, table).items()]
         result.rows[table] = write_layer(
-            out,
+            stamp(text.observe(lost, *counts), table, batch),
             root,
             "bronze",
             table,
-            mode="overwrite" if reload == "replace_day" else "append",
+            mode="overwrite" if reload == "replace_batch" else "append",
             rebalance=False,
-            only_touched_partitions=reload == "replace_day",
+            only_touched_partitions=reload == "replace_batch",
         )
+        result.unreadable[table] = {c: n for c, n in lost.get.items() if n}
     return result

@@ -16,7 +16,7 @@ from shelfline.names import (
     SILVER_TABLES,
     STOREFRONT_TABLE,
 )
-from shelfline.sources.tables import table_path
+from shelfline.sources.tables import as_columns, path_exists, read_stored, table_path
 
 LAYERS = {"bronze": BRONZE_TABLES, "silver": SILVER_TABLES, "gold": GOLD_TABLES}
 
@@ -28,10 +28,10 @@ COMMENTS = {
     "customers": "Distinct customers of all channels",
     "products": "Distinct products of all sources",
     "inventory": "Newest stock position per inventory id",
-    "revenue_mart": "Daily revenue by channel and order status - owner: Analytics Team",
-    "channel_performance_mart": "Monthly figures per channel - owner: Analytics Team",
-    "customer_360_mart": "Lifetime figures per customer - owner: CRM Team",
-    "inventory_turnover_mart": "Stock turnover per product and warehouse - owner: Supply Chain Team",
+    "revenue_mart": "Revenue, units and orders for each day, channel and status (Analytics Team)",
+    "channel_performance_mart": "What each channel sold in a month, and to how many customers (Analytics Team)",
+    "customer_360_mart": "All that a known customer bought so far (CRM Team)",
+    "inventory_turnover_mart": "Units sold beside the stock of each warehouse (Supply Chain Team)",
 }
 
 
@@ -44,10 +44,21 @@ def register(spark: SparkSession, root: str, prefix: str = "") -> None:
             f"LOCATION '{root}/_databases/{database}'"
         )
         for table in tables:
+            path = table_path(root, layer, table)
+            if not path_exists(spark, path):
+                continue  # a feed that was never delivered
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read_stored(spark, root, layer, table).schema)
+            partitions = PARTITION_COLUMN[layer][table]
+            by = f"PARTITIONED BY ({', '.join(as_columns(partitions))}) " if partitions else ""
             spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {database}.{table} USING parquet "
-                f"COMMENT '{COMMENTS[table]}' LOCATION '{table_path(root, layer, table)}'"
+                f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet {by}"
+                f"COMMENT '{COMMENTS[table]}' LOCATION '{path}'"
             )
+            stored = read_stored(spark, root, layer, table)
+            known = set(spark.table(f"{database}.{table}").columns)
+            grown = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema if f.name not in known)
+            if grown:
+                spark.sql(f"ALTER TABLE {database}.{table} ADD COLUMNS ({grown})")
             if PARTITION_COLUMN[layer][table]:
                 spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
 
@@ -71,5 +82,12 @@ def row_counts(spark: SparkSession, prefix: str = "") -> DataFrame:
         )
         for layer, tables in LAYERS.items()
         for table in tables
+        if spark.catalog.tableExists(f"{prefix}{layer}.{table}")
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def unregister(spark: SparkSession, prefix: str = "") -> None:
+    """Drop the databases of :func:`register`; the stored files stay."""
+    for layer in LAYERS:
+        spark.sql(f"DROP DATABASE IF EXISTS {prefix}{layer} CASCADE")

@@ -104,15 +104,23 @@ def event_json(
 
 
 def run_events(
-    spark: SparkSession, schemas: dict[str, T.StructType], parent_run_id: str, event_time: str
+    spark: SparkSession,
+    schemas: dict[str, T.StructType],
+    parent_run_id: str,
+    event_time: str,
+    written: set[str] | None = None,
 ) -> DataFrame:
-    """One event per job of a run; ``schemas`` holds the real schema per dataset."""
+    """One event per job of a run; ``schemas`` holds the real schema per dataset.
+
+    ``written`` names the datasets that the run wrote; jobs of others have no event.
+    """
     rows = [
         (
             f"{parent_run_id}/{job.name}", job.name, list(job.inputs), job.output,
             [(f.name, f.dataType.simpleString().upper()) for f in schemas[job.output]],
         )
         for job in JOBS
+        if written is None or job.output in written
     ]
     jobs = spark.createDataFrame(
         rows,

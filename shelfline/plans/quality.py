@@ -11,6 +11,7 @@ from shelfline.names import BATCH_COLUMNS, CHANNELS, INVENTORY_TABLE, MARKETPLAC
 from shelfline.operators.expectations import (
     Expectation,
     between,
+    QualityFailure,
     evaluate,
     exists,
     in_set,
@@ -83,3 +84,25 @@ def gold_nonempty(marts: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).withColumn(
         "status", F.when(F.col("row_count") > 0, "PASSED").otherwise("FAILED")
     )
+
+
+# What each mart is made of: it may be empty only where that is empty, too.
+_MADE_OF = {
+    "revenue_mart": "orders",
+    "channel_performance_mart": "orders",
+    "customer_360_mart": "customers",
+    "inventory_turnover_mart": "inventory",
+}
+
+
+def gold_gate(marts: dict[str, DataFrame], silver: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Status per mart; raises when a mart is empty.
+
+    With ``silver`` given, a mart whose source has no rows may be empty.
+    """
+    status = gold_nonempty(marts)
+    empty = [r.mart for r in status.where("status = 'FAILED'").collect()]
+    failed = [m for m in empty if silver is None or not silver[_MADE_OF[m]].isEmpty()]
+    if failed:
+        raise QualityFailure(f"no rows in {', '.join(sorted(failed))}")
+    return status

@@ -9,13 +9,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from shelfline.operators.batches import Batch
 from shelfline.plans import bronze, gold, lineage, silver
 from shelfline.plans.catalog import LAYERS
-from shelfline.plans.quality import layer_gate
-from shelfline.sources.tables import read_layer, table_path, write_table
+from shelfline.plans.quality import gold_gate, layer_gate
+from shelfline.sources.tables import bronze_schema, read_bronze, read_layer, table_path, write_layer, write_table
+from shelfline.sources.workspace import new_run_root
 
 
 def layer_tables(spark: SparkSession, root: str, layer: str) -> dict[str, DataFrame]:
-    """The stored tables of a layer. Each is listed once and then used by all steps."""
-    return {table: read_layer(spark, root, layer, table) for table in LAYERS[layer]}
+    """The stored tables of a layer. Each is listed once and then used by all steps.
+
+    Silver and gold are read with the schemas that the plans have, so a table without a
+    row, which has no file to ask, reads as an empty one.
+    """
+    if layer == "bronze":
+        return {table: read_bronze(spark, root, table) for table in LAYERS[layer]}
+    plans = silver.tables({t: spark.createDataFrame([], bronze_schema(t)) for t in LAYERS["bronze"]})
+    if layer == "gold":
+        plans = gold.tables(plans)
+    return {table: read_layer(spark, root, layer, table, schema=plans[table].schema) for table in LAYERS[layer]}
+
+
+def publish(spark: SparkSession, staged: str, root: str, layer: str) -> None:
+    """Replace the tables of a layer by the ones built and checked below ``staged``."""
+    for table, df in layer_tables(spark, staged, layer).items():
+        write_layer(df, root, layer, table)
 
 
 @dataclass
@@ -37,25 +53,36 @@ def run_layers(
     gates: bool = True,
     reload: str = "append",
 ) -> RunResult:
-    """Ingest ``feeds`` and rebuild silver and gold under ``root``."""
+    """Ingest ``feeds`` and rebuild silver and gold under ``root``.
+
+    Silver and gold are built in a folder of the run and published once their checks
+    passed; a run that fails leaves the published tables as they were.
+    """
     ingested = bronze.ingest(spark, root, feeds, batch, reload=reload)
     rows, tables = {"bronze": ingested.rows}, {"bronze": layer_tables(spark, root, "bronze")}
+    staged = new_run_root(spark, "staged")
     if gates:
         layer_gate(tables["bronze"], "bronze")
-    rows["silver"] = silver.build(tables["bronze"], root, created_at)
-    tables["silver"] = layer_tables(spark, root, "silver")
+    rows["silver"] = silver.build(tables["bronze"], staged, created_at)
+    built = layer_tables(spark, staged, "silver")
+    if gates:
+        layer_gate(built, "silver")
+    rows["gold"] = gold.build(built, staged)
     if gates:
-        layer_gate(tables["silver"], "silver")
-    rows["gold"] = gold.build(tables["silver"], root)
-    tables["gold"] = layer_tables(spark, root, "gold")
+        # a mart may be empty only if no feed has rows for it
+        gold_gate(layer_tables(spark, staged, "gold"), built)
+    for layer in ("silver", "gold"):
+        publish(spark, staged, root, layer)
+        tables[layer] = layer_tables(spark, root, layer)
     return RunResult(ingested, rows, tables)
 
 
 def log_lineage(spark: SparkSession, root: str, result: RunResult, run_id: str, event_time: str) -> str:
-    """Append the events of a finished run to the event log; returns its path."""
+    """Append the events of the jobs that wrote a table in this run to the event log; returns its path."""
     schemas = {
         f"{layer}.{table}": df.schema for layer, tables in result.tables.items() for table, df in tables.items()
     }
     path = table_path(root, "ops", "lineage_events")
-    write_table(lineage.run_events(spark, schemas, run_id, event_time), path, mode="append")
+    written = {f"{layer}.{table}" for layer, table, _ in result.counts()}
+    write_table(lineage.run_events(spark, schemas, run_id, event_time, written), path, mode="append")
     return path

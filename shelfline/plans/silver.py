@@ -22,6 +22,8 @@ from shelfline.sources.tables import write_layer
 
 
 def conform_storefront(bronze: DataFrame) -> DataFrame:
+    """Storefront lines; the status may be missing as a value or as a column."""
+    status = f"coalesce(order_status, '{UNKNOWN}')" if "order_status" in bronze.columns else f"'{UNKNOWN}'"
     return bronze.selectExpr(
         "order_id",
         "customer_id",
@@ -29,7 +31,7 @@ def conform_storefront(bronze: DataFrame) -> DataFrame:
         f"{as_date('order_date')} AS order_date",
         f"{as_int(bronze, 'quantity')} AS quantity",
         f"{as_double('revenue')} AS revenue",
-        f"coalesce(order_status, '{UNKNOWN}') AS order_status",
+        f"{status} AS order_status",
         f"'{STOREFRONT}' AS channel",
     )
 
@@ -85,7 +87,10 @@ def products(
 
 
 def inventory(inventory_feed: DataFrame) -> DataFrame:
-    """Newest stock position per inventory_id."""
+    """Newest stock position per inventory_id.
+
+    Nothing reserved is 0; a reserved figure that cannot be read stays unknown.
+    """
     reserved = as_int(inventory_feed, "quantity_reserved")
     positions = inventory_feed.where("inventory_id IS NOT NULL").selectExpr(
         "inventory_id",
@@ -112,15 +117,19 @@ def in_period(table: DataFrame, first_day: str, last_day: str) -> DataFrame:
     return table.where(F.col("order_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
 
 
-def build(bronze: dict[str, DataFrame], root: str, created_at: Column | None = None) -> dict[str, int]:
-    """Rebuild all silver tables from the bronze ones; returns rows per table."""
+def tables(bronze: dict[str, DataFrame], created_at: Column | None = None) -> dict[str, DataFrame]:
+    """All silver tables as plans over the bronze ones."""
     storefront, marketplace, stock = (
         bronze[t] for t in (STOREFRONT_TABLE, MARKETPLACE_TABLE, INVENTORY_TABLE)
     )
-    tables = {
+    return {
         "orders": orders(storefront, marketplace),
         "customers": customers(storefront, marketplace, created_at),
         "products": products(storefront, marketplace, stock, created_at),
         "inventory": inventory(stock),
     }
-    return {name: write_layer(df, root, "silver", name) for name, df in tables.items()}
+
+
+def build(bronze: dict[str, DataFrame], root: str, created_at: Column | None = None) -> dict[str, int]:
+    """Rebuild all silver tables from the bronze ones; returns rows per table."""
+    return {name: write_layer(df, root, "silver", name) for name, df in tables(bronze, created_at).items()}

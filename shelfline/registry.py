@@ -13,11 +13,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.functions.columns import as_int
 from shelfline.names import (
+    AS_OF_DAY,
     BATCH_COLUMNS,
+    DRIFT_START,
     INVENTORY_TABLE,
     MARKETPLACE_FEED,
     MARKETPLACE_TABLE,
+    MONTHS,
+    PERIOD,
+    REPLAY_DAY,
     STOREFRONT_TABLE,
 )
 from shelfline.operators.batches import Batch, clean_column_names
@@ -31,19 +37,20 @@ from shelfline.operators.defects import (
 )
 from shelfline.operators.expectations import table_status
 from shelfline.operators.integrity import late_arrival_profile, orphan_counts
-from shelfline.oracles import AS_OF_DAY, DRIFT_START, MONTHS, PERIOD, REPLAY_DAY
 from shelfline.plans import bronze, catalog, gold, health, lineage, quality, runs, silver
 from shelfline.sources import derived_feeds as derived
 from shelfline.sources.feeds import sample_rows as first_rows
-from shelfline.sources.feeds import write_feed
-from shelfline.sources.tables import compact, read_layer, read_table, table_path, write_layer, write_table
+from shelfline.sources.feeds import typed_feed, write_feed
+from shelfline.sources.tables import compact, read_bronze, read_layer, read_table, write_layer, write_table
 from shelfline.sources.workspace import new_run_root
+from shelfline.sources.workspace import stored as _stored
 from shelfline.streaming.file_drop import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 BATCH = Batch("batch-1", "2024-01-31T00:00:00+00:00")
+SECOND_BATCH = Batch("batch-2", "2024-01-31T06:00:00+00:00")
 
 
 def query(function: Query) -> Query:
@@ -72,13 +79,6 @@ def _inventory(spark: SparkSession, folder: str) -> DataFrame:
     return silver.inventory(derived.raw_inventory(spark, folder))
 
 
-def _stored(spark: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame:
-    """``df`` written below ``root`` and read back, for use by several results."""
-    path = f"{root}/{name}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _stored_feeds(spark: SparkSession, folder: str, root: str) -> dict[str, DataFrame]:
     return {t: _stored(spark, f, root, f"raw/{t}") for t, f in derived.raw_feeds(spark, folder).items()}
 
@@ -140,8 +140,19 @@ def bronze_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def bronze_replay(spark: SparkSession, folder: str) -> DataFrame:
-    storefront, _ = derived.sales_history(spark, folder)
-    return bronze.arrived_on(storefront, REPLAY_DAY).drop("_ingestion_timestamp", "_source_system")
+    """What arrived on a day, from the stored tables of both order feeds: one partition of each is read."""
+    root = new_run_root(spark, "replay")
+    keys = {STOREFRONT_TABLE: "order_id", MARKETPLACE_TABLE: "marketplace_order_id"}
+    shown = []
+    for (table, key), feed in zip(keys.items(), derived.sales_history(spark, folder), strict=True):
+        write_layer(bronze.as_arrived(feed, table).withColumn("_ingestion_date", F.col("_ingestion_date").cast("date")), root, "bronze", table)
+        arrived = bronze.arrived_on(read_bronze(spark, root, table), REPLAY_DAY)
+        shown.append(
+            arrived.select(
+                F.lit(table).alias("feed"), F.col(key).alias("line_id"), "customer_id", "quantity", "_batch_id", "_ingestion_date"
+            )
+        )
+    return reduce(DataFrame.unionByName, shown)
 
 
 @query
@@ -157,14 +168,14 @@ def bronze_schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def idempotent_reload(spark: SparkSession, folder: str) -> DataFrame:
-    """The same batch loaded twice under each reload mode."""
+    """Two batches of one day, each loaded twice under each reload mode."""
     root = new_run_root(spark, "reload")
     feed = _stored(spark, derived.raw_marketplace(spark, folder), root, "raw")
     counts = []
-    for mode in ("append", "skip_loaded", "replace_day"):
-        for _ in range(2):
-            bronze.ingest(spark, f"{root}/{mode}", {MARKETPLACE_TABLE: feed}, BATCH, reload=mode)
-        stored = read_layer(spark, f"{root}/{mode}", "bronze", MARKETPLACE_TABLE)
+    for mode in bronze.RELOADS:
+        for batch in (BATCH, SECOND_BATCH, BATCH, SECOND_BATCH):
+            bronze.ingest(spark, f"{root}/{mode}", {MARKETPLACE_TABLE: feed}, batch, reload=mode)
+        stored = read_bronze(spark, f"{root}/{mode}", MARKETPLACE_TABLE)
         counts.append(stored.agg(F.lit(mode).alias("reload"), F.count(F.lit(1)).alias("row_count")))
     return reduce(DataFrame.unionByName, counts)
 
@@ -174,13 +185,76 @@ def file_drop_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Dropped files are loaded once: the second call finds nothing new."""
     root = new_run_root(spark, "drop")
     write_feed(derived.raw_marketplace(spark, folder), f"{root}/drop")
-    target = table_path(root, "bronze", MARKETPLACE_TABLE)
     for _ in range(2):
-        load_new_files(
-            spark, f"{root}/drop", MARKETPLACE_FEED, MARKETPLACE_TABLE, target, f"{root}/checkpoint", BATCH
-        )
+        load_new_files(spark, f"{root}/drop", MARKETPLACE_TABLE, root, f"{root}/checkpoint", BATCH)
     columns = [*MARKETPLACE_FEED.fieldNames(), *BATCH_COLUMNS]
-    return spark.read.parquet(target).select(*columns)
+    return typed_feed(read_bronze(spark, root, MARKETPLACE_TABLE), MARKETPLACE_FEED).select(*columns)
+
+
+def _drop_dirty_inventory(spark: SparkSession, folder: str, path: str) -> None:
+    """Inventory as CSV text: reserved figures such as ``79.0``, some that cannot be read, some empty."""
+    reserved = F.when(F.substring("inventory_id", 5, 9).cast("int") % 7 == 0, "n/a").when(
+        F.col("quantity_reserved").isNotNull(), F.concat(F.col("quantity_reserved").cast("string"), F.lit(".0"))
+    )
+    text = derived.raw_inventory(spark, folder).withColumns(
+        {"quantity_reserved": reserved, "last_updated": F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss")}
+    )
+    write_feed(text, path)
+
+
+@query
+def bronze_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Text stays as it came, is counted where it cannot be read, and is read on the way to silver."""
+    root = new_run_root(spark, "csv")
+    _drop_dirty_inventory(spark, folder, f"{root}/in")
+    result = bronze.ingest(spark, root, {INVENTORY_TABLE: f"{root}/in"}, BATCH)
+    kept = read_bronze(spark, root, INVENTORY_TABLE)
+    return kept.selectExpr(
+        "inventory_id", "product_id", "warehouse_id", "quantity_available", "quantity_reserved AS reserved_text",
+        "last_updated", f"{as_int(kept, 'quantity_reserved')} AS reserved_read",
+        f"{result.unreadable[INVENTORY_TABLE].get('quantity_reserved', 0)}L AS unreadable",
+    )
+
+
+@query
+def file_drop_inventory(spark: SparkSession, folder: str) -> DataFrame:
+    root = new_run_root(spark, "drop")
+    _drop_dirty_inventory(spark, folder, f"{root}/in")
+    load_new_files(spark, f"{root}/in", INVENTORY_TABLE, root, f"{root}/checkpoint", BATCH)
+    return silver.inventory(read_bronze(spark, root, INVENTORY_TABLE))
+
+
+@query
+def stream_then_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Dropped files and a batch share a table."""
+    root = new_run_root(spark, "both")
+    feed = _stored(spark, derived.raw_marketplace(spark, folder), root, "raw")
+    write_feed(feed, f"{root}/in")
+    load_new_files(spark, f"{root}/in", MARKETPLACE_TABLE, root, f"{root}/checkpoint", BATCH)
+    bronze.ingest(spark, root, {MARKETPLACE_TABLE: feed}, SECOND_BATCH)
+    return read_bronze(spark, root, MARKETPLACE_TABLE).groupBy("_batch_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def schema_growth(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch without the status column, then one with a new column: both are seen in silver and in the catalog."""
+    root = new_run_root(spark, "growth")
+    feed = _stored(spark, derived.raw_storefront(spark, folder), root, "raw")
+    later = F.col("order_date") >= F.lit(DRIFT_START).cast("date")
+    prefix = f"grown_{root[-8:]}_"
+    for part, batch in ((feed.where(~later).drop("order_status", "promo_code_applied"), BATCH), (feed.where(later), SECOND_BATCH)):
+        bronze.ingest(spark, root, {STOREFRONT_TABLE: part}, batch)
+        catalog.register(spark, root, prefix)
+    orders = silver.orders(read_bronze(spark, root, STOREFRONT_TABLE), read_bronze(spark, root, MARKETPLACE_TABLE))
+    seen = spark.table(f"{prefix}bronze.{STOREFRONT_TABLE}").groupBy("_batch_id").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count("order_status").alias("with_status"),
+        F.count("promo_code_applied").alias("with_promo"),
+    )
+    counted = orders.agg(F.count(F.lit(1)).alias("silver_orders"))
+    result = _stored(spark, seen.withColumn("silver_orders", counted.scalar()), root, "seen")
+    catalog.unregister(spark, prefix)
+    return result
 
 
 # contract
@@ -259,7 +333,10 @@ def silver_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def silver_period(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.in_period(_orders(spark, folder), *PERIOD)
+    """A business period of the stored table: only its day partitions are read."""
+    root = new_run_root(spark, "period")
+    write_layer(_orders(spark, folder), root, "silver", "orders")
+    return silver.in_period(read_layer(spark, root, "silver", "orders"), *PERIOD)
 
 
 @query
@@ -284,10 +361,30 @@ def channel_performance_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def customer_360_mart(spark: SparkSession, folder: str) -> DataFrame:
-    sales = derived.raw_sales(spark, folder)
+    root = new_run_root(spark, "customers")
+    feeds = zip((STOREFRONT_TABLE, MARKETPLACE_TABLE), derived.raw_sales(spark, folder), strict=True)
+    sales = [_stored(spark, feed, root, table) for table, feed in feeds]
     return gold.customer_360_mart(silver.orders(*sales), silver.customers(*sales).drop("_created_at"))
 
 
+@query
+def money_extremes(spark: SparkSession, folder: str) -> DataFrame:
+    """The revenue mart over amounts below a cent, negative ones, very large ones and such as no decimal holds."""
+    amounts = {
+        0: ("tenths of a cent", "0.004D"),
+        1: ("very large", "18014398509481984D"),
+        2: ("beyond the decimal", "1.2676506002282294e30D"),
+        3: ("negative", "-0.004D"),
+    }
+    kind = "CASE " + " ".join(f"WHEN o_orderkey % 4 = {k} THEN '{name}'" for k, (name, _) in amounts.items()) + " END"
+    amount = "CASE " + " ".join(f"WHEN o_orderkey % 4 = {k} THEN {value}" for k, (_, value) in amounts.items()) + " END"
+    orders = derived.table(spark, folder, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS order_id", "DATE '2024-01-01' AS order_date", "'shopify' AS channel",
+        f"{kind} AS order_status", "1 AS quantity", f"{amount} AS revenue",
+    )
+    return gold.revenue_mart(orders)
+
+
 @query
 def inventory_turnover_mart(spark: SparkSession, folder: str) -> DataFrame:
     return gold.inventory_turnover_mart(_inventory(spark, folder), _orders(spark, folder))
@@ -328,7 +425,8 @@ def dq_bronze_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dq_silver_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.check_table(_orders(spark, folder), "silver", "orders")
+    stored = _stored(spark, _orders(spark, folder), new_run_root(spark, "suite"), "orders")
+    return quality.check_table(stored, "silver", "orders")
 
 
 @query
@@ -396,8 +494,13 @@ def referential_orphans(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def late_arrival_profile_query(spark: SparkSession, folder: str) -> DataFrame:
-    storefront, _ = derived.sales_history(spark, folder)
-    return late_arrival_profile(storefront, "order_date")
+    storefront, marketplace = derived.sales_history(spark, folder)
+    marketplace = marketplace.withColumn("order_date", F.to_date("order_timestamp"))
+    profiles = [
+        late_arrival_profile(feed, "order_date").withColumn("feed", F.lit(table))
+        for table, feed in ((STOREFRONT_TABLE, storefront), (MARKETPLACE_TABLE, marketplace))
+    ]
+    return reduce(DataFrame.unionByName, profiles)
 
 
 # run health
@@ -480,13 +583,28 @@ def layer_run_lineage(spark: SparkSession, folder: str) -> DataFrame:
     return lineage.lineage_edges(log).join(written, "output", "left")
 
 
+@query
+def layer_run_skipped(spark: SparkSession, folder: str) -> DataFrame:
+    """A run on a new root whose storefront breaks its contract: rows and events of what was written."""
+    root = new_run_root(spark, "skipped")
+    feeds = derived.raw_feeds(spark, folder) | {STOREFRONT_TABLE: derived.broken_storefront(spark, folder)}
+    result = runs.run_layers(spark, root, feeds, BATCH)
+    log = read_table(spark, runs.log_lineage(spark, root, result, "run-1", BATCH.ingested_at))
+    written = spark.createDataFrame(result.counts(), "layer string, table_name string, row_count bigint")
+    events = lineage.lineage_edges(log).groupBy("output").agg(F.max("run_count").alias("events"))
+    return written.join(events, F.expr("concat(layer, '.', table_name) = output"), "full").drop("output")
+
+
 @query
 def catalog_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Registered tables of a whole run, counted through the catalog."""
     root, _ = _full_run(spark, folder, "catalog")
     prefix = f"run_{root[-8:]}_"
     catalog.register(spark, root, prefix)
-    return catalog.row_counts(spark, prefix).join(catalog.summary(spark, prefix), ["layer", "table_name"])
+    counted = catalog.row_counts(spark, prefix).join(catalog.summary(spark, prefix), ["layer", "table_name"])
+    result = _stored(spark, counted, root, "summary")
+    catalog.unregister(spark, prefix)
+    return result
 
 
 # layout of stored tables

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager, nullcontext
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.names import PARTITION_COLUMN
+from shelfline.names import BATCH_COLUMNS, FEED_SCHEMAS, PARTITION_COLUMN
 
 
 def table_path(root: str, layer: str, table: str) -> str:
@@ -41,24 +40,39 @@ def read_layer(spark: SparkSession, root: str, layer: str, table: str, **options
     return read_table(spark, table_path(root, layer, table), **options)
 
 
-@contextmanager
-def _session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+def as_columns(names: str | Sequence[str] | None) -> list[str]:
+    return [names] if isinstance(names, str) else list(names or ())
+
+
+def bronze_schema(table: str, extra: Sequence[str] = ()) -> T.StructType:
+    """Declared and ``extra`` source columns, all as the text that came, and the batch columns."""
+    text = [*FEED_SCHEMAS[table].fieldNames(), *extra, *(c for c in BATCH_COLUMNS if c != "_ingestion_date")]
+    return T.StructType([*(T.StructField(c, T.StringType()) for c in text), T.StructField("_ingestion_date", T.DateType())])
+
+
+def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A bronze table with every column that any batch brought; no rows if there is no table yet.
+
+    Files are asked for their columns, because a later batch may have brought new ones;
+    that is a job over the footers, not over the data.
+    """
+    path = table_path(root, "bronze", table)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], bronze_schema(table))
+    stored = spark.read.option("mergeSchema", "true").parquet(path).columns
+    extra = [c for c in stored if c not in FEED_SCHEMAS[table].fieldNames() and c not in BATCH_COLUMNS]
+    return spark.read.schema(bronze_schema(table, extra)).parquet(path)
+
+
+def read_stored(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
+    return read_bronze(spark, root, table) if layer == "bronze" else read_layer(spark, root, layer, table)
 
 
 def write_table(
     df: DataFrame,
     path: str,
     mode: str = "overwrite",
-    partition_by: str | None = None,
+    partition_by: str | Sequence[str] | None = None,
     rebalance: bool = True,
     only_touched_partitions: bool = False,
     fmt: str = "parquet",
@@ -67,24 +81,22 @@ def write_table(
 
     ``rebalance`` gathers the rows of a partition value to hold the file count
     down, and lets adaptive execution split a value that is too big for one task,
-    so a hot day or month does not end up in one writer. Shuffle partitions are
-    merged only down to one task per core even when they are small: merging saves
+    so a hot day or month does not end up in one writer. ``build_session`` keeps
+    small shuffle partitions from being merged too far: merging saves
     no files here, and thousands of days in one task are slow to write. A batch
     that carries a single partition value needs no gathering and is written from
     its own splits.
     """
     counter = Observation()
-    gather = bool(partition_by) and rebalance
-    out = df.hint("rebalance", partition_by) if gather else df
+    columns = as_columns(partition_by)
+    out = df.hint("rebalance", *columns) if columns and rebalance else df
     out = out.observe(counter, F.count(F.lit(1)).alias("rows"))
     writer = out.write.format(fmt).mode(mode)
     if only_touched_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    smallest = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    with _session_setting(df.sparkSession, smallest, "16k") if gather else nullcontext():
-        writer.save(path)
+    if columns:
+        writer = writer.partitionBy(*columns)
+    writer.save(path)
     return counter.get["rows"]
 
 
@@ -104,8 +116,9 @@ def batch_is_loaded(spark: SparkSession, path: str, batch_id: str, ingestion_dat
     """Is ``batch_id`` already stored? Looks at its own day's partition only."""
     if not path_exists(spark, path):
         return False
+    keys = T.StructType([T.StructField("_batch_id", T.StringType()), T.StructField("_ingestion_date", T.DateType())])
     same_day = F.col("_ingestion_date") == F.lit(ingestion_date).cast("date")
-    return not spark.read.parquet(path).where(same_day & (F.col("_batch_id") == batch_id)).isEmpty()
+    return not spark.read.schema(keys).parquet(path).where(same_day & (F.col("_batch_id") == batch_id)).isEmpty()
 
 
 def compact(

@@ -2,39 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from shelfline.operators.batches import Batch, add_batch_columns
+from shelfline.names import FEED_SCHEMAS
+from shelfline.operators.batches import Batch
+from shelfline.operators.contract import STOREFRONT_CONTRACT, Contract
+from shelfline.plans.bronze import IngestResult, ingest
 
 
 def load_new_files(
     spark: SparkSession,
     drop_path: str,
-    schema: T.StructType,
-    source_system: str,
-    target: str,
+    table: str,
+    root: str,
     checkpoint: str,
     batch: Batch,
+    contract: Contract = STOREFRONT_CONTRACT,
     max_files: int | None = None,
-) -> None:
-    """Load the files that came since the last call into a bronze table.
+) -> list[IngestResult]:
+    """Load the files that came since the last call into a bronze table of ``root``.
 
-    The checkpoint remembers what was read, so a repeated call, or one that
-    follows a lost run, adds no row twice. ``max_files`` bounds a micro-batch.
-    Headers are checked against ``schema``: a file with other or moved columns
+    Files go the same way as batches do: text stays text, the contract is checked, and
+    both kinds of load can share a table. Each micro-batch is a batch of its own,
+    ``<batch id>-<number>``, and replaces only itself, so a repeated call, or one that follows a
+    lost run, adds no row twice. A micro-batch that breaks the contract is left out and
+    reported. ``max_files`` bounds a micro-batch.
+
+    Headers are checked against the declared columns: a file with other or moved columns
     stops the load instead of filling the wrong columns.
     """
-    reader = spark.readStream.schema(schema).option("header", "true").option("enforceSchema", "false")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in FEED_SCHEMAS[table].fieldNames()])
+    reader = spark.readStream.schema(text).option("header", "true").option("enforceSchema", "false")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    stamped = add_batch_columns(reader.csv(drop_path), source_system, batch.batch_id, batch.ingested_at)
+    results: list[IngestResult] = []
+
+    def load(files: DataFrame, number: int) -> None:
+        own = Batch(f"{batch.batch_id}-{number}", batch.ingested_at)
+        results.append(ingest(spark, root, {table: files}, own, contract, reload="replace_batch"))
+
     query = (
-        stamped.writeStream.format("parquet")
-        .partitionBy("_ingestion_date")
+        reader.csv(drop_path)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
-        .option("path", target)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    return results

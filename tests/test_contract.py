@@ -51,7 +51,7 @@ def test_missing_optional_column_is_ignored(spark):
 
 
 def test_negative_revenue_and_zero_quantity(spark):
-    with pytest.raises(ContractViolation, match="1 critical"):
+    with pytest.raises(ContractViolation, match="revenue >= 0"):
         enforce(batch(spark, changed(revenue=-10.0)))
     with pytest.raises(ContractViolation, match="quantity"):
         enforce(batch(spark, changed(quantity=0)))
@@ -135,3 +135,21 @@ contract:
         ("validation", "quantity", "critical"): 1,
     }
     assert STOREFRONT_CONTRACT.unknown_fields == "warn"
+
+
+def test_validations_judge_the_unrounded_number(spark):
+    df = batch(spark, changed(revenue=-0.004))
+    assert any(r.rule == "validation" and r.field == "revenue" and r.n > 0 for r in contract_report(df).collect())
+
+
+def test_all_declared_types_are_known(spark, tmp_path):
+    kinds = ("string", "date", "integer", "decimal", "double", "float", "long", "boolean", "timestamp")
+    text = "contract:\n  name: n\n  version: 1\n  schema:\n" + "".join(f"    - {{name: c_{k}, type: {k}}}\n" for k in kinds)
+    (tmp_path / "c.yaml").write_text(text)
+    contract = load_contract(str(tmp_path / "c.yaml"))
+    df = spark.createDataFrame([tuple("x" for _ in kinds)], ", ".join(f"c_{k} string" for k in kinds))
+    wrong = {r.field: r.n for r in contract_report(df, contract).collect() if r.rule == "wrong_type"}
+    assert wrong == {f"c_{k}": 1 for k in kinds if k != "string"}
+    (tmp_path / "d.yaml").write_text(text.replace("type: long", "type: longer"))
+    with pytest.raises(ValueError, match="longer"):
+        load_contract(str(tmp_path / "d.yaml"))

@@ -26,7 +26,6 @@ from shelfline.operators.defects import (
     inject_schema_drift,
 )
 from shelfline.operators.integrity import late_arrival_profile, orphan_counts
-from shelfline.operators.joins import left_join_totals
 
 
 def values(df, column):
@@ -169,19 +168,6 @@ def test_first_source_follows_priority_not_row_order(spark):
 # skew-safe join
 
 
-def test_left_join_totals_equals_plain_join(spark, same_rows):
-    left = spark.range(5_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE concat('k', id % 700) END AS k")
-    totals = left.where("k IS NOT NULL AND k <> 'k7'").groupBy("k").agg(F.sum("id").alias("total"))
-    same_rows(left_join_totals(left, totals, "k", ["id"]), left.join(totals, "k", "left"))
-
-
-def test_left_join_totals_cuts_the_hot_key(spark):
-    left = spark.range(3_000).selectExpr("id", "IF(id % 3 = 0, 'hot', concat('k', id)) AS k")
-    totals = left.groupBy("k").agg(F.sum("id").alias("total"))
-    plan = left_join_totals(left, totals, "k", ["id"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64(id" in plan and "sequence" not in plan.split("Join")[0]
-
-
 # defects
 
 

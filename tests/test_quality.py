@@ -11,7 +11,7 @@ from shelfline.operators.expectations import (
     table_status,
     unique,
 )
-from shelfline.plans.quality import SUITES, gold_nonempty
+from shelfline.plans.quality import gold_gate, SUITES, gold_nonempty
 
 
 def results(df, *suite, layer="silver"):
@@ -88,13 +88,22 @@ def test_status_and_gate(df):
         require_passed(good.unionByName(bad))
 
 
-def test_a_suite_is_one_scan_and_one_keyed_shuffle(spark):
+def test_row_checks_move_no_rows_and_keys_travel_alone(spark):
     df = spark.range(10).selectExpr("id % 7 AS order_id", "1 AS revenue", "1 AS quantity", "'amazon' AS channel", "current_date() AS order_date")
     plan = evaluate(df, "t", "silver", SUITES["silver"]["orders"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Range (") == 1
-    assert plan.count("hashpartitioning") == 1
+    keyed = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert len(keyed) == 1 and "order_id" in keyed[0]
 
 
 def test_gold_nonempty(spark):
     out = {r.mart: r.status for r in gold_nonempty({"a": spark.range(2), "b": spark.range(0)}).collect()}
     assert out == {"a": "PASSED", "b": "FAILED"}
+
+
+def test_an_empty_mart_stops_the_run_unless_its_source_is_empty(spark):
+    marts = {"revenue_mart": spark.range(0), "inventory_turnover_mart": spark.range(2)}
+    with pytest.raises(QualityFailure, match="revenue_mart"):
+        gold_gate(marts)
+    with pytest.raises(QualityFailure, match="revenue_mart"):
+        gold_gate(marts, {"orders": spark.range(1), "inventory": spark.range(1)})
+    assert gold_gate(marts, {"orders": spark.range(0), "inventory": spark.range(1)}).count() == 2

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.names import (
     BRONZE_TABLES,
     INVENTORY_FEED,
-    MARKETPLACE_FEED,
+    INVENTORY_TABLE,
     MARKETPLACE_TABLE,
     STOREFRONT_FEED,
     STOREFRONT_TABLE,
@@ -17,7 +17,7 @@ from shelfline.operators.batches import Batch
 from shelfline.operators.expectations import QualityFailure
 from shelfline.plans import bronze, catalog, gold, health, lineage, runs, silver
 from shelfline.sources.feeds import read_feed, read_text_feed, sample_rows, write_feed
-from shelfline.sources.tables import compact, read_layer, read_table, write_table
+from shelfline.sources.tables import compact, read_bronze, read_layer, read_table, write_table
 from shelfline.sources.workspace import new_run_root, shared_base
 from shelfline.streaming.file_drop import load_new_files
 
@@ -148,36 +148,63 @@ def test_contract_violation_skips_only_the_storefront(spark, root):
     assert "quantity" in result.skipped["shopify_orders"]
 
 
-@pytest.mark.parametrize(("mode", "runs_stored"), [("append", 2), ("skip_loaded", 1), ("replace_day", 1)])
+@pytest.mark.parametrize(("mode", "runs_stored"), [("append", 2), ("skip_loaded", 1), ("replace_batch", 1)])
 def test_reload_modes(spark, root, mode, runs_stored):
     feeds = {MARKETPLACE_TABLE: fx.marketplace(spark)}
-    other_day = Batch("b-0", "2026-06-04T01:00:00+00:00")
-    for batch in (other_day, BATCH, BATCH):
+    other_day, same_day = Batch("b-0", "2026-06-04T01:00:00+00:00"), Batch("007", "2026-06-05T09:00:00+00:00")
+    for batch in (other_day, BATCH, same_day, BATCH):
         bronze.ingest(spark, root, feeds, batch, reload=mode)
-    stored = read_layer(spark, root, "bronze", MARKETPLACE_TABLE)
-    assert bronze.arrived_on(stored, "2026-06-05").count() == 4 * runs_stored
+    stored = read_bronze(spark, root, MARKETPLACE_TABLE)
+    assert bronze.arrived_on(stored, "2026-06-05").count() == 4 * (runs_stored + 1)
+    assert stored.where("_batch_id = '007'").count() == 4
     assert bronze.arrived_on(stored, "2026-06-04").count() == 4
     assert bronze.arrived_until(stored, "2026-06-04").count() == 4
 
 
 def test_dropped_files_are_loaded_once(spark, root):
     def load():
-        load_new_files(
-            spark, f"{root}/drop", MARKETPLACE_FEED, MARKETPLACE_TABLE, f"{root}/t", f"{root}/cp", BATCH, max_files=1
-        )
-        return spark.read.parquet(f"{root}/t").count()
+        load_new_files(spark, f"{root}/drop", MARKETPLACE_TABLE, root, f"{root}/cp", BATCH, max_files=1)
+        return read_bronze(spark, root, MARKETPLACE_TABLE).count()
 
     fx.marketplace(spark).coalesce(1).write.mode("append").option("header", "true").csv(f"{root}/drop")
     assert [load(), load()] == [4, 4]
     fx.marketplace(spark).limit(1).coalesce(1).write.mode("append").option("header", "true").csv(f"{root}/drop")
     assert load() == 5
+    bronze.ingest(spark, root, {MARKETPLACE_TABLE: fx.marketplace(spark)}, Batch("by hand", BATCH.ingested_at))
+    assert read_bronze(spark, root, MARKETPLACE_TABLE).count() == 9
 
 
 def test_dropped_file_with_moved_columns_stops_the_load(spark, root):
     moved = fx.marketplace(spark).select("customer_id", "marketplace_order_id", "sku", "quantity", "revenue", "order_timestamp")
     moved.coalesce(1).write.option("header", "true").csv(f"{root}/drop")
     with pytest.raises(StreamingQueryException):
-        load_new_files(spark, f"{root}/drop", MARKETPLACE_FEED, MARKETPLACE_TABLE, f"{root}/t", f"{root}/cp", BATCH)
+        load_new_files(spark, f"{root}/drop", MARKETPLACE_TABLE, root, f"{root}/cp", BATCH)
+
+
+def test_dropped_files_are_held_to_the_contract(spark, root):
+    bad = fx.storefront(spark).withColumns({"quantity": F.lit(0), "revenue": F.lit(-5.0), "promo_code_applied": F.lit("x")})
+    columns = STOREFRONT_FEED.fieldNames()
+    bad.select(*columns).coalesce(1).write.option("header", "true").csv(f"{root}/drop")
+    (result,) = load_new_files(spark, f"{root}/drop", STOREFRONT_TABLE, root, f"{root}/cp", BATCH)
+    assert "quantity" in result.skipped[STOREFRONT_TABLE] and result.rows == {}
+    assert read_bronze(spark, root, STOREFRONT_TABLE).count() == 0
+
+
+def test_unreadable_text_is_kept_and_counted(spark, root):
+    feed = fx.inventory(spark).withColumn("quantity_reserved", F.lit("n/a"))
+    result = bronze.ingest(spark, root, {INVENTORY_TABLE: feed}, BATCH)
+    stored = read_bronze(spark, root, INVENTORY_TABLE)
+    assert result.unreadable[INVENTORY_TABLE]["quantity_reserved"] == 6
+    assert {r.quantity_reserved for r in stored.collect()} == {"n/a"}
+    assert {r.quantity_reserved for r in silver.inventory(stored).collect()} == {None}
+
+
+def test_columns_come_and_stay_away(spark, root):
+    bronze.ingest(spark, root, {STOREFRONT_TABLE: fx.storefront(spark).drop("order_status")}, BATCH)
+    assert {r.order_status for r in silver.conform_storefront(read_bronze(spark, root, STOREFRONT_TABLE)).collect()} == {"unknown"}
+    wider = fx.storefront(spark).withColumn("gift", F.lit("yes"))
+    bronze.ingest(spark, root, {STOREFRONT_TABLE: wider}, Batch("b-2", BATCH.ingested_at))
+    assert read_bronze(spark, root, STOREFRONT_TABLE).where("gift = 'yes'").count() == 4
 
 
 # whole runs
@@ -226,6 +253,30 @@ def test_gates_stop_a_bad_run(spark, root):
         runs.run_layers(spark, f"{root}/b", feeds, BATCH)
 
 
+def test_a_failed_check_leaves_the_published_tables(spark, root):
+    runs.run_layers(spark, root, keyed_feeds(spark), BATCH)
+    before = {t: read_layer(spark, root, "silver", t).count() for t in ("orders", "inventory")}
+    feeds = {MARKETPLACE_TABLE: fx.marketplace(spark).where("marketplace_order_id is not null").withColumn("marketplace_order_id", F.lit("SHOP-2"))}
+    with pytest.raises(QualityFailure, match="silver.orders"):
+        runs.run_layers(spark, root, feeds, Batch("b-2", "2026-06-06T01:00:00+00:00"))
+    assert {t: read_layer(spark, root, "silver", t).count() for t in before} == before
+
+
+def test_a_skipped_feed_stops_nothing_and_leaves_no_event(spark, root):
+    feeds = keyed_feeds(spark)
+    feeds[STOREFRONT_TABLE] = feeds[STOREFRONT_TABLE].withColumn("quantity", F.lit(0))
+    result = runs.run_layers(spark, root, feeds, BATCH)
+    assert STOREFRONT_TABLE in result.ingest.skipped and STOREFRONT_TABLE not in result.rows["bronze"]
+    log = read_table(spark, runs.log_lineage(spark, root, result, "run-1", BATCH.ingested_at))
+    jobs = {r.job for r in log.select("job").collect()}
+    assert "ingest_shopify_orders" not in jobs and "ingest_amazon_orders" in jobs and len(jobs) == 10
+
+
+def test_a_run_with_some_feeds_only(spark, root):
+    result = runs.run_layers(spark, root, {INVENTORY_TABLE: keyed_feeds(spark)[INVENTORY_TABLE]}, BATCH)
+    assert result.rows["silver"]["orders"] == 0 and result.rows["gold"]["inventory_turnover_mart"] == 4
+
+
 def test_lineage_of_a_run(spark, run):
     root, result = run
     log = read_table(spark, runs.log_lineage(spark, root, result, "run-1", BATCH.ingested_at))
