@@ -38,6 +38,9 @@ def let_workers_import(spark: SparkSession) -> None:
     here = str(Path(__file__).resolve().parents[2])
     if here not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([here, *paths])
+    # idle workers stay alive: arrays go back to the system when they are freed
+    for name, value in (("MALLOC_MMAP_THRESHOLD_", "131072"), ("MALLOC_TRIM_THRESHOLD_", "131072"), ("ARROW_DEFAULT_MEMORY_POOL", "system")):
+        environment.setdefault(name, value)
 
 
 def small_batches(spark: SparkSession) -> None:
