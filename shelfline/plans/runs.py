@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -10,8 +11,7 @@ from shelfline.operators.batches import Batch
 from shelfline.plans import bronze, gold, lineage, silver
 from shelfline.plans.catalog import LAYERS
 from shelfline.plans.quality import gold_gate, layer_gate
-from shelfline.sources.tables import bronze_schema, read_bronze, read_layer, table_path, write_layer, write_table
-from shelfline.sources.workspace import new_run_root
+from shelfline.sources.tables import bronze_schema, read_bronze, read_layer, replace_folder, table_path, write_table
 
 
 def layer_tables(spark: SparkSession, root: str, layer: str) -> dict[str, DataFrame]:
@@ -29,9 +29,12 @@ def layer_tables(spark: SparkSession, root: str, layer: str) -> dict[str, DataFr
 
 
 def publish(spark: SparkSession, staged: str, root: str, layer: str) -> None:
-    """Replace the tables of a layer by the ones built and checked below ``staged``."""
-    for table, df in layer_tables(spark, staged, layer).items():
-        write_layer(df, root, layer, table)
+    """Replace the tables of a layer by the ones built and checked below ``staged``.
+
+    Whole folders change their names, so a reader sees the old table or the new one.
+    """
+    for table in LAYERS[layer]:
+        replace_folder(spark, table_path(staged, layer, table), table_path(root, layer, table))
 
 
 @dataclass
@@ -60,7 +63,7 @@ def run_layers(
     """
     ingested = bronze.ingest(spark, root, feeds, batch, reload=reload)
     rows, tables = {"bronze": ingested.rows}, {"bronze": layer_tables(spark, root, "bronze")}
-    staged = new_run_root(spark, "staged")
+    staged = f"{root.rstrip('/')}/_staged/{uuid4().hex}"
     if gates:
         layer_gate(tables["bronze"], "bronze")
     rows["silver"] = silver.build(tables["bronze"], staged, created_at)

@@ -145,11 +145,11 @@ def bronze_replay(spark: SparkSession, folder: str) -> DataFrame:
     keys = {STOREFRONT_TABLE: "order_id", MARKETPLACE_TABLE: "marketplace_order_id"}
     shown = []
     for (table, key), feed in zip(keys.items(), derived.sales_history(spark, folder), strict=True):
-        write_layer(bronze.as_arrived(feed, table).withColumn("_ingestion_date", F.col("_ingestion_date").cast("date")), root, "bronze", table)
-        arrived = bronze.arrived_on(read_bronze(spark, root, table), REPLAY_DAY)
+        write_table(feed, f"{root}/{table}", partition_by="_ingestion_date")
+        arrived = bronze.arrived_on(read_table(spark, f"{root}/{table}", schema=feed.schema), REPLAY_DAY)
         shown.append(
             arrived.select(
-                F.lit(table).alias("feed"), F.col(key).alias("line_id"), "customer_id", "quantity", "_batch_id", "_ingestion_date"
+                F.lit(table).alias("feed"), F.col(key).alias("line_id"), "customer_id", F.col("quantity").cast("string").alias("quantity"), "_batch_id", "_ingestion_date"
             )
         )
     return reduce(DataFrame.unionByName, shown)

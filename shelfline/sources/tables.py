@@ -112,6 +112,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def replace_folder(spark: SparkSession, new: str, target: str) -> None:
+    """Put the folder ``new`` in the place of ``target``; both are in one file system."""
+    source, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, target))
+    before = spark._jvm.org.apache.hadoop.fs.Path(f"{new}-before")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place.getParent())
+    had_one = files.exists(place)
+    if had_one and not files.rename(place, before):
+        raise OSError(f"{target} cannot be moved")
+    if not files.rename(source, place):
+        if had_one:
+            files.rename(before, place)
+        raise OSError(f"{new} cannot be moved to {target}")
+    if had_one:
+        files.delete(before, True)
+
+
 def batch_is_loaded(spark: SparkSession, path: str, batch_id: str, ingestion_date: str) -> bool:
     """Is ``batch_id`` already stored? Looks at its own day's partition only."""
     if not path_exists(spark, path):
