@@ -25,6 +25,8 @@ GRAM = 3
 WINDOW = 8
 #: Consecutive ids that are put in order by one task at a time.
 IDS_PER_BLOCK = 1024
+#: Ids (8 bytes each) that go to every task at most.
+BROADCAST_HEADS = 1_000_000
 
 
 def winnow(docs: DataFrame, text: str, name: str) -> DataFrame:
@@ -96,29 +98,41 @@ def _following(blocks: DataFrame, per_group: int = 4096) -> DataFrame:
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, text, fingerprint) with next_text and next_fingerprint: of the next smaller doc_id.
 
-    The row after the last one is the first. Texts are shuffled once.
+    The row after the last one is the first. Rows are put in order in blocks of
+    neighbouring ids; a copy of the first row of each block goes to the block before, so
+    that its last row finds it there. Texts are shuffled once. The list of first ids, one for
+    each block, goes to every task up to ``BROADCAST_HEADS`` entries and is joined by a shuffle beyond.
     """
     # ids without a number get a block below all others
-    lowest = -(1 << 60)
-    blocked = docs.withColumn("block", F.coalesce(F.floor(F.col("doc_id") / IDS_PER_BLOCK), F.lit(lowest)))
-    order = Window.partitionBy("block").orderBy(F.col("doc_id").desc_nulls_last(), "text")
-    rows = (
-        blocked.withColumn("rank", F.row_number().over(order))
-        .withColumn("next_text", F.lead("text").over(order))
-        .withColumn("next_fingerprint", F.lead("fingerprint").over(order))
+    block = F.coalesce(F.floor(F.col("doc_id") / IDS_PER_BLOCK), F.lit(-(1 << 60))).alias("block")
+    blocks = docs.groupBy(block).agg(F.max("doc_id").alias("head"))
+    heads = (
+        _following(blocks.select("block"))
+        .join(blocks, F.col("next_block") == F.col("block"))
+        .select("head", F.col("of_block").alias("copy_to"))
     )
-    heads = rows.where("rank = 1").select(
-        F.col("block").alias("next_block"), F.col("text").alias("head_text"), F.col("fingerprint").alias("head_fingerprint")
+    heads = F.broadcast(heads) if blocks.count() <= BROADCAST_HEADS else heads
+    placed = docs.join(heads, F.col("doc_id").eqNullSafe(F.col("head")), "left").select(
+        "doc_id",
+        "text",
+        "fingerprint",
+        F.explode(
+            F.filter(
+                F.array(
+                    F.struct(block, F.lit(False).alias("copy")),
+                    F.struct(F.col("copy_to").alias("block"), F.lit(True).alias("copy")),
+                ),
+                lambda p: p["block"].isNotNull(),
+            )
+        ).alias("place"),
     )
-    following = _following(docs.select(F.coalesce(F.floor(F.col("doc_id") / IDS_PER_BLOCK), F.lit(lowest)).alias("block")).distinct())
-    columns = ["doc_id", "text", "fingerprint", "next_text", "next_fingerprint"]
-    tails = (
-        rows.where("next_text is null")
-        .join(following, F.col("block") == F.col("of_block"))
-        .join(heads, "next_block")
-        .select("doc_id", "text", "fingerprint", F.col("head_text").alias("next_text"), F.col("head_fingerprint").alias("next_fingerprint"))
+    order = Window.partitionBy("place.block").orderBy("place.copy", F.col("doc_id").desc_nulls_last(), "text")
+    return (
+        placed.withColumn("next_text", F.lead("text").over(order))
+        .withColumn("next_fingerprint", F.lead("fingerprint").over(order))
+        .where("not place.copy")
+        .drop("place")
     )
-    return rows.where("next_text is not null").select(columns).union(tails.select(columns))
 
 
 def edited(text: Column, other: Column) -> Column:
