@@ -10,12 +10,16 @@ least ``percent`` per cent.
   table of fixed size), so the blocks of the product, one per n-gram, stay short.
   The order decides the cost only, never the result.
 * A block is a run in the sorted order. Overlap counts of each row with the block's
-  first document are added up over all blocks; pairs whose sizes rule out the
-  similarity are discarded, the rest is counted exactly on the whole sets.
-* Then blocks whose documents are not all connected by now get their remaining pairs
-  counted, first with another centre per block, then every pair across components. So
-  no link that matters for the components is lost, and a group of thousands of near
-  copies costs one pair per copy and not all pairs.
+  first document are added up over all blocks, and each document is paired with the
+  one it meets most often.
+* A pair that shares c of its leading n-grams can share at most c + ceil(max size *
+  percent / 100) - 1 in all. Pairs that cannot reach the similarity by this bound or by
+  their sizes are discarded, the rest is counted on the whole sets.
+* Blocks whose documents are not all connected by now are settled completely: their
+  documents, in clusters that share n-grams, are cut into tiles by size, and every pair of tiles
+  that the sizes allow is multiplied out in memory, document by n-gram. Only links that
+  join two components leave a task. So a group of thousands of near copies costs one row
+  per copy and not all pairs, and no link that matters for the components is lost.
 
 Cases: null or blank texts have an empty set and link with nothing, not even with
 each other; texts of fewer words than n have one n-gram, the whole sequence. Rows
@@ -28,9 +32,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfline.llm.components import components
 from shelfline.llm.sorted_runs import repeated
@@ -41,6 +47,10 @@ from shelfline.sources.workspace import new_run_root, stored
 WORD_SLOTS = 1 << 17
 #: Ids of at most so many documents (8 bytes each) go to every task; beyond, rows are shuffled.
 BROADCAST_NODES = 100_000
+#: Documents in a tile of the product.
+TILE = 2_000
+#: N-grams of at least so many documents of a tile are multiplied as a dense block.
+DENSE_FROM = 8
 #: Bytes of an n-gram hash that travel for the exact count.
 HASH_BYTES = 6
 
@@ -169,6 +179,87 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _counts(columns: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the arrays share: incidence times its transpose."""
+    n = len(columns)
+    rows = np.repeat(np.arange(n), [len(c) for c in columns])
+    values = np.concatenate(columns) if n else np.zeros(0, np.int64)
+    total = np.zeros(n * n, np.float32)
+    order = np.argsort(values, kind="stable")
+    values, rows = values[order], rows[order]
+    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+    sizes = np.diff(starts, append=len(values))
+    # values that few arrays hold: their pairs one by one
+    for size in range(2, DENSE_FROM):
+        at = starts[sizes == size]
+        for x in range(size):
+            for y in range(x + 1, size):
+                a, b = rows[at + x], rows[at + y]
+                np.add.at(total, np.minimum(a, b) * n + np.maximum(a, b), 1)
+    total = total.reshape(n, n)
+    total += np.triu(total, 1).T
+    # the others as blocks of a dense matrix
+    frequent = np.flatnonzero(sizes >= DENSE_FROM)
+    for begin in range(0, len(frequent), 2048):
+        some = frequent[begin : begin + 2048]
+        block = np.zeros((n, len(some)), np.float32)
+        for k, f in enumerate(some):
+            block[rows[starts[f] : starts[f] + sizes[f]], k] = 1
+        total += block @ block.T
+    return total
+
+
+def _multiply(percent: int):
+    """Links between components among the documents of two tiles."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node", ignore_index=True)
+        nodes, sizes = pdf["node"].to_numpy(np.int64), pdf["size"].to_numpy(np.int64)
+        _, root = np.unique(pdf["component"].to_numpy(np.int64), return_inverse=True)
+        one_tile = (pdf["tile"] == pdf["first"]) & (pdf["tile"] == pdf["second"])
+        shared = _counts([np.asarray(k, np.int64) for k in pdf["keys"]])
+        small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
+        need = percent * (small + large)
+        allowed = (shared > 0) & (small * 100 >= large * percent)
+        allowed &= (shared + (large * percent + 99) // 100 - 1) * (100 + percent) >= need
+        allowed &= root[:, None] != root[None, :]
+        if not one_tile.all():
+            tile = pdf["tile"].to_numpy()
+            allowed &= tile[:, None] != tile[None, :]
+        a, b = np.nonzero(np.triu(allowed, 1))
+        links = []
+        if len(a):
+            some = np.unique(np.r_[a, b])
+            sets = {i: _unpack(pdf["grams"].iat[i]) for i in some.tolist()}
+            common = None
+            if len(a) > 5_000:
+                place = np.zeros(len(nodes), np.int64)
+                place[some] = np.arange(len(some))
+                counted = _counts([sets[i].view(np.int64) for i in some.tolist()])
+                common = counted[place[a], place[b]].astype(np.int64)
+                linked = common * (100 + percent) >= percent * (sizes[a] + sizes[b])
+                a, b, common = a[linked], b[linked], common[linked]
+            parent = list(range(int(root.max()) + 1))
+
+            def find(x: int) -> int:
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for k, (i, j) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+                x, y = find(int(root[i])), find(int(root[j]))
+                if x == y:
+                    continue
+                both = int(common[k]) if common is not None else len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both * (100 + percent) >= percent * int(sizes[i] + sizes[j]):
+                    parent[max(x, y)] = min(x, y)
+                    links.append((nodes[i], nodes[j], both))
+        return pd.DataFrame(links, columns=["a", "b", "common"], dtype="int64")
+
+    return run
+
+
 def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, n_shingles, set_id, component_id) and the counted links (a, b, common) between sets."""
     root = new_run_root(spark, "ngram")
@@ -195,26 +286,38 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
         root,
         "blocks",
     )
-    involved = blocks.select(F.col("node").alias("doc_id")).distinct()
-    grams = stored(
-        spark, known.join(involved, "doc_id", "left_semi").mapInArrow(_pack_sets(n), "doc_id long, grams binary").dropDuplicates(["doc_id"]), root, "grams"
-    )
+    keys = stored(spark, blocks.groupBy("node").agg(F.collect_list("key").alias("keys")), root, "keys")
+
+    def sets_of(nodes: DataFrame, name: str) -> DataFrame:
+        """Whole n-gram sets of some documents, from their texts."""
+        nodes = stored(spark, nodes, root, f"{name}-nodes")
+        # few documents find their texts without moving all of them
+        wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
+        packed = known.join(wanted, F.col("doc_id") == F.col("node"), "left_semi").mapInArrow(_pack_sets(n), "doc_id long, grams binary")
+        return stored(spark, packed.withColumnRenamed("doc_id", "node"), root, name)
 
     def fits(a: str, b: str):
         return (F.col(f"{a}_size") * 100 >= F.col(f"{b}_size") * percent) & (F.col(f"{b}_size") * 100 >= F.col(f"{a}_size") * percent)
 
     def counted(pairs: DataFrame, name: str) -> DataFrame:
         """Links among the stored ``pairs`` (a, b, a_size, b_size), counted on the whole sets."""
-        sides = []
-        for side in ("a", "b"):
-            nodes = pairs.select(F.col(side).alias("doc_id")).distinct()
-            # few documents find their sets without moving all of them
-            nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
-            own = grams.join(nodes, "doc_id", "left_semi")
-            sides.append(own.select(F.col("doc_id").alias(side), F.col("grams").alias(f"grams_{side}")))
+        of = {side: keys.select(F.col("node").alias(side), F.col("keys").alias(f"keys_{side}")) for side in "ab"}
+        most = F.ceil(F.greatest("a_size", "b_size") * percent / 100) - 1
+        common = F.size(F.array_intersect("keys_a", "keys_b")) + most
+        left = stored(
+            spark,
+            pairs.join(of["b"], "b")
+            .join(of["a"], "a")
+            .where(common * (100 + percent) >= (F.col("a_size") + F.col("b_size")) * percent)
+            .select("a", "b", "a_size", "b_size"),
+            root,
+            f"{name}-left",
+        )
+        grams = sets_of(left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct(), f"{name}-sets")
+        sides = {side: grams.select(F.col("node").alias(side), F.col("grams").alias(f"grams_{side}")) for side in "ab"}
         common = (
-            pairs.join(sides[1], "b")
-            .join(sides[0], "a")
+            left.join(sides["b"], "b")
+            .join(sides["a"], "a")
             .select("a", "b", "grams_a", "grams_b", "a_size", "b_size")
             .mapInArrow(_overlaps, "a long, b long, a_size long, b_size long, common long")
         )
@@ -257,37 +360,46 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
         keys = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         return labels, stored(spark, named.join(keys.select("key"), "key", "left_semi"), root, f"open-{name}")
 
-    def across(pairs: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-        """Pairs that join two components and have not been counted."""
-        a = labels.select(F.col("node").alias("a"), F.col("component").alias("a_in"))
-        b = labels.select(F.col("node").alias("b"), F.col("component").alias("b_in"))
-        return (
-            pairs.select("a", "b", "a_size", "b_size")
+    def multiplied(rows: DataFrame) -> DataFrame:
+        """All links between components among the open rows, by products of tiles."""
+        first = rows.groupBy("key").agg(F.min("node").alias("a"))
+        touching = rows.join(first, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+        clusters = components(spark, touching).select("node", F.col("component").alias("cluster"))
+        by_size = Window.partitionBy("cluster").orderBy("size", "node")
+        members = stored(
+            spark,
+            rows.select("node", "size", "component")
             .distinct()
-            .join(a, "a", "left")
-            .join(b, "b", "left")
-            .where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b"))
-            .join(tested, ["a", "b"], "left_anti")
-            .select("a", "b", "a_size", "b_size")
+            .join(clusters, "node")
+            .withColumn("tile", F.floor((F.row_number().over(by_size) - 1) / TILE)),
+            root,
+            "members-2",
+        )
+        tiles = members.groupBy("cluster", "tile").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+        second = tiles.select("cluster", F.col("tile").alias("second"), F.col("low").alias("second_low"))
+        pairs = (
+            tiles.withColumnRenamed("tile", "first")
+            .join(second, "cluster")
+            .where((F.col("first") <= F.col("second")) & (F.col("second_low") * percent <= F.col("high") * 100))
+            .select("cluster", "first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("tile"))
+        )
+        grams = sets_of(members.select("node").distinct(), "sets-2")
+        return (
+            members.join(keys, "node")
+            .join(grams, "node")
+            .join(pairs, ["cluster", "tile"])
+            .groupBy("cluster", "first", "second")
+            .applyInPandas(_multiply(percent), "a long, b long, common long")
         )
 
     # 1. every row of a block with the one document that it meets most often in the centre
     best = star(blocks, 0).groupBy("b").agg(F.max_by(F.struct("a", "a_size", "b_size"), F.struct("blocks", "a")).alias("x"))
     best = stored(spark, best.select("x.a", "b", "x.a_size", "x.b_size"), root, "best")
-    links, tested = counted(best, "links-1"), best.select("a", "b")
+    links = counted(best, "links-1")
     labels, rows = still_open(blocks, links, "1")
-    # 2. where that did not connect a block: all pairs with this and with another centre
-    if not rows.isEmpty():
-        pairs = stored(spark, across(star(rows, 0).union(star(rows, 1)), labels, tested), root, "pairs-2")
-        links, tested = links.union(counted(pairs, "links-2")), tested.union(pairs.select("a", "b"))
-        labels, rows = still_open(rows, links, "2")
-    # 3. and the pairs across components that are left
+    # 2. where that did not connect a block, all pairs
     if not rows.isEmpty():
-        x = rows.select("key", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("component").alias("a_in"))
-        y = rows.select("key", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("component").alias("b_in"))
-        pairs = x.join(y, "key").where("a < b and a_in <> b_in").where(fits("a", "b"))
-        pairs = stored(spark, across(pairs, labels, tested), root, "pairs-3")
-        links = links.union(counted(pairs, "links-3"))
+        links = links.union(stored(spark, multiplied(rows), root, "links-2"))
         labels = components(spark, links)
     ids = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     return ids.select("doc_id", "n_shingles", "set_id", F.coalesce("component", "set_id", "doc_id").alias("component_id")), links
