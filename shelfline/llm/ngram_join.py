@@ -209,52 +209,60 @@ def _counts(columns: list[np.ndarray]) -> np.ndarray:
     return total
 
 
+def _allowed(pdf: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of two components that sizes and shared leading n-grams allow to link; rows must be sorted by node."""
+    sizes = pdf["size"].to_numpy(np.int64)
+    root = pdf["component"].to_numpy(np.int64)
+    shared = _counts([np.asarray(k, np.int64) for k in pdf["keys"]])
+    small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
+    allowed = (shared > 0) & (small * 100 >= large * percent) & (root[:, None] != root[None, :])
+    allowed &= (shared + (large * percent + 99) // 100 - 1) * (100 + percent) >= percent * (small + large)
+    tile = pdf["tile"].to_numpy()
+    if pdf["first"].iat[0] != pdf["second"].iat[0]:  # pairs within a tile have a task of their own
+        allowed &= tile[:, None] != tile[None, :]
+    return np.nonzero(np.triu(allowed, 1))
+
+
+def _candidates(percent: int):
+    """Documents of two tiles that may link with another component."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node", ignore_index=True)
+        return pdf.loc[np.unique(np.concatenate(_allowed(pdf, percent))), ["node"]]
+
+    return run
+
+
 def _multiply(percent: int):
-    """Links between components among the documents of two tiles."""
+    """Links between components among the documents of two tiles, whose whole sets are at hand."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", ignore_index=True)
         nodes, sizes = pdf["node"].to_numpy(np.int64), pdf["size"].to_numpy(np.int64)
+        a, b = _allowed(pdf, percent)
+        some, place = np.unique(np.r_[a, b], return_inverse=True)
+        sets = [_unpack(pdf["grams"].iat[i]) for i in some.tolist()]
+        if len(a) > 5_000:
+            common = _counts([x.view(np.int64) for x in sets])[place[: len(a)], place[len(a) :]].astype(np.int64)
+        else:
+            pairs = zip(place[: len(a)].tolist(), place[len(a) :].tolist(), strict=True)
+            common = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in pairs], np.int64)
+        linked = common * (100 + percent) >= percent * (sizes[a] + sizes[b])
         _, root = np.unique(pdf["component"].to_numpy(np.int64), return_inverse=True)
-        one_tile = (pdf["tile"] == pdf["first"]) & (pdf["tile"] == pdf["second"])
-        shared = _counts([np.asarray(k, np.int64) for k in pdf["keys"]])
-        small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-        need = percent * (small + large)
-        allowed = (shared > 0) & (small * 100 >= large * percent)
-        allowed &= (shared + (large * percent + 99) // 100 - 1) * (100 + percent) >= need
-        allowed &= root[:, None] != root[None, :]
-        if not one_tile.all():
-            tile = pdf["tile"].to_numpy()
-            allowed &= tile[:, None] != tile[None, :]
-        a, b = np.nonzero(np.triu(allowed, 1))
+        parent = list(range(len(pdf)))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
         links = []
-        if len(a):
-            some = np.unique(np.r_[a, b])
-            sets = {i: _unpack(pdf["grams"].iat[i]) for i in some.tolist()}
-            common = None
-            if len(a) > 5_000:
-                place = np.zeros(len(nodes), np.int64)
-                place[some] = np.arange(len(some))
-                counted = _counts([sets[i].view(np.int64) for i in some.tolist()])
-                common = counted[place[a], place[b]].astype(np.int64)
-                linked = common * (100 + percent) >= percent * (sizes[a] + sizes[b])
-                a, b, common = a[linked], b[linked], common[linked]
-            parent = list(range(int(root.max()) + 1))
-
-            def find(x: int) -> int:
-                while parent[x] != x:
-                    parent[x] = parent[parent[x]]
-                    x = parent[x]
-                return x
-
-            for k, (i, j) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-                x, y = find(int(root[i])), find(int(root[j]))
-                if x == y:
-                    continue
-                both = int(common[k]) if common is not None else len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if both * (100 + percent) >= percent * int(sizes[i] + sizes[j]):
-                    parent[max(x, y)] = min(x, y)
-                    links.append((nodes[i], nodes[j], both))
+        for i, j, both in zip(a[linked].tolist(), b[linked].tolist(), common[linked].tolist(), strict=True):
+            x, y = find(int(root[i])), find(int(root[j]))
+            if x != y:  # what is connected by now needs no further link
+                parent[max(x, y)] = min(x, y)
+                links.append((nodes[i], nodes[j], both))
         return pd.DataFrame(links, columns=["a", "b", "common"], dtype="int64")
 
     return run
@@ -383,12 +391,18 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
             .where((F.col("first") <= F.col("second")) & (F.col("second_low") * percent <= F.col("high") * 100))
             .select("cluster", "first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("tile"))
         )
-        grams = sets_of(members.select("node").distinct(), "sets-2")
+        # a pair of two components shares open keys only; candidates are found on these, before any whole set moves
+        open_keys = stored(spark, rows.groupBy("node").agg(F.collect_list("key").alias("keys")), root, "open-keys")
+        placed = stored(spark, members.join(pairs, ["cluster", "tile"]), root, "placed")
+        by_tiles = ["cluster", "first", "second"]
+        found = stored(
+            spark, placed.join(open_keys, "node").groupBy(*by_tiles).applyInPandas(_candidates(percent), "node long").distinct(), root, "candidates"
+        )
+        grams = sets_of(found, "sets-2")
         return (
-            members.join(keys, "node")
+            placed.join(open_keys, "node")
             .join(grams, "node")
-            .join(pairs, ["cluster", "tile"])
-            .groupBy("cluster", "first", "second")
+            .groupBy(*by_tiles)
             .applyInPandas(_multiply(percent), "a long, b long, common long")
         )
 
