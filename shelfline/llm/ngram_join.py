@@ -289,12 +289,11 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
         spark,
         repeated(firsts.withColumn("place", F.lit(0)), lambda x: stored(spark, x, root, "runs"))
         .join(names, "doc_id")
-        .select("key", F.col("set_id").alias("node"), F.col("n_shingles").alias("size"))
-        .distinct(),
+        .select("key", F.col("set_id").alias("node"), F.col("n_shingles").alias("size")),
         root,
         "blocks",
     )
-    keys = stored(spark, blocks.groupBy("node").agg(F.collect_list("key").alias("keys")), root, "keys")
+    keys = stored(spark, blocks.groupBy("node").agg(F.collect_set("key").alias("keys")), root, "keys")
 
     def sets_of(nodes: DataFrame, name: str) -> DataFrame:
         """Whole n-gram sets of some documents, from their texts."""
@@ -392,7 +391,7 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
             .select("cluster", "first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("tile"))
         )
         # a pair of two components shares open keys only; candidates are found on these, before any whole set moves
-        open_keys = stored(spark, rows.groupBy("node").agg(F.collect_list("key").alias("keys")), root, "open-keys")
+        open_keys = stored(spark, rows.groupBy("node").agg(F.collect_set("key").alias("keys")), root, "open-keys")
         placed = stored(spark, members.join(pairs, ["cluster", "tile"]), root, "placed")
         by_tiles = ["cluster", "first", "second"]
         found = stored(

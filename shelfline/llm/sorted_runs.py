@@ -79,16 +79,15 @@ def repeated(rows: DataFrame, stored) -> DataFrame:
             _mark, "key long, doc_id long, place long, lead_doc long, lead_place long, part int, border boolean"
         )
     )
-    # one row per key before anything is joined; at most two keys per partition are border keys
+    # two keys per partition of the sort at most, so their number does not follow the data
+    border_keys = [r.key for r in found.where("border").select("key").distinct().collect()]
     borders = (
-        found.groupBy("key")
+        found.where(F.col("key").isin(border_keys))
+        .groupBy("key")
         .agg(
             F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "place"))).alias("first"),
             F.count("doc_id").alias("n"),
-            F.bool_or("border").alias("border"),
         )
-        .where("border")
-        .drop("border")
     )
     return (
         found.where("doc_id is not null")
