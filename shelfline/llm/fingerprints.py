@@ -23,14 +23,14 @@ from pyspark.sql.window import Window
 
 GRAM = 3
 WINDOW = 8
-#: Consecutive ids that are put in order by one task at a time.
-IDS_PER_BLOCK = 1024
+#: Ids that differ only in so many last bits are put in order together.
+BLOCK_BITS = 10
 #: Ids (8 bytes each) that go to every task at most.
 BROADCAST_HEADS = 1_000_000
 
 
-def winnow(docs: DataFrame, text: str, name: str) -> DataFrame:
-    """``docs`` with the column ``name``: array of struct hash, position, chosen from the column ``text``."""
+def winnow_packed(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """``docs`` with the column ``name``: the chosen hashes of the column ``text``, packed, in order of position."""
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
     def pack(value: Column, at: Column) -> Column:
@@ -54,21 +54,23 @@ def winnow(docs: DataFrame, text: str, name: str) -> DataFrame:
         step *= 2
     windows = F.greatest(F.size("__m1") - (WINDOW - 1), F.least(F.size("__m1"), F.lit(1)))
     chosen = F.array_distinct(F.slice(F.col(f"__m{WINDOW}"), F.lit(1), windows))
-    return out.withColumn(
-        name,
-        F.transform(
-            chosen,
-            lambda p: F.struct(
-                F.shiftright(p, 32).cast("int").alias("hash"),
-                (F.lit(0xFFFFFFFF) - p.bitwiseAND(0xFFFFFFFF)).cast("int").alias("position"),
-            ),
+    return out.withColumn(name, chosen).drop("__words", *(c for c in out.columns if c.startswith("__m")))
+
+
+def unpacked(packed: Column) -> Column:
+    """Array of struct hash, position."""
+    return F.transform(
+        packed,
+        lambda p: F.struct(
+            F.shiftright(p, 32).cast("int").alias("hash"),
+            (F.lit(0xFFFFFFFF) - p.bitwiseAND(0xFFFFFFFF)).cast("int").alias("position"),
         ),
-    ).drop("__words", *(c for c in out.columns if c.startswith("__m")))
+    )
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal hashes in two fingerprints (Jaccard), 0 to 1."""
-    x, y = (F.transform(c, lambda p: p["hash"]) for c in (a, b))
+    """Share of equal hashes in two packed fingerprints (Jaccard), 0 to 1."""
+    x, y = (F.transform(c, lambda p: F.shiftright(p, 32).cast("int")) for c in (a, b))
     both = F.size(F.array_intersect(x, y))
     every = F.size(F.array_union(x, y))
     return F.when(every == 0, F.lit(1.0)).otherwise(both / F.greatest(every, F.lit(1)))
@@ -79,13 +81,13 @@ def as_string(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda p: F.lower(F.lpad(F.hex(p["hash"]), 8, "0"))), "")
 
 
-def _following(blocks: DataFrame, per_group: int = 4096) -> DataFrame:
+def _following(blocks: DataFrame, group_bits: int = 12) -> DataFrame:
     """Each ``block`` with the next smaller one that there is; the smallest is followed by the largest.
 
     Groups of neighbouring blocks are put in order by a task each, and only one row per
     group, of some four million documents, meets in one place.
     """
-    blocks = blocks.select("block", F.floor(F.col("block") / per_group).alias("group"))
+    blocks = blocks.select("block", F.shiftright("block", group_bits).alias("group"))
     inner = Window.partitionBy("group").orderBy(F.col("block").desc())
     within = blocks.withColumn("after", F.lead("block").over(inner))
     groups = blocks.groupBy("group").agg(F.max("block").alias("top"))
@@ -96,7 +98,7 @@ def _following(blocks: DataFrame, per_group: int = 4096) -> DataFrame:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text, fingerprint) with next_text and next_fingerprint: of the next smaller doc_id.
+    """Rows (doc_id, text, packed fingerprint) with next_text and next_fingerprint: of the next smaller doc_id.
 
     The row after the last one is the first. Rows are put in order in blocks of
     neighbouring ids; a copy of the first row of each block goes to the block before, so
@@ -104,7 +106,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     each block, goes to every task up to ``BROADCAST_HEADS`` entries and is joined by a shuffle beyond.
     """
     # ids without a number get a block below all others
-    block = F.coalesce(F.floor(F.col("doc_id") / IDS_PER_BLOCK), F.lit(-(1 << 60))).alias("block")
+    block = F.coalesce(F.shiftright("doc_id", BLOCK_BITS), F.lit(-(1 << 60))).alias("block")
     blocks = docs.groupBy(block).agg(F.max("doc_id").alias("head"))
     heads = (
         _following(blocks.select("block"))
@@ -125,13 +127,13 @@ def with_next(docs: DataFrame) -> DataFrame:
                 lambda p: p["block"].isNotNull(),
             )
         ).alias("place"),
-    )
-    order = Window.partitionBy("place.block").orderBy("place.copy", F.col("doc_id").desc_nulls_last(), "text")
+    ).select("doc_id", "text", "fingerprint", "place.block", "place.copy")
+    order = Window.partitionBy("block").orderBy("copy", F.col("doc_id").desc_nulls_last(), "text")
+    following = F.lead(F.struct("text", "fingerprint")).over(order).alias("following")
     return (
-        placed.withColumn("next_text", F.lead("text").over(order))
-        .withColumn("next_fingerprint", F.lead("fingerprint").over(order))
-        .where("not place.copy")
-        .drop("place")
+        placed.select("doc_id", "text", "fingerprint", "copy", following)
+        .where("not copy")
+        .select("doc_id", "text", "fingerprint", F.col("following.text").alias("next_text"), F.col("following.fingerprint").alias("next_fingerprint"))
     )
 
 
@@ -143,13 +145,17 @@ def edited(text: Column, other: Column) -> Column:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, text and fingerprint (hashes with positions); a null text is an empty one."""
+    return _packed_prints(docs).withColumn("fingerprint", unpacked(F.col("fingerprint")))
+
+
+def _packed_prints(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return winnow(docs, "text", "fingerprint")
+    return winnow_packed(docs, "text", "fingerprint")
 
 
 def compared(docs: DataFrame) -> DataFrame:
     """Fingerprints of texts and of their edited texts, and how alike they are."""
-    rows = with_next(fingerprints(docs))
+    rows = with_next(_packed_prints(docs))
     rows = rows.select(
         "doc_id",
         "fingerprint",
@@ -157,6 +163,13 @@ def compared(docs: DataFrame) -> DataFrame:
         edited(F.col("text"), F.col("next_text")).alias("edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )
-    return winnow(rows, "edited", "edited_fingerprint").withColumn(
-        "near_edited", likeness(F.col("fingerprint"), F.col("edited_fingerprint"))
+    rows = winnow_packed(rows, "edited", "edited_fingerprint")
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited",
+        unpacked(F.col("fingerprint")).alias("fingerprint"),
+        unpacked(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        "near_next",
     )
