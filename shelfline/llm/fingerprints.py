@@ -129,12 +129,8 @@ def with_next(docs: DataFrame) -> DataFrame:
         ).alias("place"),
     ).select("doc_id", "text", "fingerprint", "place.block", "place.copy")
     order = Window.partitionBy("block").orderBy("copy", F.col("doc_id").desc_nulls_last(), "text")
-    following = F.lead(F.struct("text", "fingerprint")).over(order).alias("following")
-    return (
-        placed.select("doc_id", "text", "fingerprint", "copy", following)
-        .where("not copy")
-        .select("doc_id", "text", "fingerprint", F.col("following.text").alias("next_text"), F.col("following.fingerprint").alias("next_fingerprint"))
-    )
+    following = [F.lead(c).over(order).alias(f"next_{c}") for c in ("text", "fingerprint")]
+    return placed.select("doc_id", "text", "fingerprint", "copy", *following).where("not copy").drop("copy")
 
 
 def edited(text: Column, other: Column) -> Column:
