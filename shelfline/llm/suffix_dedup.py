@@ -9,6 +9,11 @@
 3. Suffixes of one document that follow each other against the same occurrence make a
    match, which is then extended word by word to the left and to the right. Matches that
    touch are joined; stretches of at least ``min_words`` words are the result.
+4. The first occurrence of 34 words need not hold 50 words of the passage that later
+   ones share. So every other occurrence also gives the digests of all stretches of 50
+   words around its anchors that run over a border of its match. They are sorted in the
+   same way, and equal ones are repeats of their own first occurrence. Stretches inside
+   a match are the first occurrence's own, and need no digest.
 
 With these figures every passage of 50 words has an anchor in its first 16 words, and so
 34 words to its right. ``doc_id`` order decides which occurrence stays; repeats
@@ -23,6 +28,7 @@ not read, and stay as they are in ``cut_repeats``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -43,11 +49,11 @@ SEED = 34
 REACH = WINDOW + GRAM
 
 
-def anchors(words: Words) -> np.ndarray:
-    """Word positions that are the smallest of some window, rightmost of equals; WINDOW is a power of two."""
+def least_of_windows(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First positions of all windows, and the smallest of each, rightmost of equals; WINDOW is a power of two."""
     hashes, whole = words.grams(GRAM)
     if len(hashes) < WINDOW:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     low = np.uint64((1 << 20) - 1)
     places = np.arange(len(hashes), dtype=np.uint64)
     least = (hashes & ~low) | (low - (places & low))
@@ -59,7 +65,12 @@ def anchors(words: Words) -> np.ndarray:
     # the window's last gram must end in the document that holds its first word
     inside = whole[WINDOW - 1 :] & (words.owner[: len(least)] == words.owner[WINDOW - 1 : WINDOW - 1 + len(least)])
     begins, least = begins[inside], least[inside]
-    return np.unique((begins + (((low - (least & low)) - begins) & low)).astype(np.int64))
+    return begins.astype(np.int64), (begins + (((low - (least & low)) - begins) & low)).astype(np.int64)
+
+
+def anchors(words: Words) -> np.ndarray:
+    """Word positions that are the smallest of some window."""
+    return np.unique(least_of_windows(words)[1])
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,9 +88,11 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-_MATCH = T.StructType(
+#: Kinds of rows that come from the texts.
+MATCH, BESIDE, STRETCH = range(3)
+_FOUND = T.StructType(
     [
-        T.StructField("is_match", T.BooleanType()),
+        T.StructField("kind", T.IntegerType()),
         T.StructField("doc_id", T.LongType()),
         T.StructField("place", T.LongType()),
         T.StructField("end", T.LongType()),
@@ -90,6 +103,9 @@ _MATCH = T.StructType(
         T.StructField("right", T.BinaryType()),
         T.StructField("char_starts", T.ArrayType(T.LongType())),
         T.StructField("char_ends", T.ArrayType(T.LongType())),
+        T.StructField("key", T.LongType()),
+        T.StructField("char_start", T.LongType()),
+        T.StructField("char_end", T.LongType()),
     ]
 )
 
@@ -104,15 +120,23 @@ def _beside(hashes: np.ndarray, firsts: np.ndarray, ends: np.ndarray, outside: i
     return found
 
 
-def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From documents with their hits: matches, and the words beside the occurrences that others were matched with."""
-    names = [f.name for f in _MATCH]
+def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """From documents with their hits: matches, stretches of ``size`` words over the borders of matches, and the words
+    beside the occurrences that others were matched with."""
+    names = [f.name for f in _FOUND]
+    kinds = (pa.int32(), *[pa.int64()] * 6, pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.int64()] * 3)
     for batch in slices(batches):
         words = words_of(batch.column("text"))
         short = (words.hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         before = np.zeros(len(words.data) + 1, np.int64)
         np.cumsum((words.data & 0xC0) != 0x80, out=before[1:])
+        windows, least = least_of_windows(words)
+        digests, whole = words.spans(size)
+        inside = windows < len(digests)
+        inside[inside] = whole[windows[inside]]
+        windows, least = windows[inside], least[inside]
         rows: list[tuple] = []
+        stretches: list[np.ndarray] = []
         hits, wanted = batch.column("hits"), batch.column("wanted")
         for i, doc in enumerate(batch.column("doc_id").to_pylist()):
             own = short[words.first[i] : words.first[i + 1]]
@@ -130,17 +154,35 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 begin, end = h[first, 0], h[last, 0] + SEED
                 left, right = _beside(own, begin, end, 1)
                 for j, (b, e) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
-                    rows.append(
-                        (True, doc, b, e, int(h[first[j], 1]), int(h[first[j], 2]), int(h[last[j], 2]), left[j], right[j],
-                         starts[max(0, b - REACH) : b + 1][::-1].tolist(), ends[e - 1 : e + REACH].tolist())
-                    )
+                    # a match with an earlier place of the same document only bounds the stretches below
+                    if h[first[j], 1] != doc:
+                        rows.append(
+                            (MATCH, doc, b, e, int(h[first[j], 1]), int(h[first[j], 2]), int(h[last[j], 2]), left[j], right[j],
+                             starts[max(0, b - REACH) : b + 1][::-1].tolist(), ends[e - 1 : e + REACH].tolist(), None, None, None)
+                        )
+                own_windows = slice(*np.searchsorted(windows, words.first[i : i + 2]))
+                at, anchor = windows[own_windows] - words.first[i], least[own_windows] - words.first[i]
+                order = np.argsort(h[:, 0], kind="stable")
+                hit = order[np.minimum(np.searchsorted(h[order, 0], anchor), len(h) - 1)]
+                match = np.cumsum(new)[hit] - 1
+                at = at[(h[hit, 0] == anchor) & ((at < begin[match]) | (at + size > end[match]))]
+                stretches.append(
+                    np.column_stack([np.full(len(at), doc), at, signed(digests[at + words.first[i]]), starts[at], ends[at + size - 1]])
+                )
             if wanted[i].is_valid:
                 at = np.array(sorted(wanted[i].as_py()), np.int64)
                 left, right = _beside(own, at, at + SEED, 2)
-                rows += [(False, doc, p, None, None, None, None, x, y, None, None) for p, x, y in zip(at.tolist(), left, right, strict=True)]
+                rows += [
+                    (BESIDE, doc, p, None, None, None, None, x, y, *[None] * 5) for p, x, y in zip(at.tolist(), left, right, strict=True)
+                ]
         if rows:
-            kinds = (pa.bool_(), *[pa.int64()] * 6, pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+        if n := sum(map(len, stretches)):
+            parts = np.ascontiguousarray(np.concatenate(stretches).T)
+            columns = {"kind": np.full(n, STRETCH, np.int32)} | dict(zip(("doc_id", "place", "key", "char_start", "char_end"), parts, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, kinds, strict=True)], names=names
+            )
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,29 +217,56 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, min_words: int = MIN
     """
     if min_words < WINDOW - 1 + SEED:
         raise ValueError("passages this short need other anchors")
+    size = min(min_words, MIN_WORDS)
     root = new_run_root(spark, "suffixes")
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     suffixes = stored(spark, docs.mapInArrow(_suffixes, "key long, doc_id long, place long"), root, "suffixes")
     hits = stored(
-        spark, repeated(suffixes, lambda x: stored(spark, x, root, "runs")).where("doc_id <> lead_doc").drop("key"), root, "hits"
+        spark,
+        repeated(suffixes, lambda x: stored(spark, x, root, "runs")).where("doc_id <> lead_doc or place <> lead_place").drop("key"),
+        root,
+        "hits",
     )
     by_doc = hits.groupBy("doc_id").agg(F.collect_list(F.struct("place", "lead_doc", "lead_place")).alias("hits"))
     by_lead = (
-        hits.select(F.col("lead_doc").alias("doc_id"), "lead_place").distinct().groupBy("doc_id").agg(F.collect_list("lead_place").alias("wanted"))
+        hits.where("doc_id <> lead_doc").select(F.col("lead_doc").alias("doc_id"), "lead_place").distinct().groupBy("doc_id").agg(F.collect_list("lead_place").alias("wanted"))
     )
     found = stored(
         spark,
-        docs.join(by_doc.join(by_lead, "doc_id", "full"), "doc_id").mapInArrow(_matches, _MATCH),
+        docs.join(by_doc.join(by_lead, "doc_id", "full"), "doc_id").mapInArrow(partial(_matches, size=size), _FOUND),
         root,
         "matches",
     )
-    matches = found.where("is_match")
-    beside = found.where("not is_match")
+    matches = found.where(F.col("kind") == MATCH)
+    beside = found.where(F.col("kind") == BESIDE)
     left = beside.select(F.col("doc_id").alias("lead_doc"), F.col("place").alias("lead_first"), F.col("left").alias("lead_left"))
     right = beside.select(F.col("doc_id").alias("lead_doc"), F.col("place").alias("lead_last"), F.col("right").alias("lead_right"))
     spans = matches.join(left, ["lead_doc", "lead_first"]).join(right, ["lead_doc", "lead_last"]).mapInArrow(
         _extend, "doc_id long, start long, end long, char_start long, char_end long, match_doc_id long, match_start long"
     )
+    further = (
+        repeated(found.where(F.col("kind") == STRETCH), lambda x: stored(spark, x, root, "stretches"), ("char_start", "char_end"))
+        .where("doc_id <> lead_doc")
+        .select(
+            "doc_id",
+            F.col("place").alias("start"),
+            (F.col("place") + size).alias("end"),
+            "char_start",
+            "char_end",
+            F.col("lead_doc").alias("match_doc_id"),
+            F.col("lead_place").alias("match_start"),
+        )
+    )
+    # what overlaps and repeats the same place is one match
+    spans = spans.unionByName(further).withColumn("shift", F.col("match_start") - F.col("start"))
+    in_row = Window.partitionBy("doc_id", "match_doc_id", "shift").orderBy("start", "end")
+    ended = F.max("end").over(in_row.rowsBetween(Window.unboundedPreceding, -1))
+    spans = (
+        spans.withColumn("new", (F.coalesce(ended, F.lit(-1)) < F.col("start")).cast("int"))
+        .withColumn("part", F.sum("new").over(in_row))
+        .groupBy("doc_id", "match_doc_id", "shift", "part")
+        .agg(*(f(c).alias(c) for c, f in (("start", F.min), ("end", F.max), ("char_start", F.min), ("char_end", F.max), ("match_start", F.min))))
+    )
     in_order = Window.partitionBy("doc_id").orderBy("start", "end", "match_doc_id", "match_start")
     so_far = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     longest = F.struct((F.col("end") - F.col("start")).alias("n"), -F.col("match_doc_id"), -F.col("match_start"))

@@ -66,3 +66,28 @@ def test_cut_and_odd_rows(spark, frame, odd_rows, words):
     expected = [(d, t) for d, t in rows if d not in (201, 202)] + [(201, "head ü  end")]
     assert sorted(got, key=str) == sorted(expected, key=str)
     assert suffix_dedup.repeated_passages(spark, frame([])).count() == 0
+
+
+def test_first_occurrence_holds_only_a_piece(spark, words):
+    """Earlier documents, or earlier places of one, hold 40 words of the 55 to 90 that later documents share."""
+    rows = []
+    for k in range(12):
+        passage, doc = words(2000 + k, 55 + 3 * k), 1000 * k
+        at = (0, len(passage) - 40, 8)[k % 3]
+        piece = passage[at : at + 40]
+        pad = [words(5000 + 20 * k + i, 30) for i in range(8)]
+        first = [*pad[0], *piece, *pad[1]]
+        rows.append((doc, " ".join(first)))
+        # every other first document holds the whole passage as well, behind the piece
+        if k % 2:
+            rows[-1] = (doc, " ".join([*first, *passage, *pad[2]]))
+        rows += [(doc + 1 + i, " ".join([*pad[3 + i], *passage, *pad[5 + i]])) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spans = suffix_dedup.repeated_passages(spark, docs).collect()
+    got, expected = places(spans), brute_force(rows)
+    assert len(expected) == 18
+    assert got == expected
+    text = {d: t.split() for d, t in rows}
+    for r in spans:
+        assert text[r.doc_id][r.start_word : r.start_word + r.n_words] == text[r.match_doc_id][r.match_start_word : r.match_start_word + r.n_words]
+        assert " ".join(text[r.doc_id])[r.start_char : r.start_char + r.n_chars].split() == text[r.doc_id][r.start_word : r.start_word + r.n_words]
