@@ -54,3 +54,35 @@ def test_odd_rows(spark, frame, odd_rows):
     assert sub.cut_units(spark, docs).columns == docs.columns
     assert sub.cut_units(spark, docs).count() == len(odd_rows)
     assert sub.repeated_units(spark, frame([])).count() == 0
+
+
+def test_short_lines_between_others(spark, frame, words):
+    """Every later occurrence of a whole line goes, however short; a short sentence in a line stays."""
+    boiler = ["Home | About us | Contact", "All rights reserved. No warranty. Ask.", "}"]
+    rows = [(0, "Before it. Yes. Behind it."), (1, f"{boiler[1]} Yes."), (2, "é " + boiler[1])]
+    for i in range(3, 30):
+        own = [" ".join(words(3000 + 10 * i + j, 9)) for j in range(4)]
+        lines = [own[0], boiler[i % 2].upper(), own[1] + " Yes.", boiler[2], "  " + boiler[1 - i % 2], "", own[2], "Yes."]
+        rows.append((i, "\n".join(lines[: 5 + i % 4])))
+    seen, expected = set(), {}
+    for doc, text in sorted(rows):
+        at = 0
+        for line in text.splitlines(keepends=True):
+            key = tuple(line.lower().split())
+            if key in seen:
+                expected.setdefault(doc, set()).update(at + j for j, c in enumerate(line) if not c.isspace())
+            seen |= {key} - {()}
+            at += len(line)
+    docs = frame(rows).repartition(3)
+    got, text = {}, dict(rows)
+    for r in sub.repeated_units(spark, docs).collect():
+        span = range(r.start_char, r.start_char + r.n_chars)
+        assert not got.get(r.doc_id, set()) & set(span)
+        got.setdefault(r.doc_id, set()).update(j for j in span if not text[r.doc_id][j].isspace())
+        line = text[r.doc_id][r.start_char :].split("\n")[0].strip().lower()
+        assert text[r.keep_doc_id][r.keep_start_char :].split("\n")[0].strip().lower() == line
+    assert len(expected) > 20
+    assert got == expected
+    left = {r.doc_id: r.text for r in sub.cut_units(spark, docs).collect()}
+    for doc, original in rows:
+        assert "".join(left[doc].split()) == "".join(c for j, c in enumerate(original) if j not in expected.get(doc, ()) and not c.isspace())
