@@ -7,7 +7,8 @@
 2. An owner decodes what it got and answers each sender with a bitmap: which of its
    fingerprints somebody else has, too.
 3. Only documents so marked (or repeated within their sender) are suspects. Their
-   texts are shuffled and grouped byte by byte.
+   texts are shuffled and grouped byte by byte; a class is a text that occurs several
+   times. Where two texts share a digest, their rows are told apart by the texts.
 
 Fingerprints are cut from SHA-256 to some 16 bits more than the row count needs, so
 about one document in 65,000 becomes a suspect by chance and is cleared in step 3.
@@ -21,7 +22,8 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -29,6 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfline.llm.words import slices
 from shelfline.sources.workspace import new_run_root, stored
@@ -48,6 +51,10 @@ def squeezed(text: bytes) -> bytes:
     return (b" " if text[0] in _BLANK else b"") + body + (b" " if text[-1] in _BLANK else b"")
 
 
+def sha256(text: bytes) -> bytes:
+    return hashlib.sha256(text).digest()
+
+
 def rice_encode(values: np.ndarray, shift: int) -> bytes:
     """Sorted distinct values as gaps: quotients in unary, then the remainders of ``shift`` bits each."""
     gaps = np.diff(values, prepend=np.uint64(0)).astype(np.uint64)
@@ -68,10 +75,10 @@ def rice_decode(code: bytes, n: int, shift: int) -> np.ndarray:
     return np.cumsum((quotients.astype(np.uint64) << np.uint64(shift)) + rest)
 
 
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prints(batches: Iterator[pa.RecordBatch], digest: Callable[[bytes], bytes]) -> Iterator[pa.RecordBatch]:
     part, row = TaskContext.get().partitionId(), 0
     for batch in slices(batches):
-        shas = [hashlib.sha256(squeezed(t or b"")).digest() for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        shas = [digest(squeezed(t or b"")) for t in batch.column("text").cast(pa.binary()).to_pylist()]
         rows = np.arange(row, row + len(shas))
         row += len(shas)
         yield pa.RecordBatch.from_arrays(
@@ -119,20 +126,20 @@ def _coder(bits: int, owner_bits: int):
     return send, answer, suspects
 
 
-def _squeeze_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _squeeze_batches(batches: Iterator[pa.RecordBatch], digest: Callable[[bytes], bytes]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         texts = [squeezed(t or b"") for t in batch.column("text").cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(texts, pa.binary()), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())],
+            [batch.column("doc_id"), pa.array(texts, pa.binary()), pa.array([digest(t) for t in texts], pa.binary())],
             names=["doc_id", "norm", "sha"],
         )
 
 
-def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def exact_groups(spark: SparkSession, docs: DataFrame, digest: Callable[[bytes], bytes] = sha256) -> DataFrame:
     """Per row of ``docs``: doc_id, row, sha (of the normalised text), keep_row, keep_id, group_size."""
     root = new_run_root(spark, "exact")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prints = stored(spark, docs.mapInArrow(_prints, "doc_id long, row long, sender long, sha binary"), root, "prints")
+    prints = stored(spark, docs.mapInArrow(partial(_prints, digest=digest), "doc_id long, row long, sender long, sha binary"), root, "prints")
     n = max(2, prints.count())
     owner_bits = max(4, math.ceil(math.log2(n / OWNER_ROWS)) if n > OWNER_ROWS else 0)
     bits = min(60, math.ceil(math.log2(n)) + 16)
@@ -148,14 +155,35 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     texts = docs.join(marked.select("doc_id").distinct(), "doc_id", "left_semi").union(
         docs.where("doc_id is null")
     )
-    equal = (
-        texts.mapInArrow(_squeeze_batches, "doc_id long, norm binary, sha binary").groupBy("norm", "sha").count().select("sha")
+    texts = texts.mapInArrow(partial(_squeeze_batches, digest=digest), "doc_id long, norm binary, sha binary")
+    # of each digest, how many texts it stands for, and how often the most frequent one occurs
+    equal = stored(
+        spark,
+        texts.groupBy("norm", "sha")
+        .agg(F.count("*").alias("n"))
+        .groupBy("sha")
+        .agg(F.count("*").alias("texts"), F.max("n").alias("n"))
+        .where("n > 1 or texts > 1"),
+        root,
+        "equal",
     )
+    clashing = equal.where("texts > 1").select("sha")
+    prints = prints.withColumn("norm", F.lit(None).cast("binary"))
+    if not clashing.isEmpty():
+        # rows of one doc_id and digest differ in nothing but their text, so they take the texts in any order
+        nth = F.row_number()
+        taken = texts.join(clashing, "sha").withColumn("nth", nth.over(Window.partitionBy("doc_id", "sha").orderBy("norm")))
+        rows = prints.drop("norm").join(clashing, "sha").withColumn("nth", nth.over(Window.partitionBy("doc_id", "sha").orderBy("row")))
+        same = rows["doc_id"].eqNullSafe(taken["doc_id"]) & (rows["sha"] == taken["sha"]) & (rows["nth"] == taken["nth"])
+        told = rows.join(taken, same).select(rows["doc_id"], rows["row"], rows["sender"], rows["sha"], taken["norm"])
+        prints = stored(spark, prints.join(clashing, "sha", "left_anti").unionByName(told), root, "told")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
     classes = (
-        prints.join(equal.distinct(), "sha", "left_semi").groupBy("sha").agg(first.alias("first"), F.count("*").alias("size"))
+        prints.join(equal.select("sha"), "sha", "left_semi")
+        .groupBy(F.col("sha").alias("of_sha"), F.col("norm").alias("of_norm"))
+        .agg(first.alias("first"), F.count("*").alias("size"))
     )
-    return prints.join(classes, "sha", "left").select(
+    return prints.join(classes, (F.col("sha") == F.col("of_sha")) & F.col("norm").eqNullSafe(F.col("of_norm")), "left").select(
         "doc_id",
         "row",
         "sha",

@@ -43,3 +43,22 @@ def test_groups(spark, frame, odd_rows):
         [str(d) for d in firsts if d is not None] + ["None"] * sum(d is None for d, _ in rows)
     )
     assert exact_dedup.exact_groups(spark, frame([])).count() == 0
+
+
+def test_texts_that_share_a_digest(spark, frame):
+    """Classes are made by the bytes of texts, also where a weak digest is the same for many of them."""
+
+    def weak(text):
+        return bytes([sum(text) % 3]) * 32
+
+    rows = [(i, f"text {i % 11}") for i in range(60)] + [(70 + i, f"alone {i}") for i in range(9)]
+    rows += [(80, "text 1"), (80, "alone 80"), (None, "text  2"), (None, "nobody's")]
+    groups = defaultdict(list)
+    for doc, text in rows:
+        groups[" ".join(text.split())].append(doc)
+    expected = sorted(
+        (str(d), str(min((x for x in ids if x is not None), default=None)), len(ids)) for ids in groups.values() for d in ids
+    )
+    got = exact_dedup.exact_groups(spark, frame(rows).repartition(3), weak).collect()
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size) for r in got) == expected
+    assert sum(r.row == r.keep_row for r in got) == len(groups)
