@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from shelfline.llm.words import slices
@@ -196,14 +197,29 @@ def exact_groups(spark: SparkSession, docs: DataFrame, digest: Callable[[bytes],
 def drop_exact_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` without the copies; all columns stay.
 
-    Of rows that share doc_id and text, one stays. Rows without doc_id stay: nothing names them.
+    A row is named by its doc_id and the digest of its normalised text; of rows that share
+    both, one stays. Rows without doc_id stay: nothing names them.
     """
-    groups = exact_groups(spark, docs)
-    gone = (
-        groups.groupBy(F.col("doc_id").alias("__gone"))
-        .agg(F.bool_or(F.col("row") == F.col("keep_row")).alias("__stays"))
-        .where("not __stays")
+    verdicts = stored(
+        spark,
+        exact_groups(spark, docs)
+        .where("doc_id is not null")
+        .groupBy(F.col("doc_id").alias("__id"), F.col("sha").alias("__sha"))
+        .agg(F.bool_or(F.col("row") == F.col("keep_row")).alias("__stays"), F.count("*").alias("__n"))
+        .where("not __stays or __n > 1"),
+        new_run_root(spark, "copies"),
+        "verdicts",
     )
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    shared_ids = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return left if shared_ids.isEmpty() else left.dropDuplicates(["doc_id", "text"])
+    columns = docs.columns
+    schema = T.StructType([*docs.schema.fields, T.StructField("__text_sha", T.BinaryType())])
+
+    def with_sha(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            shas = [sha256(squeezed(t or b"")) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shas, pa.binary())], names=[*columns, "__text_sha"])
+
+    named = docs.mapInArrow(with_sha, schema)
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.col("__text_sha") == F.col("__sha"))
+    once = named.join(verdicts, same, "left_anti").select(columns)
+    repeated = named.join(verdicts.where("__stays"), same).dropDuplicates(["__id", "__sha"]).select(columns)
+    return once.union(repeated)

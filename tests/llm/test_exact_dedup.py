@@ -62,3 +62,16 @@ def test_texts_that_share_a_digest(spark, frame):
     got = exact_dedup.exact_groups(spark, frame(rows).repartition(3), weak).collect()
     assert sorted((str(r.doc_id), str(r.keep_id), r.group_size) for r in got) == expected
     assert sum(r.row == r.keep_row for r in got) == len(groups)
+
+
+def test_copies_under_shared_ids(spark, frame):
+    """Each row is judged by its own text, and rows of other ids change nothing."""
+
+    def kept(rows):
+        left = exact_dedup.drop_exact_copies(spark, frame(rows).repartition(3))
+        return sorted(((r.doc_id, " ".join(r.text.split())) for r in left.collect()), key=str)
+
+    nameless = [(None, "n"), (None, "n")]
+    assert kept([(3, "A"), (7, "A"), (7, "B"), *nameless]) == [(3, "A"), (7, "B"), *nameless]
+    assert kept([(7, "a b"), (7, "a  b"), (8, "a b"), (9, "c"), *nameless]) == [(7, "a b"), (9, "c"), *nameless]
+    assert kept([(1, "x"), (2, "y"), *nameless]) == [(1, "x"), (2, "y"), *nameless]
