@@ -10,5 +10,53 @@ WITH n AS (
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY norm)
+""",
+    "op11_filter_interaction_audit": r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+marks AS (
+  SELECT doc_id, part,
+         CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+  FROM texts
+),
+known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+),
+counters AS (
+  SELECT part, mask, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n
+  FROM marks LEFT JOIN known USING (doc_id) GROUP BY ALL
+),
+letters(letter, own) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.own, b.own, c.own, d.own, e.own] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.own + b.own + c.own + d.own + e.own = 31 AND a.own | b.own | c.own | d.own | e.own = 31
+),
+steps AS (
+  SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+),
+counted AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN mask & own = 0 AND mask & earlier = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & own <> 0 AND mask & earlier = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & own <> 0 AND mask & earlier <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & own <> 0 AND mask & earlier = 0 AND good = 1 THEN n ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & own <> 0 AND mask & earlier = 0 AND toxic = 1 THEN n ELSE 0 END) AS toxic_lost
+  FROM counters, steps GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley
+FROM counted
 """,
 }

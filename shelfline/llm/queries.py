@@ -8,7 +8,21 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import exact_dedup, fingerprints, ngram_join, packing, quality, sentence_pieces, substring_dedup, suffix_dedup, token_counts, toxicity
+from shelfline.llm import (
+    exact_dedup,
+    filter_audit,
+    fingerprints,
+    html_extraction,
+    ngram_join,
+    packing,
+    quality,
+    sentence_pieces,
+    substring_dedup,
+    suffix_dedup,
+    token_alignment,
+    token_counts,
+    toxicity,
+)
 from shelfline.llm import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +120,27 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_units(spark, _documents(spark, folder))
 
 
+@query
+def op11_filter_interaction_audit(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality", "toxic")
+    counters = filter_audit.part_counters(spark, f"{folder}/documents.parquet", labels)
+    return filter_audit.audit(spark, counters)
+
+
+@query
+def op12_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found, _ = token_alignment.alignment(
+        spark, _documents(spark, folder), token_alignment.default_a(), token_alignment.default_b()
+    )
+    return found
+
+
+@query
+def op13_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    return html_extraction.main_texts(pages).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
