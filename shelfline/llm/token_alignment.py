@@ -45,6 +45,10 @@ from shelfline.sources.workspace import new_run_root, stored
 CHUNK_BYTES = 1 << 21
 #: Places that an interval tries one by one, from its middle outwards.
 STEPS = 12
+#: Unknown words that are encoded as one text.
+WORDS_TOGETHER = 200
+#: Words whose ids a worker remembers before it forgets those that were not used lately.
+WORDS_KNOWN = 200_000
 #: Groups with more links than this are expanded by their different ids.
 MANY_LINKS = 256
 
@@ -96,22 +100,70 @@ class Pair:
             for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.vocab_size()))
         }
         self.sizes_a, self.sizes_b = (_sizes(x) for x in (self.bytes_a, self.bytes_b))
+        if any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.vocab_size())):
+            raise ValueError("B has a piece that goes on behind a mark")
+        self.begins_word = np.array([self.b.id_to_piece(i).startswith("▁") for i in range(self.b.vocab_size())])
+        self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
+        self.mark = np.array([self.b.piece_to_id("▁")], np.uint16).tobytes()
         # a token as text with the mark behind it: , | or ;
         most = max(len(self.sizes_a), len(self.sizes_b))
         self.written = [f"{i}{mark}".encode() for i in range(most) for mark in ",|;"]
 
+    def encode_b(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of B. No piece goes on behind its first mark, so words are encoded by themselves, unknown ones only."""
+        split = [self.words_of(t) for t in texts]
+        if len(self.known) > WORDS_KNOWN:  # what was not used since the last time goes
+            self.known, self.earlier = {}, self.known
+        known, earlier = self.known, self.earlier
+        unknown = []
+        for word in set().union(*split).difference(known):
+            ids = earlier.get(word)
+            if ids is None:
+                unknown.append(word)
+            else:
+                known[word] = ids
+        plain = [w for w in unknown if w and w[0] != " "]
+        groups = [plain[i : i + WORDS_TOGETHER] for i in range(0, len(plain), WORDS_TOGETHER)]
+        for words, ids in zip(groups, self.b.encode([" ".join(w) for w in groups], out_type=int, num_threads=1), strict=True):
+            ids = np.array(ids, np.uint16)
+            begins = np.flatnonzero(self.begins_word[ids])
+            if len(begins) == len(words):  # else a word holds a mark of its own
+                raw, at = ids.tobytes(), (2 * begins).tolist()
+                known.update((w, raw[x:y]) for w, x, y in zip(words, at, [*at[1:], len(raw)], strict=True))
+        rest = [w for w in unknown if w not in known]
+        for word, ids in zip(rest, self.b.encode(rest, out_type=int, num_threads=1), strict=True):
+            known[word] = np.array(ids, np.uint16).tobytes()
+        known[""] = self.mark
+        return [np.frombuffer(b"".join(map(known.__getitem__, s)), np.uint16).astype(np.int64) for s in split]
+
+    @staticmethod
+    def words_of(text: str) -> list[str]:
+        """Words with all but the first of the spaces before them; B puts that one there itself."""
+        words = text.split(" ")
+        if "" not in words:
+            return words
+        out, spaces = [], 0
+        for w in words[:-1]:
+            if w:
+                out.append(" " * spaces + w)
+                spaces = 0
+            else:
+                spaces += 1
+        return [*out, " " * spaces + words[-1]]
+
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and of B for every text; none for texts that the tokens do not give back."""
         none = np.zeros(0, np.int64)
         in_a, in_b = [none] * len(texts), [none] * len(texts)
         filled = [i for i, t in enumerate(texts) if t]
-        found = self.b.encode([texts[i] for i in filled], out_type=int, num_threads=1)
-        for i, b in zip(filled, found, strict=True):
+        for i, b in zip(filled, self.encode_b([texts[i] for i in filled]), strict=True):
             whole = " " + texts[i]
-            a = self.a.encode_ordinary(whole)
+            a = np.array(self.a.encode_ordinary(whole), np.int64)
             raw = whole.encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw:
-                in_a[i], in_b[i] = np.array(a, np.int64), np.array(b, np.int64)
+            # A has a token for every byte and no normaliser, so its tokens can only be a cut of these bytes
+            if self.sizes_a[a].sum() == len(raw) and b"".join(map(self.bytes_b.__getitem__, b.tolist())) == raw:
+                in_a[i], in_b[i] = a, b
         return in_a, in_b
 
 
@@ -143,6 +195,7 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray) -> np
         return ends_b[np.searchsorted(ends_b, ends)] == ends
 
     step = np.zeros(len(low), np.int64)
+    # intervals stay in their order, so that the look-ups run through the ends of B once
     while True:
         inner = high - low - 1  # ends inside the interval
         some = inner > step
@@ -160,9 +213,11 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray) -> np
         hit = common(tried)
         at = tried[hit]
         cut[at] = True
-        low = np.concatenate([low[~hit], low[hit], at + 1])
-        high = np.concatenate([high[~hit], at + 1, high[hit]])
-        step = np.concatenate([step[~hit] + 1, np.zeros(2 * len(at), np.int64)])
+        place = np.cumsum(1 + hit) - 1 - hit
+        low, high, step = (np.repeat(x, 1 + hit) for x in (low, high, step + 1))
+        left = place[hit]
+        high[left] = low[left + 1] = at + 1
+        step[left] = step[left + 1] = 0
 
 
 class Groups:
