@@ -22,8 +22,9 @@ least ``percent`` per cent.
   per copy and not all pairs, and no link that matters for the components is lost.
 
 Cases: null or blank texts have an empty set and link with nothing, not even with
-each other; texts of fewer words than n have one n-gram, the whole sequence. Rows
-with equal doc_id are one document of the result each. Rows without doc_id are
+each other; texts of fewer words than n have one n-gram, the whole sequence. A row is named by its doc_id
+and a hash of its text, so rows that share a doc_id but not the text are documents of their own, which link, or not,
+by their texts; the result has a row for each. Rows without doc_id are
 counted but link with nothing. Other columns are not read.
 """
 
@@ -34,9 +35,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from shelfline.llm.components import components
 from shelfline.llm.sorted_runs import repeated
@@ -52,7 +53,9 @@ TILE = 2_000
 #: N-grams of at least so many documents of a tile are multiplied as a dense block.
 DENSE_FROM = 8
 #: Bytes of an n-gram hash that travel for the exact count.
-HASH_BYTES = 6
+HASH_BYTES = 8
+#: Rows of a tile product that are judged at a time.
+BAND = 256
 
 
 def gram_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,8 +111,8 @@ def _sizes(n: int):
                 sums[0, owners[at]] = np.add.reduceat(values, at)
                 sums[1, owners[at]] = np.add.reduceat(mix(values ^ np.uint64(0x5DEECE66D)), at)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), *(pa.array(signed(x)) for x in sums)],
-                names=["doc_id", "n", "sum_a", "sum_b"],
+                [batch.column("doc_id"), batch.column("tag"), pa.array(sizes), *(pa.array(signed(x)) for x in sums)],
+                names=["doc_id", "tag", "n", "sum_a", "sum_b"],
             )
 
     return run
@@ -137,9 +140,9 @@ def _first_grams(n: int, percent: int, counts: np.ndarray):
             rank = np.arange(len(owners)) - first[owners]
             size = sizes[owners]
             keep = rank <= size - (size * percent + 99) // 100
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            ids, tags = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[owners[keep]] for c in ("doc_id", "tag"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(values[keep])), pa.array(ids[owners[keep]])], names=["key", "doc_id"]
+                [pa.array(signed(values[keep])), pa.array(ids), pa.array(tags)], names=["key", "doc_id", "tag"]
             )
 
     return run
@@ -154,7 +157,7 @@ def _pack_sets(n: int):
             data = pa.py_buffer(short.tobytes())
             offsets = pa.py_buffer(np.r_[0, ends].astype(np.int32).tobytes())
             grams = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, data])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), grams], names=["doc_id", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), grams], names=["doc_id", "tag", "grams"])
 
     return run
 
@@ -180,7 +183,7 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counts(columns: list[np.ndarray]) -> np.ndarray:
-    """How many values each two of the arrays share: incidence times its transpose."""
+    """How many values each two of the arrays share, above the diagonal: incidence times its transpose."""
     n = len(columns)
     rows = np.repeat(np.arange(n), [len(c) for c in columns])
     values = np.concatenate(columns) if n else np.zeros(0, np.int64)
@@ -197,30 +200,40 @@ def _counts(columns: list[np.ndarray]) -> np.ndarray:
                 a, b = rows[at + x], rows[at + y]
                 np.add.at(total, np.minimum(a, b) * n + np.maximum(a, b), 1)
     total = total.reshape(n, n)
-    total += np.triu(total, 1).T
-    # the others as blocks of a dense matrix
+    # the others as blocks of a dense matrix, band by band
     frequent = np.flatnonzero(sizes >= DENSE_FROM)
-    for begin in range(0, len(frequent), 2048):
-        some = frequent[begin : begin + 2048]
+    for begin in range(0, len(frequent), 1024):
+        some = frequent[begin : begin + 1024]
         block = np.zeros((n, len(some)), np.float32)
-        for k, f in enumerate(some):
-            block[rows[starts[f] : starts[f] + sizes[f]], k] = 1
-        total += block @ block.T
+        held = np.repeat(np.arange(len(some)), sizes[some])
+        within = np.arange(len(held)) - np.repeat(np.cumsum(sizes[some]) - sizes[some], sizes[some])
+        block[rows[starts[some][held] + within], held] = 1
+        for first in range(0, n, BAND):
+            total[first : first + BAND, first:] += block[first : first + BAND] @ block[first:].T
     return total
 
 
 def _allowed(pdf: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of two components that sizes and shared leading n-grams allow to link; rows must be sorted by node."""
     sizes = pdf["size"].to_numpy(np.int64)
-    root = pdf["component"].to_numpy(np.int64)
-    shared = _counts([np.asarray(k, np.int64) for k in pdf["keys"]])
-    small, large = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
-    allowed = (shared > 0) & (small * 100 >= large * percent) & (root[:, None] != root[None, :])
-    allowed &= (shared + (large * percent + 99) // 100 - 1) * (100 + percent) >= percent * (small + large)
+    _, root = np.unique(pdf["component"].to_numpy(np.int64), return_inverse=True)
     tile = pdf["tile"].to_numpy()
-    if pdf["first"].iat[0] != pdf["second"].iat[0]:  # pairs within a tile have a task of their own
-        allowed &= tile[:, None] != tile[None, :]
-    return np.nonzero(np.triu(allowed, 1))
+    two = pdf["first"].iat[0] != pdf["second"].iat[0]  # pairs within a tile have a task of their own
+    shared = _counts([np.asarray(k, np.int64) for k in pdf["keys"]])
+    found = []
+    for first in range(0, len(pdf), BAND):
+        band = slice(first, first + BAND)
+        common = shared[band, first:]
+        i, j = np.nonzero(np.triu(common > 0, 1))
+        common, i, j = common[i, j].astype(np.int64), i + first, j + first
+        small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
+        allowed = (small * 100 >= large * percent) & (root[i] != root[j])
+        allowed &= (common + (large * percent + 99) // 100 - 1) * (100 + percent) >= percent * (small + large)
+        if two:
+            allowed &= tile[i] != tile[j]
+        found.append((i[allowed], j[allowed]))
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return np.concatenate([np.zeros(0, np.int64), *a]), np.concatenate([np.zeros(0, np.int64), *b])
 
 
 def _candidates(percent: int):
@@ -268,28 +281,89 @@ def _multiply(percent: int):
     return run
 
 
+def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of cluster, size and node, with their place among the rows of their cluster in this partition."""
+    part, last, n = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cluster = batch.column("cluster").to_numpy()
+        starts = np.flatnonzero(np.r_[True, cluster[1:] != cluster[:-1]])
+        place = np.arange(len(cluster)) - np.repeat(starts, np.diff(starts, append=len(cluster)))
+        if cluster[0] == last:
+            place[: starts[1] if len(starts) > 1 else None] += n
+        last, n = cluster[-1], place[-1] + 1
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(place), pa.array(np.full(len(cluster), part, np.int32))], names=[*batch.schema.names, "place", "part"]
+        )
+
+
+def _with_tiles(spark: SparkSession, members: DataFrame, root: str) -> DataFrame:
+    """``members`` (node, size, component, cluster) with the tile of their cluster, by size.
+
+    The rank within a cluster comes from a range sort. Only a cluster that begins in an earlier partition needs the
+    number of its rows there: one row per partition of the sort.
+    """
+    columns = ("cluster", "size", "node", "component")
+    ranked = stored(
+        spark,
+        members.select(*columns)
+        .repartitionByRange("cluster", "size", "node")
+        .sortWithinPartitions("cluster", "size", "node")
+        .mapInArrow(_ranked, "cluster long, size long, node long, component long, place long, part int"),
+        root,
+        "ranked",
+    )
+    parts = ranked.groupBy("part").agg(
+        F.min("cluster").alias("first"), F.max("cluster").alias("last"), F.max(F.struct("cluster", "place")).alias("end")
+    )
+    before, waiting, offsets = None, 0, []
+    for r in parts.orderBy("part").collect():
+        own = waiting if r.first == before else 0
+        offsets.append((r.part, r.first, own))
+        waiting = r.end.place + 1 + (own if r.first == r.last else 0)
+        before = r.last
+    known = spark.createDataFrame(offsets, "of_part int, of_cluster long, earlier long")
+    same = (F.col("part") == F.col("of_part")) & (F.col("cluster") == F.col("of_cluster"))
+    rank = F.col("place") + F.coalesce("earlier", F.lit(0))
+    return ranked.join(F.broadcast(known), same, "left").select(*columns, F.floor(rank / TILE).alias("tile"))
+
+
 def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc_id, n_shingles, set_id, component_id) and the counted links (a, b, common) between sets."""
+    """Documents (doc_id, tag, n_shingles, set_id, component_id) and the counted links (a, b, common) between sets.
+
+    ``tag`` is the hash of the row's text; a set is named by the smallest doc_id that has it.
+    """
     root = new_run_root(spark, "ngram")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sizes = stored(spark, docs.mapInArrow(_sizes(n), "doc_id long, n long, sum_a long, sum_b long"), root, "sizes")
-    sets = (
-        sizes.where("n > 0").groupBy("n", "sum_a", "sum_b").agg(F.min("doc_id").alias("set_id")).where("set_id is not null")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
+    sizes = stored(spark, docs.mapInArrow(_sizes(n), "doc_id long, tag long, n long, sum_a long, sum_b long"), root, "sizes")
+    # each set gets a number; the document with the smallest doc_id stands for it
+    sets = stored(
+        spark,
+        sizes.where("n > 0 and doc_id is not null")
+        .groupBy("n", "sum_a", "sum_b")
+        .agg(F.min(F.struct("doc_id", "tag")).alias("of"))
+        .select("n", "sum_a", "sum_b", F.col("of.doc_id").alias("set_id"), F.col("of.tag").alias("set_tag"), F.monotonically_increasing_id().alias("node")),
+        root,
+        "sets",
     )
     members = stored(
-        spark, sizes.join(sets, ["n", "sum_a", "sum_b"], "left").select("doc_id", F.col("n").alias("n_shingles"), "set_id"), root, "members"
+        spark,
+        sizes.join(sets, ["n", "sum_a", "sum_b"], "left").select("doc_id", "tag", F.col("n").alias("n_shingles"), "set_id", "node"),
+        root,
+        "members",
     )
     known = docs.where("doc_id is not null")
     counts = word_counts(docs)
     firsts = stored(
-        spark, known.mapInArrow(_first_grams(n, percent, counts), "key long, doc_id long"), root, "firsts"
+        spark, known.mapInArrow(_first_grams(n, percent, counts), "key long, doc_id long, tag long"), root, "firsts"
     )
-    names = members.where("set_id is not null").select("doc_id", "set_id", "n_shingles")
+    names = members.where("node is not null and doc_id is not null").select("doc_id", "tag", "node", F.col("n_shingles").alias("size")).distinct()
     blocks = stored(
         spark,
-        repeated(firsts.withColumn("place", F.lit(0)), lambda x: stored(spark, x, root, "runs"))
-        .join(names, "doc_id")
-        .select("key", F.col("set_id").alias("node"), F.col("n_shingles").alias("size")),
+        repeated(firsts.withColumn("place", F.lit(0)), lambda x: stored(spark, x, root, "runs"), ("tag",))
+        .join(names, ["doc_id", "tag"])
+        .select("key", "node", "size"),
         root,
         "blocks",
     )
@@ -297,11 +371,12 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
 
     def sets_of(nodes: DataFrame, name: str) -> DataFrame:
         """Whole n-gram sets of some documents, from their texts."""
-        nodes = stored(spark, nodes, root, f"{name}-nodes")
+        of = stored(spark, sets.join(nodes, "node", "left_semi").select("node", F.col("set_id").alias("doc_id"), F.col("set_tag").alias("tag")), root, f"{name}-nodes")
         # few documents find their texts without moving all of them
-        wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST_NODES else nodes
-        packed = known.join(wanted, F.col("doc_id") == F.col("node"), "left_semi").mapInArrow(_pack_sets(n), "doc_id long, grams binary")
-        return stored(spark, packed.withColumnRenamed("doc_id", "node"), root, name)
+        wanted = F.broadcast(of) if of.count() <= BROADCAST_NODES else of
+        packed = known.join(wanted.drop("node"), ["doc_id", "tag"], "left_semi").mapInArrow(_pack_sets(n), "doc_id long, tag long, grams binary")
+        # a row that is repeated has its set once
+        return stored(spark, packed.dropDuplicates(["doc_id", "tag"]).join(of, ["doc_id", "tag"]).select("node", "grams"), root, name)
 
     def fits(a: str, b: str):
         return (F.col(f"{a}_size") * 100 >= F.col(f"{b}_size") * percent) & (F.col(f"{b}_size") * 100 >= F.col(f"{a}_size") * percent)
@@ -372,15 +447,8 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
         first = rows.groupBy("key").agg(F.min("node").alias("a"))
         touching = rows.join(first, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
         clusters = components(spark, touching).select("node", F.col("component").alias("cluster"))
-        by_size = Window.partitionBy("cluster").orderBy("size", "node")
         members = stored(
-            spark,
-            rows.select("node", "size", "component")
-            .distinct()
-            .join(clusters, "node")
-            .withColumn("tile", F.floor((F.row_number().over(by_size) - 1) / TILE)),
-            root,
-            "members-2",
+            spark, _with_tiles(spark, rows.select("node", "size", "component").distinct().join(clusters, "node"), root), root, "members-2"
         )
         tiles = members.groupBy("cluster", "tile").agg(F.min("size").alias("low"), F.max("size").alias("high"))
         second = tiles.select("cluster", F.col("tile").alias("second"), F.col("low").alias("second_low"))
@@ -414,12 +482,34 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
     if not rows.isEmpty():
         links = links.union(stored(spark, multiplied(rows), root, "links-2"))
         labels = components(spark, links)
-    ids = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    return ids.select("doc_id", "n_shingles", "set_id", F.coalesce("component", "set_id", "doc_id").alias("component_id")), links
+    # a component is named by the smallest doc_id in it
+    labelled = sets.select("node", "set_id").join(labels, "node")
+    smallest = labelled.groupBy("component").agg(F.min("set_id").alias("component_id"))
+    named = labelled.join(smallest, "component").select("node", "component_id")
+    found = members.join(named, "node", "left").select(
+        "doc_id",
+        "tag",
+        "n_shingles",
+        "set_id",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "set_id", "doc_id")).alias("component_id"),
+    )
+    ends = {side: sets.select(F.col("node").alias(side), F.col("set_id").alias(f"{side}_id")) for side in "ab"}
+    links = links.join(ends["a"], "a").join(ends["b"], "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "common")
+    return found, links
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id; rows without doc_id stay."""
+    """``docs`` with one document of each component, the one with the smallest doc_id; rows without doc_id stay.
+
+    Rows are judged by doc_id and text. Where rows that share the smallest doc_id are similar to each other, the one with the
+    smallest hash of its text stays; rows that share doc_id and text stay together.
+    """
     found, _ = similar_documents(spark, docs, n, percent)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    judged = found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id", "tag").agg(F.min("component_id").alias("component_id"))
+    judged = stored(spark, judged, new_run_root(spark, "near"), "judged")
+    # ids that stand for a component with several of their texts
+    first = judged.where("doc_id = component_id").groupBy("component_id").agg(F.min("tag").alias("first_tag"))
+    gone = judged.join(first, "component_id").where("doc_id <> component_id or tag <> first_tag")
+    named = gone.select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"))
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64("text") == F.col("__tag"))
+    return docs.join(named, same, "left_anti")

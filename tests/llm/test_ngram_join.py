@@ -79,6 +79,49 @@ def test_odd_rows(spark, frame, odd_rows):
     assert ngram_join.drop_near_copies(spark, frame([])).count() == 0
 
 
+def test_several_texts_under_one_id(spark, words):
+    """Rows are documents of their own; brute force over rows, named by their place."""
+    base = [words(i, 150) for i in range(4)]
+    rows = [(4, base[0]), (4, base[1]), (2, edited(base[0], 1, 5)), (9, edited(base[1], 1, 6)), (9, base[1]), (1, base[2]), (1, base[3])]
+    rows += [(8, edited(base[2], 1, 7)), (8, edited(base[2], 1, 7)), (7, edited(base[3], 1, 8)), (7, words(99, 150))]
+    rows = [(d, " ".join(t)) for d, t in rows]
+    found, _ = ngram_join.similar_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
+    by_row = brute_force(list(enumerate(t for _, t in rows)), 3, 90)
+    members = {}
+    for i, (_, root) in by_row.items():
+        members.setdefault(root, []).append(rows[i][0])
+    expected = sorted((rows[i][0], n, min(members[root])) for i, (n, root) in by_row.items())
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()) == expected
+
+
+def test_a_decision_is_about_a_row(spark, words):
+    a, b, c = (" ".join(words(i, 200)) for i in range(3))
+    near = " ".join(edited(a.split(), 2, 1))
+    rows = [(1, a), (5, near), (5, b), (6, c), (6, " ".join(edited(c.split(), 2, 2))), (3, None), (3, "")]
+    kept = ngram_join.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.text) for r in kept} - {(6, c), rows[4]} == {(1, a), (5, b), (3, None), (3, "")}
+    assert len([r for r in kept if r.doc_id == 6]) == 1
+
+
+def test_ranks_over_sort_partitions(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(ngram_join, "TILE", 4)
+    rows = [(i * 7 % 101, i % 13, i, 0) for i in range(150)] + [(50, i % 9, 1000 + i, 0) for i in range(300)]
+    members = spark.createDataFrame(rows, "cluster long, size long, node long, component long")
+    got = ngram_join._with_tiles(spark, members, str(tmp_path)).collect()
+    by_cluster = {}
+    for c, s, n, _ in sorted(rows):
+        by_cluster.setdefault(c, []).append(n)
+    assert {(r.cluster, r.node): r.tile for r in got} == {(c, n): i // 4 for c, ns in by_cluster.items() for i, n in enumerate(ns)}
+
+
+def test_tile_products_by_bands(monkeypatch):
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(ngram_join, "BAND", 7)
+    keys = [np.unique(rng.choice(60, rng.integers(1, 30))) for _ in range(40)]
+    expected = np.array([[len(np.intersect1d(x, y)) for y in keys] for x in keys])
+    assert (np.triu(ngram_join._counts(keys), 1) == np.triu(expected, 1)).all()
+
+
 def test_words_and_hashes():
     texts = ["a b\tc", None, "", "  x y ", "b", "A", "a b"]
     words = words_of(pa.array(texts), lower=True)
