@@ -3,10 +3,11 @@
 1. Whole documents are encoded (a word-level memory spares the tokenizer what it has
    seen; words go to it in bulk). Documents longer than a sequence are cut into full
    pieces and a rest. From here on only lengths travel, some 50 bytes a piece.
-2. Pieces are dealt evenly over partitions and sorted by falling length there. Each
-   partition packs its stream with ``OPEN_BINS`` open sequences at most. A bitset keyed
+2. Pieces are dealt evenly over partitions. Each partition packs its stream as it comes, one run of at
+   most ``RUN`` pieces after the other, with ``OPEN_BINS`` open sequences at most. Within a run longer pieces go first. A bitset keyed
    by free space finds the tightest open sequence that takes the piece; when another
-   one has to be opened beyond the bound, the fullest is closed.
+   one has to be opened beyond the bound, the fullest is closed. There are more open sequences than pieces in a run, so long pieces do
+   not close sequences before the short ones of their run have filled them.
 
 A partition wastes about one sequence, so there are as many as keep ``PIECES_PER_TASK``
 pieces in each. Memory is bounded by the open sequences, not by the number of pieces.
@@ -34,10 +35,11 @@ from shelfline.llm.words import slices
 from shelfline.sources.workspace import new_run_root, stored
 
 SEQUENCE = 2048
-OPEN_BINS = 4096
+OPEN_BINS = 8192
+RUN = 8192
 PIECES_PER_TASK = 100_000
-#: Entries of a worker's memory of words; it is emptied when full.
-WORDS_KNOWN = 800_000
+#: Words that a worker remembers in each of two generations; when the younger one is full, the older one is forgotten.
+WORDS_KNOWN = 400_000
 SEPARATOR = 0
 
 _encoders: dict[str, "WordMemory"] = {}
@@ -65,21 +67,27 @@ class WordMemory:
         self.is_end = np.zeros(1 << 16, bool)
         self.is_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known = _Known()
+        self.older: dict[bytes, bytes] = {}
+        self.marks = self.direct("."), self.direct(",")
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16).tobytes()
 
     def learn(self, chunks: set[bytes]) -> None:
         """See that every chunk is known, or is a known word with a known mark behind it."""
-        if len(self.known) > WORDS_KNOWN:
-            self.known.clear()
-        known = self.known
-        known[b"."], known[b","] = self.direct("."), self.direct(",")
+        if len(self.known) > WORDS_KNOWN:  # what is still in use comes back from the older generation
+            self.known, self.older = _Known(), self.known
+        known, older = self.known, self.older
+        known[b"."], known[b","] = self.marks
         words, others = set(), []
         for chunk in chunks.difference(known):
             word = chunk[:-1] if chunk[-1] in b".," else chunk
-            if not word.decode().isalpha():
+            if chunk in older:
+                known[chunk] = older[chunk]
+            elif not word.decode().isalpha():
                 others.append(chunk)
+            elif word in older:
+                known[word] = older[word]
             elif word not in known:
                 words.add(word)
         self.learn_words(list(words))
@@ -149,12 +157,10 @@ def _pieces(path: str, length: int):
 
 def _pack(length: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows come by falling length; the stream is packed batch by batch with the same open sequences
         part = TaskContext.get().partitionId()
-        packer = None
+        packer = Packer(length)
         for frame in frames:
-            packer = packer or Packer(length)
-            frame["sequence_id"], frame["offset"] = packer.add(frame["length"].to_numpy())
+            frame["sequence_id"], frame["offset"] = packer.add_runs(frame["length"].to_numpy())
             frame["sequence_id"] += np.int64(part) << 40
             yield frame
 
@@ -176,6 +182,14 @@ class Packer:
         self.n_open -= 1
         return own
 
+    def add_runs(self, lengths: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`add`, with the longer pieces of each run first."""
+        places, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+        for begin in range(0, len(lengths), run):
+            order = begin + np.argsort(-lengths[begin : begin + run], kind="stable")
+            places[order], offsets[order] = self.add(lengths[order])
+        return places, offsets
+
     def add(self, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         places = np.empty(len(lengths), np.int64)
         offsets = np.empty(len(lengths), np.int64)
@@ -208,9 +222,7 @@ def packed(spark: SparkSession, docs: DataFrame, tokenizer: str, length: int = S
         "pieces",
     )
     tasks = max(1, pieces.count() // PIECES_PER_TASK)
-    dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece") % 65536).sortWithinPartitions(
-        F.col("length").desc(), "doc_id", "piece"
-    )
+    dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece") % 65536).sortWithinPartitions("doc_id", "piece")
     return dealt.mapInPandas(
         _pack(length),
         "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long",

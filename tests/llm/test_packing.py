@@ -51,6 +51,37 @@ def test_best_fit(lengths, most_open, cut):
     assert list(zip(places, offsets, strict=True)) == plain_best_fit(lengths, 30, most_open)
 
 
+def test_many_pieces_fill_their_sequences():
+    """100,000 pieces, with bins closed on the way, stay within one per cent of the lower bound."""
+    rng = np.random.default_rng(1)
+    lengths = np.minimum(2048, (rng.pareto(1.1, 100_000) * 150 + 5).astype(np.int64))
+    for some in (lengths, np.sort(lengths), np.sort(lengths)[::-1], rng.integers(1, 2049, 100_000)):
+        packer = packing.Packer()
+        parts = [packer.add_runs(some[i : i + 10_000]) for i in range(0, len(some), 10_000)]
+        places, offsets = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((offsets, places))
+        begins = np.r_[True, np.diff(places[order]) != 0]
+        ends = (offsets + some)[order]
+        assert (offsets[order][begins] == 0).all() and (offsets[order][1:][~begins[1:]] == ends[:-1][~begins[1:]]).all()
+        assert ends.max() <= 2048 and packer.n_open <= packing.OPEN_BINS
+        if not (np.diff(some) >= 0).all() and not (np.diff(some) <= 0).all():
+            assert packer.made <= 1.01 * -(-some.sum() // 2048) or packer.made <= 1.01 * plain_bound(some)
+
+
+def plain_bound(lengths):
+    """Sequences that are needed in any case: pieces of more than half a sequence take one each."""
+    return max(-(-int(lengths.sum()) // 2048), int((lengths > 1024).sum()))
+
+
+def test_words_come_back_from_the_older_generation(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS_KNOWN", 3)
+    memory = packing.WordMemory(packing.default_tokenizer())
+    texts = ["one two. three, 12. a-. four", "one five, six. seven eight 12.", "nine two ten. a-. one, 12,", "eleven twelve. one two three"] * 3
+    for text in texts:
+        expected = memory.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(memory.encode([text])[0], np.uint16).tolist() == expected
+
+
 def test_packed(spark, frame, odd_rows):
     rows = odd_rows + [(1000 + i, "word " * (i * 7 % 300)) for i in range(300)]
     got = packing.packed(spark, frame(rows).repartition(4), packing.default_tokenizer()).collect()
