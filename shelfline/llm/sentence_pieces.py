@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from shelfline.llm.words import inverse_powers, mix, powers, slices
 
 MARK = "▁"
-#: Entries of a worker's memory of words; it is emptied when full.
-WORDS_KNOWN = 500_000
+#: Words that a worker remembers in each of two generations; when the younger one is full, the older one is forgotten.
+WORDS_KNOWN = 250_000
 #: Words that advance together.
 TOGETHER = 20_000
 _FILTER_BITS = 22
@@ -75,6 +75,7 @@ class PieceCodec:
         self.merges = merges
         self.byte_ids = byte_ids
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         ids = np.array(sorted(pieces), np.int64)
         texts = [pieces[i] for i in ids]
         hashes = _hash_all(texts)
@@ -240,26 +241,26 @@ class PieceCodec:
                 break
             out[step, live] = piece[at[live], live]
             at[live] -= sizes[out[step, live]]
-        found = []
-        for j in range(m):
-            ids = out[:, j]
-            ids = ids[ids >= 0][::-1]
-            if (ids == _UNKNOWN).any():
-                place, own = 0, []
-                for i in ids.tolist():
-                    if i == _UNKNOWN:
-                        own += [self.byte_ids[b] for b in chr(words[j, place]).encode()]
-                    else:
-                        own.append(i)
-                    place += sizes[i]
-                ids = np.array(own)
-            found.append(ids.astype(np.uint16).tobytes())
+        # steps run backwards, so the last ones come first in each word's row
+        rows = out[::-1].T
+        ids = rows[rows >= 0]
+        ends = np.cumsum((rows >= 0).sum(axis=1))
+        raw, cuts = ids.astype(np.uint16).tobytes(), (2 * np.r_[0, ends]).tolist()
+        found = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        odd = np.unique(np.searchsorted(ends, np.flatnonzero(ids == _UNKNOWN), side="right"))
+        for j in odd.tolist():  # characters without a piece become their bytes
+            place, own = 0, []
+            for i in ids[cuts[j] // 2 : cuts[j + 1] // 2].tolist():
+                if i == _UNKNOWN:
+                    own += [self.byte_ids[b] for b in chr(words[j, place]).encode()]
+                else:
+                    own.append(i)
+                place += sizes[i]
+            found[j] = np.array(own, np.uint16).tobytes()
         return found
 
     def learn(self, words: list[str]) -> None:
         """Encode words that are not known yet."""
-        if len(self.words) + len(words) > WORDS_KNOWN:
-            self.words.clear()
         by_length: dict[int, set[str]] = defaultdict(set)
         parts_of = {}
         for w in words:
@@ -301,11 +302,17 @@ class PieceCodec:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self.split(t or "") for t in texts]
-        missing = set().union(*split).difference(self.words)
-        if len(self.words) + len(missing) > WORDS_KNOWN:
-            missing = set().union(*split)
+        if len(self.words) > WORDS_KNOWN:  # what is still in use comes back from the older generation
+            self.words, self.older = {}, self.words
+        words, older, missing = self.words, self.older, []
+        for w in set().union(*split).difference(words):
+            ids = older.get(w)
+            if ids is None:
+                missing.append(w)
+            else:
+                words[w] = ids
         if missing:
-            self.learn(list(missing))
+            self.learn(missing)
         get = self.words.__getitem__
         return [np.frombuffer(b"".join(map(get, s)), np.uint16) for s in split]
 
