@@ -20,7 +20,8 @@ With these figures every passage of 50 words has an anchor in its first 16 words
 within one document are left alone.
 
 Cases: null, empty and short texts have no anchors. Rows without doc_id are left alone.
-Rows that share a doc_id count as one document, so they are no repeats of each other. Words are told apart by
+Rows that share a doc_id are no repeats of each other; a row is named by its doc_id and a hash of its text, so each is compared, and
+cut, by its own text. Words are told apart by
 64-bit hashes of their bytes, white space between them is ignored. Other columns are
 not read, and stay as they are in ``cut_repeats``.
 """
@@ -81,10 +82,10 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = places[places < len(digests)]
         places = places[whole[places]]
         owner = words.owner[places]
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, tags = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[owner] for c in ("doc_id", "tag"))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(signed(digests[places])), pa.array(ids[owner]), pa.array(places - words.first[owner])],
-            names=["key", "doc_id", "place"],
+            [pa.array(signed(digests[places])), pa.array(ids), pa.array(places - words.first[owner]), pa.array(tags)],
+            names=["key", "doc_id", "place", "tag"],
         )
 
 
@@ -94,6 +95,7 @@ _FOUND = T.StructType(
     [
         T.StructField("kind", T.IntegerType()),
         T.StructField("doc_id", T.LongType()),
+        T.StructField("tag", T.LongType()),
         T.StructField("place", T.LongType()),
         T.StructField("end", T.LongType()),
         T.StructField("lead_doc", T.LongType()),
@@ -124,7 +126,7 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
     """From documents with their hits: matches, stretches of ``size`` words over the borders of matches, and the words
     beside the occurrences that others were matched with."""
     names = [f.name for f in _FOUND]
-    kinds = (pa.int32(), *[pa.int64()] * 6, pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.int64()] * 3)
+    kinds = (pa.int32(), *[pa.int64()] * 7, pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.int64()] * 3)
     for batch in slices(batches):
         words = words_of(batch.column("text"))
         short = (words.hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -132,20 +134,24 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
         np.cumsum((words.data & 0xC0) != 0x80, out=before[1:])
         windows, least = least_of_windows(words)
         digests, whole = words.spans(size)
+        seeds, _ = words.spans(SEED)
         inside = windows < len(digests)
         inside[inside] = whole[windows[inside]]
         windows, least = windows[inside], least[inside]
         rows: list[tuple] = []
         stretches: list[np.ndarray] = []
         hits, wanted = batch.column("hits"), batch.column("wanted")
-        for i, doc in enumerate(batch.column("doc_id").to_pylist()):
+        for i, (doc, tag) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("tag").to_pylist(), strict=True)):
             own = short[words.first[i] : words.first[i + 1]]
             base = before[words.offsets[i]]
             starts = before[words.starts[words.first[i] : words.first[i + 1]]] - base
             ends = before[words.ends[words.first[i] : words.first[i + 1]]] - base
+            h = np.zeros((0, 3), np.int64)
             if hits[i].is_valid:
                 h = hits[i].values
-                h = np.column_stack([h.field(c).to_numpy(zero_copy_only=False) for c in ("place", "lead_doc", "lead_place")])
+                h = np.column_stack([h.field(c).to_numpy(zero_copy_only=False) for c in ("place", "lead_doc", "lead_place", "tag")])
+                h = h[h[:, 3] == tag, :3]  # other rows of the id have hits of their own
+            if len(h):
                 h = h[np.lexsort((h[:, 0], h[:, 2] - h[:, 0], h[:, 1]))]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:, 1] != h[:-1, 1]) | (h[1:, 2] - h[1:, 0] != h[:-1, 2] - h[:-1, 0]) | (h[1:, 0] > h[:-1, 0] + SEED)
@@ -157,7 +163,7 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
                     # a match with an earlier place of the same document only bounds the stretches below
                     if h[first[j], 1] != doc:
                         rows.append(
-                            (MATCH, doc, b, e, int(h[first[j], 1]), int(h[first[j], 2]), int(h[last[j], 2]), left[j], right[j],
+                            (MATCH, doc, tag, b, e, int(h[first[j], 1]), int(h[first[j], 2]), int(h[last[j], 2]), left[j], right[j],
                              starts[max(0, b - REACH) : b + 1][::-1].tolist(), ends[e - 1 : e + REACH].tolist(), None, None, None)
                         )
                 own_windows = slice(*np.searchsorted(windows, words.first[i : i + 2]))
@@ -167,19 +173,23 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
                 match = np.cumsum(new)[hit] - 1
                 at = at[(h[hit, 0] == anchor) & ((at < begin[match]) | (at + size > end[match]))]
                 stretches.append(
-                    np.column_stack([np.full(len(at), doc), at, signed(digests[at + words.first[i]]), starts[at], ends[at + size - 1]])
+                    np.column_stack([np.full(len(at), doc), np.full(len(at), tag), at, signed(digests[at + words.first[i]]), starts[at], ends[at + size - 1]])
                 )
             if wanted[i].is_valid:
-                at = np.array(sorted(wanted[i].as_py()), np.int64)
+                w = wanted[i].values
+                at, keys = (w.field(c).to_numpy(zero_copy_only=False) for c in ("lead_place", "key"))
+                # of the rows of an id, those that hold the words that were matched there
+                at, keys = at[at + SEED <= len(own)], keys[at + SEED <= len(own)]
+                at = np.unique(at[signed(seeds[at + words.first[i]]) == keys])
                 left, right = _beside(own, at, at + SEED, 2)
                 rows += [
-                    (BESIDE, doc, p, None, None, None, None, x, y, *[None] * 5) for p, x, y in zip(at.tolist(), left, right, strict=True)
+                    (BESIDE, doc, tag, p, None, None, None, None, x, y, *[None] * 5) for p, x, y in zip(at.tolist(), left, right, strict=True)
                 ]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
         if n := sum(map(len, stretches)):
             parts = np.ascontiguousarray(np.concatenate(stretches).T)
-            columns = {"kind": np.full(n, STRETCH, np.int32)} | dict(zip(("doc_id", "place", "key", "char_start", "char_end"), parts, strict=True))
+            columns = {"kind": np.full(n, STRETCH, np.int32)} | dict(zip(("doc_id", "tag", "place", "key", "char_start", "char_end"), parts, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, kinds, strict=True)], names=names
             )
@@ -198,6 +208,7 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("tag"),
                 pa.array(batch.column("place").to_numpy() - left),
                 pa.array(batch.column("end").to_numpy() + right),
                 pa.array([s[n] for s, n in zip(starts, left.tolist(), strict=True)], pa.int64()),
@@ -205,31 +216,31 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("lead_doc"),
                 pa.array(batch.column("lead_first").to_numpy() - left),
             ],
-            names=["doc_id", "start", "end", "char_start", "char_end", "match_doc_id", "match_start"],
+            names=["doc_id", "tag", "start", "end", "char_start", "char_end", "match_doc_id", "match_start"],
         )
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Stretches that an earlier document holds, too.
 
-    doc_id, start_word, n_words, start_char, n_chars, and of the longest match in it
-    match_doc_id and match_start_word. ``min_words`` may not be below 50.
+    doc_id, text_hash, start_word, n_words, start_char, n_chars, and of the longest match in it
+    match_doc_id and match_start_word; ``text_hash`` is Spark's xxhash64 of the row's text. ``min_words`` may not be below 50.
     """
     if min_words < WINDOW - 1 + SEED:
         raise ValueError("passages this short need other anchors")
     size = min(min_words, MIN_WORDS)
     root = new_run_root(spark, "suffixes")
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    suffixes = stored(spark, docs.mapInArrow(_suffixes, "key long, doc_id long, place long"), root, "suffixes")
+    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
+    suffixes = stored(spark, docs.mapInArrow(_suffixes, "key long, doc_id long, place long, tag long"), root, "suffixes")
     hits = stored(
         spark,
-        repeated(suffixes, lambda x: stored(spark, x, root, "runs")).where("doc_id <> lead_doc or place <> lead_place").drop("key"),
+        repeated(suffixes, lambda x: stored(spark, x, root, "runs"), ("tag",)).where("doc_id <> lead_doc or place <> lead_place"),
         root,
         "hits",
     )
-    by_doc = hits.groupBy("doc_id").agg(F.collect_list(F.struct("place", "lead_doc", "lead_place")).alias("hits"))
+    by_doc = hits.groupBy("doc_id").agg(F.collect_list(F.struct("place", "lead_doc", "lead_place", "tag")).alias("hits"))
     by_lead = (
-        hits.where("doc_id <> lead_doc").select(F.col("lead_doc").alias("doc_id"), "lead_place").distinct().groupBy("doc_id").agg(F.collect_list("lead_place").alias("wanted"))
+        hits.where("doc_id <> lead_doc").select(F.col("lead_doc").alias("doc_id"), "lead_place", "key").distinct().groupBy("doc_id").agg(F.collect_list(F.struct("lead_place", "key")).alias("wanted"))
     )
     found = stored(
         spark,
@@ -242,13 +253,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, min_words: int = MIN
     left = beside.select(F.col("doc_id").alias("lead_doc"), F.col("place").alias("lead_first"), F.col("left").alias("lead_left"))
     right = beside.select(F.col("doc_id").alias("lead_doc"), F.col("place").alias("lead_last"), F.col("right").alias("lead_right"))
     spans = matches.join(left, ["lead_doc", "lead_first"]).join(right, ["lead_doc", "lead_last"]).mapInArrow(
-        _extend, "doc_id long, start long, end long, char_start long, char_end long, match_doc_id long, match_start long"
+        _extend, "doc_id long, tag long, start long, end long, char_start long, char_end long, match_doc_id long, match_start long"
     )
     further = (
-        repeated(found.where(F.col("kind") == STRETCH), lambda x: stored(spark, x, root, "stretches"), ("char_start", "char_end"))
+        repeated(found.where(F.col("kind") == STRETCH), lambda x: stored(spark, x, root, "stretches"), ("char_start", "char_end", "tag"))
         .where("doc_id <> lead_doc")
         .select(
             "doc_id",
+            "tag",
             F.col("place").alias("start"),
             (F.col("place") + size).alias("end"),
             "char_start",
@@ -259,21 +271,21 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, min_words: int = MIN
     )
     # what overlaps and repeats the same place is one match
     spans = spans.unionByName(further).withColumn("shift", F.col("match_start") - F.col("start"))
-    in_row = Window.partitionBy("doc_id", "match_doc_id", "shift").orderBy("start", "end")
+    in_row = Window.partitionBy("doc_id", "tag", "match_doc_id", "shift").orderBy("start", "end")
     ended = F.max("end").over(in_row.rowsBetween(Window.unboundedPreceding, -1))
     spans = (
         spans.withColumn("new", (F.coalesce(ended, F.lit(-1)) < F.col("start")).cast("int"))
         .withColumn("part", F.sum("new").over(in_row))
-        .groupBy("doc_id", "match_doc_id", "shift", "part")
+        .groupBy("doc_id", "tag", "match_doc_id", "shift", "part")
         .agg(*(f(c).alias(c) for c, f in (("start", F.min), ("end", F.max), ("char_start", F.min), ("char_end", F.max), ("match_start", F.min))))
     )
-    in_order = Window.partitionBy("doc_id").orderBy("start", "end", "match_doc_id", "match_start")
+    in_order = Window.partitionBy("doc_id", "tag").orderBy("start", "end", "match_doc_id", "match_start")
     so_far = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     longest = F.struct((F.col("end") - F.col("start")).alias("n"), -F.col("match_doc_id"), -F.col("match_start"))
     return (
         spans.withColumn("new", (F.coalesce(so_far, F.lit(-1)) < F.col("start")).cast("int"))
         .withColumn("stretch", F.sum("new").over(in_order))
-        .groupBy("doc_id", "stretch")
+        .groupBy("doc_id", F.col("tag").alias("text_hash"), "stretch")
         .agg(
             F.min("start").alias("start_word"),
             (F.max("end") - F.min("start")).alias("n_words"),
@@ -295,7 +307,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS
     """
     cuts = (
         repeated_passages(spark, docs, min_words)
-        .groupBy(F.col("doc_id").alias("__cut_id"))
+        .groupBy(F.col("doc_id").alias("__cut_id"), F.col("text_hash").alias("__cut_text"))
         .agg(F.sort_array(F.collect_list(F.struct("start_char", "n_chars"))).alias("__cuts"))
     )
     schema, columns = docs.schema, docs.columns
@@ -324,4 +336,4 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS
                 arrays[columns.index("n_chars")] = pa.array(sizes, arrays[columns.index("n_chars")].type)
             yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep))
 
-    return docs.join(cuts, F.col("doc_id") == F.col("__cut_id"), "left").mapInArrow(run, schema)
+    return docs.join(cuts, (F.col("doc_id") == F.col("__cut_id")) & (F.xxhash64("text") == F.col("__cut_text")), "left").mapInArrow(run, schema)

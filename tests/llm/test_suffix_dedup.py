@@ -68,6 +68,26 @@ def test_cut_and_odd_rows(spark, frame, odd_rows, words):
     assert suffix_dedup.repeated_passages(spark, frame([])).count() == 0
 
 
+def test_several_texts_under_one_id(spark, words):
+    """Texts of different lengths share a doc_id; each is cut by its own repeats, and none by those of the other rows."""
+    one, two, three = words(1, 60), words(2, 70), words(3, 55)
+    pads = [words(100 + i, 40) for i in range(9)]
+    rows = [
+        (5, " ".join([*pads[0], *one])),
+        (5, " ".join(pads[1][:20])),
+        (5, " ".join([*pads[2], *pads[3], *two])),
+        (9, " ".join([*pads[4], *one, *pads[5], *two])),
+        (9, " ".join([*pads[6], *three])),
+        (9, " ".join([*pads[7], *pads[8], *three, "end"])),
+        (12, " ".join([*three, *words(300, 40)])),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spans = {(r.doc_id, r.start_word, r.n_words) for r in suffix_dedup.repeated_passages(spark, docs).collect()}
+    assert spans == {(9, 40, 60), (9, 140, 70), (12, 0, 55)}
+    left = {(r.doc_id, len(r.text.split())) for r in suffix_dedup.cut_repeats(spark, docs).collect()}
+    assert left == {(5, 100), (5, 20), (5, 150), (9, 80), (9, 95), (9, 136), (12, 40)}
+
+
 def test_first_occurrence_holds_only_a_piece(spark, words):
     """Earlier documents, or earlier places of one, hold 40 words of the 55 to 90 that later documents share."""
     rows = []
