@@ -6,7 +6,7 @@ import argparse
 
 from shelfline.names import INVENTORY_TABLE, MARKETPLACE_TABLE, STOREFRONT_TABLE
 from shelfline.operators.batches import Batch
-from shelfline.plans import bronze, catalog, gold, quality, runs, silver
+from shelfline.plans import bronze, catalog, quality, runs
 from shelfline.sources.session import build_session
 from shelfline.streaming.file_drop import load_new_files
 
@@ -43,9 +43,9 @@ def main(arguments: list[str] | None = None) -> None:
             for result in load_new_files(spark, folder, table, root, f"{options.checkpoint or root + '/_drop'}/{table}", batch):
                 print(result.rows, result.unreadable, result.skipped, result.warnings)
     elif options.step == "silver":
-        print(silver.build(runs.layer_tables(spark, root, "bronze"), root))
+        print(runs.build_version(spark, root, batch, gates=False, whole=True).rows["silver"])
     elif options.step == "gold":
-        print(gold.build(runs.layer_tables(spark, root, "silver"), root))
+        print(runs.build_version(spark, root, batch, gates=False, whole=True).rows["gold"])
     elif options.step == "quality":
         for layer in ("bronze", "silver"):
             quality.layer_gate(runs.layer_tables(spark, root, layer), layer).show(truncate=False)
@@ -54,8 +54,7 @@ def main(arguments: list[str] | None = None) -> None:
         catalog.register(spark, root)
         catalog.summary(spark).show(truncate=False)
     else:
-        result = runs.run_layers(spark, root, feeds, batch, reload=options.reload)
-        runs.log_lineage(spark, root, result, batch.batch_id, batch.ingested_at)
+        result = runs.run_layers(spark, root, feeds, batch, reload=options.reload, run_id=batch.batch_id)
         for row in result.counts():
             print(*row)
 

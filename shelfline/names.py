@@ -28,9 +28,16 @@ GOLD_TABLES = (
 
 BATCH_COLUMNS = ("_ingestion_timestamp", "_source_system", "_batch_id", "_ingestion_date")
 
+# Folder of the rows that were not let into bronze.
+REJECTS = "rejects"
+
+# Partition columns of one load of a batch, and of one version of a table.
+LOAD_COLUMN = "_load_id"
+VERSION_COLUMN = "_version"
+
 # Partition columns of each stored table (None = not partitioned).
 PARTITION_COLUMN = {
-    "bronze": {t: ("_ingestion_date", "_batch_id") for t in BRONZE_TABLES},
+    "bronze": {t: (LOAD_COLUMN, "_ingestion_date", "_batch_id") for t in BRONZE_TABLES},
     "silver": {"orders": "order_date", "customers": None, "products": None, "inventory": "order_date"},
     "gold": {t: "order_month" for t in GOLD_TABLES},
 }
@@ -53,6 +60,7 @@ PERIOD = ("1998-03-01", "1998-03-31")
 MONTHS = ("1998-01", "1998-03")
 REPLAY_DAY = "1998-03-15"
 AS_OF_DAY = "1998-06-30"
+LATER_DAY = "1998-07-31"
 DRIFT_START = "1998-07-01"
 
 

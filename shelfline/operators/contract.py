@@ -115,13 +115,15 @@ def schema_changes(df: DataFrame, contract: Contract) -> list[tuple[str, str, st
     return [(rule, name, SEVERITY_OF_POLICY[p]) for rule, name, p in found if SEVERITY_OF_POLICY[p]]
 
 
-def contract_report(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) -> DataFrame:
+def contract_report(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT, by: tuple[str, ...] = ()) -> DataFrame:
     """One row ``(rule, field, severity, n, message)`` per rule; n = offending rows.
 
-    For missing and unknown columns n is 1. Validations are SQL predicates over
+    ``by`` names columns, such as the file of a row, for whose values the rules are judged apart, in the same
+    single pass. They are no part of the contract. For missing and unknown columns n is 1. Validations are SQL predicates over
     the fields read as their declared types, and nulls never offend them.
     """
-    present = [f for f in contract.fields if f.name in df.columns]
+    judged = df.drop(*by)
+    present = [f for f in contract.fields if f.name in judged.columns]
     typed: dict[str, Column] = {}
     flags: dict[str, Column] = {}
     rules: list[tuple[str, str, str, str, Column]] = []
@@ -156,8 +158,8 @@ def contract_report(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) ->
             ))
 
     counts = [F.count_if(offends).alias(f"_n{i}") for i, (*_, offends) in enumerate(rules)]
-    checked = df.select(*[c.alias(n) for n, c in {**typed, **flags}.items()])
-    totals = checked.agg(F.count(F.lit(1)).alias("_rows"), *counts)
+    checked = df.select(*by, *[c.alias(n) for n, c in {**typed, **flags}.items()])
+    totals = checked.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *counts)
 
     def row(rule: str, name: str, severity: str, n: Column, message: Column) -> Column:
         return F.struct(
@@ -167,12 +169,12 @@ def contract_report(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) ->
 
     rows = [
         row(rule, name, severity, F.lit(1).cast("bigint"), F.lit(f"{rule} '{name}' (schema drift)"))
-        for rule, name, severity in schema_changes(df, contract)
+        for rule, name, severity in schema_changes(judged, contract)
     ] + [
         row(rule, name, severity, F.col(f"_n{i}"), F.format_string(text, F.col(f"_n{i}")))
         for i, (rule, name, severity, text, _) in enumerate(rules)
     ]
-    return totals.select(F.inline(F.array(*rows)))
+    return totals.select(*by, F.inline(F.array(*rows)))
 
 
 def drift_columns(df: DataFrame, contract: Contract = STOREFRONT_CONTRACT) -> DataFrame:

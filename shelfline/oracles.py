@@ -6,7 +6,7 @@ names, and those they need, in front of its text.
 
 from __future__ import annotations
 
-from shelfline.names import AS_OF_DAY, DRIFT_START, MONTHS, PERIOD, REPLAY_DAY
+from shelfline.names import AS_OF_DAY, DRIFT_START, LATER_DAY, MONTHS, PERIOD, REPLAY_DAY
 
 
 def hit(key: str, rate: float, shift: int = 0) -> str:
@@ -478,6 +478,45 @@ NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 _STOREFRONT_COLUMNS = "order_id, customer_id, product_id, order_date, quantity, revenue, order_status"
 _IN_PERIOD = "BETWEEN DATE '{}' AND DATE '{}'".format(*PERIOD)
 
+def _history(*asked: tuple[str, str]) -> str:
+    """Common table expressions: the feeds as they arrived, and for each (name, day) ``orders_<name>``, the silver orders of that day."""
+    steps = [
+        (x, STEPS[x][1])
+        for x in (
+            "order_lines", "clean_storefront", "damaged_storefront", "storefront_history",
+            "clean_marketplace", "damaged_marketplace", "marketplace_history",
+        )
+    ]
+    for name, day in asked:
+        seen = f"_ingestion_date <= DATE '{day}'"
+        steps += [
+            (f"storefront_{name}", _conform_storefront("storefront_history", seen)),
+            (f"marketplace_{name}", _conform_marketplace("marketplace_history", seen)),
+            (f"lines_{name}", f"SELECT * FROM storefront_{name} UNION ALL BY NAME SELECT * FROM marketplace_{name}"),
+            (f"orders_{name}", _latest(f"lines_{name}")),
+        ]
+    return "WITH " + ",\n".join(f"{name} AS ({text})" for name, text in steps)
+
+
+def _ledger_sql() -> str:
+    late = f"order_timestamp >= TIMESTAMP '{DRIFT_START}'"
+    every, early, after = "COUNT(*)", _count_if(f"NOT {late}"), _count_if(late)
+    rows = {
+        "append": (2, 2, f"{every} + {early}", 2),
+        "skip_loaded": (1, 1, every, 1),
+        "replace_batch": (2, 1, early, 1),
+    }
+    return sql(
+        _union([
+            f"SELECT '{mode}' AS reload, '{batch}' AS batch_id, CAST({loads} AS BIGINT) AS loads, CAST({live} AS BIGINT) AS live_loads, "
+            f"CAST({n} AS BIGINT) AS row_count, CAST({days} AS BIGINT) AS days FROM raw_marketplace"
+            for mode, night in rows.items()
+            for batch, loads, live, n, days in (("night", *night), ("emptied", 2, 1, "MIN(0)", 0), ("lost", 1, 1, after, 1))
+        ]),
+        "raw_marketplace",
+    )
+
+
 ORACLES: dict[str, str] = {
     # feeds and their defects
     "inject_nulls": sql(
@@ -534,6 +573,24 @@ FROM clean_marketplace""",
         ]),
         "raw_marketplace",
     ),
+    "batch_ledger": _ledger_sql(),
+    "bronze_odd_headers": sql(
+        "SELECT inventory_id, product_id, 'batch-2' AS _batch_id, 'theirs-' || inventory_id AS source_batch_id, "
+        "warehouse_id AS shelf_no, CAST(0 AS BIGINT) AS rows_of_the_empty_feed, 'source_batch_id,shelf.no' AS added FROM raw_inventory",
+        "raw_inventory",
+    ),
+    "file_drop_mixed": sql(
+        _union([
+            f"SELECT '{kind}' AS kind, '{rules}' AS rules, '{place}' AS place, COUNT(*) AS row_count "
+            f"FROM raw_storefront WHERE day(order_date) BETWEEN {first} AND {last}"
+            for kind, rules, place, first, last in (
+                ("good", "", "bronze", 1, 20),
+                ("without_quantity", "validation:quantity", "rejects", 21, 25),
+                ("without_customers", "missing_required:customer_id", "rejects", 26, 31),
+            )
+        ]),
+        "raw_storefront",
+    ),
     "file_drop_stream": step("bronze_marketplace", "* REPLACE ('batch-1-0' AS _batch_id)"),
     "bronze_from_csv": sql(
         "SELECT inventory_id, product_id, warehouse_id, CAST(quantity_available AS VARCHAR) AS quantity_available, "
@@ -691,20 +748,58 @@ FROM events, {_EVENT_FIELDS} GROUP BY 1, 2, 3""",
     "layer_run_lineage": _run_lineage(),
     "catalog_summary": _layer_counts(),
     # layout of stored tables
-    "silver_as_of": "WITH " + ",\n".join(
-        f"{name} AS ({text})"
-        for name, text in [
-            *[(s, STEPS[s][1]) for s in (
-                "order_lines", "clean_storefront", "damaged_storefront", "storefront_history",
-                "clean_marketplace", "damaged_marketplace", "marketplace_history",
-            )],
-            ("seen_storefront", _conform_storefront("storefront_history", f"_ingestion_date <= DATE '{AS_OF_DAY}'")),
-            ("seen_marketplace",
-             _conform_marketplace("marketplace_history", f"_ingestion_date <= DATE '{AS_OF_DAY}'")),
-            ("seen", "SELECT * FROM seen_storefront UNION ALL BY NAME SELECT * FROM seen_marketplace"),
-        ]
-    ) + _latest("seen"),
+    "silver_as_of": _history(("seen", AS_OF_DAY)) + "\nSELECT * FROM orders_seen",
+    "silver_versions": _history(("old", AS_OF_DAY), ("new", LATER_DAY)) + _union([
+        f"""
+SELECT '{version}' AS version, channel, strftime(order_date, '%Y-%m') AS order_month, COUNT(*) AS row_count,
+  CAST(SUM(quantity) AS BIGINT) AS units
+FROM orders_{which} GROUP BY ALL"""
+        for version, which in (("as_of", "old"), ("latest", "new"))
+    ]),
+    "incremental_rebuild": _history(("old", AS_OF_DAY), ("new", LATER_DAY)) + f"""
+, raw_inventory AS ({STEPS["raw_inventory"][1]}), silver_inventory AS ({STEPS["silver_inventory"][1]})
+, came AS (
+  SELECT order_id, 'shopify' AS channel FROM storefront_history
+  WHERE _ingestion_date > DATE '{AS_OF_DAY}' AND _ingestion_date <= DATE '{LATER_DAY}'
+  UNION
+  SELECT marketplace_order_id, 'amazon' FROM marketplace_history
+  WHERE _ingestion_date > DATE '{AS_OF_DAY}' AND _ingestion_date <= DATE '{LATER_DAY}'
+), touched AS (
+  SELECT order_date FROM orders_old SEMI JOIN came USING (order_id, channel)
+  UNION SELECT order_date FROM orders_new SEMI JOIN came USING (order_id, channel)
+), buyers AS (
+  SELECT customer_id FROM storefront_history WHERE _ingestion_date <= DATE '{LATER_DAY}' AND customer_id IS NOT NULL
+  UNION SELECT customer_id FROM marketplace_history WHERE _ingestion_date <= DATE '{LATER_DAY}' AND customer_id IS NOT NULL
+), goods AS (
+  SELECT product_id FROM storefront_history WHERE _ingestion_date <= DATE '{LATER_DAY}'
+  UNION SELECT sku FROM marketplace_history WHERE _ingestion_date <= DATE '{LATER_DAY}'
+  UNION SELECT product_id FROM raw_inventory
+)
+""" + _union([
+        f"SELECT '{name}' AS dataset, CAST(({n}) AS BIGINT) AS row_count, CAST(0 AS BIGINT) AS differing_rows, "
+        f"CAST(({written}) AS BIGINT) AS written_partitions"
+        for name, n, written in (
+            ("silver.orders", "SELECT COUNT(*) FROM orders_new", "SELECT COUNT(*) FROM touched"),
+            ("silver.customers", "SELECT COUNT(*) FROM buyers", "NULL"),
+            ("silver.products", "SELECT COUNT(product_id) FROM goods", "NULL"),
+            ("silver.inventory", "SELECT COUNT(*) FROM silver_inventory", "NULL"),
+            ("gold.revenue_mart", "SELECT COUNT(DISTINCT (order_date, channel, order_status)) FROM orders_new",
+             "SELECT COUNT(DISTINCT strftime(order_date, '%Y-%m')) FROM touched"),
+            ("gold.channel_performance_mart", "SELECT COUNT(DISTINCT (strftime(order_date, '%Y-%m'), channel)) FROM orders_new",
+             "SELECT COUNT(DISTINCT strftime(order_date, '%Y-%m')) FROM touched"),
+            ("gold.customer_360_mart", "SELECT COUNT(*) FROM buyers", "NULL"),
+            ("gold.inventory_turnover_mart", "SELECT COUNT(*) FROM silver_inventory", "NULL"),
+        )
+    ]),
     "compact_partition": sql(
-        "SELECT order_month, COUNT(*) AS row_count FROM revenue_mart GROUP BY order_month", "revenue_mart"
+        "SELECT order_month, CAST(1 AS BIGINT) AS files_after, TRUE AS no_more_files, COUNT(*) AS rows_before, "
+        "COUNT(*) AS row_count FROM revenue_mart GROUP BY order_month",
+        "revenue_mart",
+    ),
+    "turnover_bucketed": step("inventory_turnover_mart"),
+    "quarter_customers": sql(
+        "SELECT year(order_date) || '-Q' || quarter(order_date) AS quarter, channel, "
+        "COUNT(DISTINCT customer_id) AS unique_customers, TRUE AS within_error FROM silver_orders GROUP BY ALL",
+        "silver_orders",
     ),
 }

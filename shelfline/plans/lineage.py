@@ -1,4 +1,4 @@
-"""Lineage: events of finished jobs, and the tables derived from the event log.
+"""Lineage: events of started, finished and failed jobs, and the tables derived from the event log.
 
 An event is one row of nested JSON: run, parent run, job, inputs, outputs and
 the schema of each output.
@@ -6,14 +6,14 @@ the schema of each output.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, field
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.names import INVENTORY_TABLE, MARKETPLACE_TABLE, STOREFRONT_TABLE
-
 NAMESPACE = "shelfline"
 PRODUCER = "shelfline"
 PARENT_JOB = "dq_lineage_checkpoint"
@@ -23,49 +23,62 @@ SCHEMA_FACET = "https://openlineage.io/spec/facets/1-0-0/SchemaDatasetFacet.json
 PARENT_FACET = "https://openlineage.io/spec/facets/1-0-0/ParentRunFacet.json"
 
 # Parts of an event that each reader of the log needs; the rest is skipped.
-EDGE_PARTS = "job struct<name: string>, inputs array<struct<name: string>>, outputs array<struct<name: string>>"
+EDGE_PARTS = "eventType string, job struct<name: string>, inputs array<struct<name: string>>, outputs array<struct<name: string>>"
 FIELD_PARTS = (
-    "outputs array<struct<name: string, facets: struct<"
+    "eventType string, outputs array<struct<name: string, facets: struct<"
     "schema: struct<fields: array<struct<name: string, type: string>>>>>>"
 )
 
 
-@dataclass(frozen=True)
-class Job:
-    name: str
-    inputs: tuple[str, ...]
-    output: str
-
-
-_BRONZE_STOREFRONT = f"bronze.{STOREFRONT_TABLE}"
-_BRONZE_MARKETPLACE = f"bronze.{MARKETPLACE_TABLE}"
-_BRONZE_INVENTORY = f"bronze.{INVENTORY_TABLE}"
-
-# The jobs of a full run, with what they read and write.
-JOBS = (
-    Job("ingest_shopify_orders", ("source.shopify_orders_csv",), _BRONZE_STOREFRONT),
-    Job("ingest_amazon_orders", ("source.amazon_orders_csv",), _BRONZE_MARKETPLACE),
-    Job("ingest_inventory_feed", ("source.inventory_feed_csv",), _BRONZE_INVENTORY),
-    Job("build_silver_orders", (_BRONZE_STOREFRONT, _BRONZE_MARKETPLACE), "silver.orders"),
-    Job("build_silver_customers", (_BRONZE_STOREFRONT, _BRONZE_MARKETPLACE), "silver.customers"),
-    Job(
-        "build_silver_products",
-        (_BRONZE_STOREFRONT, _BRONZE_MARKETPLACE, _BRONZE_INVENTORY),
-        "silver.products",
-    ),
-    Job("build_silver_inventory", (_BRONZE_INVENTORY,), "silver.inventory"),
-    Job("build_revenue_mart", ("silver.orders",), "gold.revenue_mart"),
-    Job("build_channel_performance_mart", ("silver.orders",), "gold.channel_performance_mart"),
-    Job("build_customer_360_mart", ("silver.orders", "silver.customers"), "gold.customer_360_mart"),
-    Job("build_inventory_turnover_mart", ("silver.inventory", "silver.orders"), "gold.inventory_turnover_mart"),
-)
+START, COMPLETE, FAIL = "START", "COMPLETE", "FAIL"
+
+
+def job_name(dataset: str) -> str:
+    """The job that writes a table: ``ingest_`` and ``build_`` with the table's name, silver tables with their layer."""
+    layer, table = dataset.split(".")
+    return f"ingest_{table}" if layer == "bronze" else f"build_silver_{table}" if layer == "silver" else f"build_{table}"
+
+
+def datasets_read(root: str, frames: Iterable[DataFrame]) -> list[str]:
+    """The tables below ``root`` whose files the frames read, by the frames' own account."""
+    place = urlsplit(root).path.rstrip("/") + "/"
+    files = {unquote(urlsplit(f).path) for df in frames for f in df.inputFiles()}
+    return sorted({".".join(f.removeprefix(place).split("/")[:2]) for f in files if f.startswith(place)})
+
+
+@dataclass
+class JobLog:
+    """Events of the jobs of one run, as they start, complete or fail; a row per event."""
+
+    parent_run_id: str
+    event_time: str
+    rows: list[tuple] = field(default_factory=list)
+
+    def add(self, kind: str, dataset: str, inputs: Iterable[str], schema: T.StructType | None = None) -> None:
+        job = job_name(dataset)
+        fields = [(f.name, f.dataType.simpleString().upper()) for f in schema or ()]
+        self.rows.append((f"{self.parent_run_id}/{job}", kind, job, sorted(inputs), dataset, fields))
+
+    def events(self, spark: SparkSession) -> DataFrame:
+        jobs = spark.createDataFrame(
+            self.rows,
+            "run_id string, kind string, job string, inputs array<string>, output string, "
+            "fields array<struct<name: string, type: string>>",
+        )
+        return jobs.select(
+            "job",
+            event_json(
+                F.col("run_id"), F.lit(self.parent_run_id), F.lit(self.event_time),
+                F.col("job"), F.col("inputs"), F.col("output"), F.col("fields"), F.col("kind"),
+            ).alias("event"),
+        )
 
 
 def event_json(
     run_id: Column, parent_run_id: Column, event_time: Column, job: Column,
-    inputs: Column, output: Column, fields: Column,
+    inputs: Column, output: Column, fields: Column, kind: Column | None = None,
 ) -> Column:
-    """One COMPLETE event as JSON text.
+    """One event as JSON text, of a finished job unless ``kind`` says otherwise.
 
     ``inputs`` is an array of dataset names, ``fields`` an array of
     ``struct<name, type>`` with the schema of ``output``.
@@ -92,7 +105,7 @@ def event_json(
     )
     return F.to_json(
         F.struct(
-            F.lit("COMPLETE").alias("eventType"),
+            (F.lit(COMPLETE) if kind is None else kind).alias("eventType"),
             event_time.alias("eventTime"),
             F.struct(run_id.alias("runId"), F.struct(parent.alias("parent")).alias("facets")).alias("run"),
             named(job).alias("job"),
@@ -103,42 +116,9 @@ def event_json(
     )
 
 
-def run_events(
-    spark: SparkSession,
-    schemas: dict[str, T.StructType],
-    parent_run_id: str,
-    event_time: str,
-    written: set[str] | None = None,
-) -> DataFrame:
-    """One event per job of a run; ``schemas`` holds the real schema per dataset.
-
-    ``written`` names the datasets that the run wrote; jobs of others have no event.
-    """
-    rows = [
-        (
-            f"{parent_run_id}/{job.name}", job.name, list(job.inputs), job.output,
-            [(f.name, f.dataType.simpleString().upper()) for f in schemas[job.output]],
-        )
-        for job in JOBS
-        if written is None or job.output in written
-    ]
-    jobs = spark.createDataFrame(
-        rows,
-        "run_id string, job string, inputs array<string>, output string, "
-        "fields array<struct<name: string, type: string>>",
-    )
-    return jobs.select(
-        "job",
-        event_json(
-            F.col("run_id"), F.lit(parent_run_id), F.lit(event_time),
-            F.col("job"), F.col("inputs"), F.col("output"), F.col("fields"),
-        ).alias("event"),
-    )
-
-
 def _parsed(log: DataFrame, parts: str) -> DataFrame:
-    """Event parts as columns. ``inline`` keeps Spark from parsing once per part."""
-    return log.select(F.inline(F.array(F.from_json("event", parts))))
+    """Parts of the events of finished jobs as columns. ``inline`` keeps Spark from parsing once per part."""
+    return log.select(F.inline(F.array(F.from_json("event", parts)))).where(F.col("eventType") == COMPLETE)
 
 
 def lineage_edges(log: DataFrame) -> DataFrame:

@@ -76,6 +76,15 @@ def layer_gate(tables: dict[str, DataFrame], layer: str) -> DataFrame:
     return require_passed(check_layer(tables, layer))
 
 
+def failed_checks(df: DataFrame, layer: str, table: str) -> str | None:
+    """Why a table, or a batch on its way into it, does not pass; nothing if it does."""
+    try:
+        require_passed(check_table(df, layer, table))
+    except QualityFailure as failure:
+        return str(failure)
+    return None
+
+
 def gold_nonempty(marts: dict[str, DataFrame]) -> DataFrame:
     """Row count and status per mart."""
     counts = [

@@ -18,7 +18,6 @@ from shelfline.names import (
     UNKNOWN,
 )
 from shelfline.operators.dedup import first_source, latest_per_key
-from shelfline.sources.tables import write_layer
 
 
 def conform_storefront(bronze: DataFrame) -> DataFrame:
@@ -128,8 +127,3 @@ def tables(bronze: dict[str, DataFrame], created_at: Column | None = None) -> di
         "products": products(storefront, marketplace, stock, created_at),
         "inventory": inventory(stock),
     }
-
-
-def build(bronze: dict[str, DataFrame], root: str, created_at: Column | None = None) -> dict[str, int]:
-    """Rebuild all silver tables from the bronze ones; returns rows per table."""
-    return {name: write_layer(df, root, "silver", name) for name, df in tables(bronze, created_at).items()}

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.functions.columns import as_int
 from shelfline.names import (
@@ -19,6 +20,7 @@ from shelfline.names import (
     BATCH_COLUMNS,
     DRIFT_START,
     INVENTORY_TABLE,
+    LATER_DAY,
     MARKETPLACE_FEED,
     MARKETPLACE_TABLE,
     MONTHS,
@@ -37,11 +39,13 @@ from shelfline.operators.defects import (
 )
 from shelfline.operators.expectations import table_status
 from shelfline.operators.integrity import late_arrival_profile, orphan_counts
-from shelfline.plans import bronze, catalog, gold, health, lineage, quality, runs, silver
+from shelfline.plans import admission, bronze, catalog, gold, health, lineage, quality, runs, silver
 from shelfline.sources import derived_feeds as derived
+from shelfline.sources import ledger, versions
+from shelfline.sources.compaction import compact_table
 from shelfline.sources.feeds import sample_rows as first_rows
 from shelfline.sources.feeds import typed_feed, write_feed
-from shelfline.sources.tables import compact, read_bronze, read_layer, read_table, write_layer, write_table
+from shelfline.sources.tables import read_bronze, read_layer, read_table, write_layer, write_table
 from shelfline.sources.workspace import new_run_root
 from shelfline.sources.workspace import stored as _stored
 from shelfline.streaming.file_drop import load_new_files
@@ -180,6 +184,87 @@ def idempotent_reload(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def batch_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Under each reload mode: a batch loaded before and after midnight, another one replaced by nothing, and one that was lost
+    before it got into the ledger and came again."""
+    root = new_run_root(spark, "ledger")
+    feed = _stored(spark, derived.raw_marketplace(spark, folder), root, "raw")
+    late = F.col("order_timestamp") >= F.lit(DRIFT_START).cast("timestamp")
+    shown = []
+    for mode in bronze.RELOADS:
+        place = f"{root}/{mode}"
+
+        def load(batch_id: str, at: str, rows: DataFrame, reload: str = mode) -> None:
+            bronze.ingest(spark, place, {MARKETPLACE_TABLE: rows}, Batch(batch_id, at), reload=reload)
+
+        load("night", "2024-01-30T23:59:00+00:00", feed)
+        load("night", "2024-01-31T00:01:00+00:00", feed.where(~late))
+        load("emptied", "2024-01-31T01:00:00+00:00", feed)
+        load("emptied", "2024-02-01T01:00:00+00:00", feed.where("false"), "replace_batch")
+        # rows of a run that was lost: they are stored, but no ledger row names them
+        text = bronze.stamp(bronze.as_arrived(feed, MARKETPLACE_TABLE), MARKETPLACE_TABLE, Batch("lost", BATCH.ingested_at))
+        write_table(
+            text.withColumn("_load_id", F.lit("lost")), f"{place}/bronze/{MARKETPLACE_TABLE}", "append",
+            ("_load_id", "_ingestion_date", "_batch_id"), rebalance=False,
+        )
+        load("lost", "2024-01-31T02:00:00+00:00", feed.where(late))
+        entries = ledger.batch_ledger(spark, place).groupBy("batch_id").agg(
+            F.count(F.lit(1)).alias("loads"), F.count_if("is_live").alias("live_loads")
+        )
+        rows = read_bronze(spark, place, MARKETPLACE_TABLE).groupBy(F.col("_batch_id").alias("batch_id")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.countDistinct("_ingestion_date").alias("days")
+        )
+        shown.append(entries.join(rows, "batch_id", "left").fillna(0, ["row_count", "days"]).withColumn("reload", F.lit(mode)))
+    return reduce(DataFrame.unionByName, shown)
+
+
+@query
+def bronze_odd_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed with nothing but a header, then one whose header has other case, blanks, a batch column's name and a new column."""
+    root = new_run_root(spark, "headers")
+    feed = derived.raw_inventory(spark, folder)
+    write_feed(feed.where("false"), f"{root}/empty")
+    odd = feed.select(
+        F.col("inventory_id").alias("Inventory_ID"), F.col("product_id").alias(" PRODUCT_ID "), "warehouse_id", "quantity_available",
+        "quantity_reserved", "last_updated", F.concat(F.lit("theirs-"), "inventory_id").alias("_batch_id"), F.col("warehouse_id").alias("shelf.no"),
+    )
+    write_feed(odd, f"{root}/odd")
+    empty = runs.run_layers(spark, root, {INVENTORY_TABLE: f"{root}/empty"}, BATCH)
+    bronze.ingest(spark, root, {INVENTORY_TABLE: f"{root}/odd"}, SECOND_BATCH)
+    history = ledger.schema_history(spark, root).where("version > 1")
+    return read_bronze(spark, root, INVENTORY_TABLE).select(
+        "inventory_id", "product_id", "_batch_id", "source_batch_id", F.col("`shelf.no`").alias("shelf_no"),
+        F.lit(empty.rows["bronze"][INVENTORY_TABLE]).cast("long").alias("rows_of_the_empty_feed"),
+        history.agg(F.max(F.array_join("added", ","))).scalar().alias("added"),
+    )
+
+
+@query
+def file_drop_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Good and bad storefront files dropped together, and the drop read twice: what is in bronze and what in the rejects."""
+    root = new_run_root(spark, "mixed")
+    feed = _stored(spark, derived.raw_storefront(spark, folder), root, "raw")
+    day = F.dayofmonth("order_date")
+    files = {
+        "good": feed.where(day <= 20),
+        "without_quantity": feed.where(day.between(21, 25)).withColumn("quantity", F.lit(0)),
+        "without_customers": feed.where(day > 25).drop("customer_id"),
+    }
+    for name, rows in files.items():
+        rows = rows.withColumn("kind", F.lit(name)).coalesce(1)
+        rows.write.mode("append").option("header", "true").csv(f"{root}/drop")
+    for _ in range(2):
+        load_new_files(spark, f"{root}/drop", STOREFRONT_TABLE, root, f"{root}/checkpoint", BATCH)
+    loaded = read_bronze(spark, root, STOREFRONT_TABLE).withColumn("_rules", F.lit(""))
+    refused = admission.read_rejects(spark, root, STOREFRONT_TABLE)
+    counts = [
+        rows.groupBy("kind", F.col("_rules").alias("rules")).agg(F.lit(place).alias("place"), F.count(F.lit(1)).alias("row_count"))
+        for place, rows in (("bronze", loaded), ("rejects", refused))
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query
 def file_drop_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Dropped files are loaded once: the second call finds nothing new."""
@@ -339,11 +424,68 @@ def silver_period(spark: SparkSession, folder: str) -> DataFrame:
     return silver.in_period(read_layer(spark, root, "silver", "orders"), *PERIOD)
 
 
+def _two_versions(spark: SparkSession, folder: str, label: str) -> tuple[str, runs.RunResult]:
+    """A run over what arrived until a day, and one over what arrived in the month after it, late rows included."""
+    root = new_run_root(spark, label)
+    history = zip((STOREFRONT_TABLE, MARKETPLACE_TABLE), derived.sales_history(spark, folder), strict=True)
+    feeds = {t: _stored(spark, feed, root, f"raw/{t}") for t, feed in history}
+    until, after = F.lit(AS_OF_DAY).cast("date"), F.lit(LATER_DAY).cast("date")
+    arrived = F.col("_ingestion_date")
+    first = {t: feed.where(arrived <= until).drop(*BATCH_COLUMNS) for t, feed in feeds.items()}
+    second = {t: feed.where((arrived > until) & (arrived <= after)).drop(*BATCH_COLUMNS) for t, feed in feeds.items()}
+    first[INVENTORY_TABLE] = derived.raw_inventory(spark, folder)
+    runs.run_layers(spark, root, first, Batch("until", f"{AS_OF_DAY}T23:00:00+00:00"), _now())
+    return root, runs.run_layers(spark, root, second, Batch("after", f"{LATER_DAY}T23:00:00+00:00"), _now())
+
+
 @query
 def silver_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    """Silver orders as they were at the end of a day, from that day's bronze."""
-    history = derived.sales_history(spark, folder)
-    return silver.orders(*[bronze.arrived_until(feed, AS_OF_DAY) for feed in history])
+    """Silver orders as they were at the end of a day, from the bronze that was stored until then: later days are not read."""
+    root = new_run_root(spark, "as-of")
+    seen = []
+    for table, feed in zip((STOREFRONT_TABLE, MARKETPLACE_TABLE), derived.sales_history(spark, folder), strict=True):
+        # months of arrival as folders: one per day is too fine for tables of this size
+        path = f"{root}/{table}"
+        write_table(feed.withColumn("_ingestion_month", F.date_format("_ingestion_date", "yyyy-MM")), path, partition_by="_ingestion_month")
+        schema = T.StructType([*feed.schema.fields, T.StructField("_ingestion_month", T.StringType())])
+        arrived = read_table(spark, path, schema=schema).where(F.col("_ingestion_month") <= AS_OF_DAY[:7])
+        seen.append(bronze.arrived_until(arrived, AS_OF_DAY))
+    return silver.orders(*seen)
+
+
+@query
+def silver_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver orders by version: as published on a day, before a later run, and now."""
+    root, _ = _two_versions(spark, folder, "versions")
+    shown = [
+        versions.read_version(spark, root, "silver", "orders", **which).withColumn("version", F.lit(name))
+        for name, which in (("as_of", {"day": AS_OF_DAY}), ("latest", {}))
+    ]
+    return reduce(DataFrame.unionByName, shown).groupBy("version", "channel", F.date_format("order_date", "yyyy-MM").alias("order_month")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("quantity").alias("units")
+    )
+
+
+@query
+def incremental_rebuild(spark: SparkSession, folder: str) -> DataFrame:
+    """After a second batch with late rows: rows of every table, rows that differ from a whole rebuild, and partitions written."""
+    root, result = _two_versions(spark, folder, "rebuild")
+    changed = {n: read for n, read in ((n, versions.read_version(spark, root, *n.split("."))) for n in result.version.tables)}
+    whole = runs.build_version(spark, root, Batch("whole", f"{LATER_DAY}T23:30:00+00:00"), _now(), gates=False, whole=True)
+    by_day = ("silver.orders", "gold.revenue_mart", "gold.channel_performance_mart")
+    shown = []
+    for name, state in whole.version.tables.items():
+        again = versions.read_version(spark, root, *name.split(".")).drop("_created_at")
+        own = changed[name].drop("_created_at")
+        shown.append(
+            own.exceptAll(again).unionAll(again.exceptAll(own)).agg(
+                F.lit(name).alias("dataset"),
+                F.lit(state.rows).cast("long").alias("row_count"),
+                F.count(F.lit(1)).alias("differing_rows"),
+                F.lit(len(result.rebuilt[name]) if name in by_day else None).cast("long").alias("written_partitions"),
+            )
+        )
+    return reduce(DataFrame.unionByName, shown)
 
 
 # gold
@@ -612,9 +754,41 @@ def catalog_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def compact_partition(spark: SparkSession, folder: str) -> DataFrame:
-    """The revenue mart stored in many small files, rewritten into few per month."""
+    """The revenue mart published in many small files, packed into few per month: files and rows before and after."""
     root = new_run_root(spark, "compact")
     mart = gold.revenue_mart(_orders(spark, folder))
-    write_table(mart, f"{root}/scattered", partition_by="order_month", rebalance=False)
-    compact(spark, f"{root}/scattered", f"{root}/compacted", "order_month")
-    return spark.read.parquet(f"{root}/compacted").groupBy("order_month").agg(F.count(F.lit(1)).alias("row_count"))
+    by_day = mart.repartition(6, F.dayofmonth("order_date") % 6)
+    state = versions.write_version(spark, root, "gold", "revenue_mart", by_day, 1, rebalance=False)
+    versions.publish(spark, root, versions.Version(1, "2024-01-31", "b", {"gold.revenue_mart": state}))
+    packed, report = compact_table(spark, root, "gold", "revenue_mart", "2024-01-31")
+    rows = versions.read_version(spark, root, "gold", "revenue_mart").groupBy("order_month").agg(F.count(F.lit(1)).alias("row_count"))
+    return report.select(
+        F.regexp_extract("partition", "order_month=(.*)", 1).alias("order_month"),
+        "files_after",
+        (F.col("files_before") >= F.col("files_after")).alias("no_more_files"),
+        F.col("rows_files_before").alias("rows_before"),
+    ).join(rows, "order_month", "full")
+
+
+@query
+def turnover_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The turnover mart from silver tables that are bucketed by product: neither side is shuffled."""
+    root = new_run_root(spark, "bucketed")
+    prefix = f"b_{root[-8:]}_"
+    tables = {"orders": _orders(spark, folder), "inventory": _inventory(spark, folder)}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucketed = catalog.register_bucketed(spark, root, tables, buckets, prefix)
+    result = _stored(spark, gold.inventory_turnover_mart(bucketed["inventory"], bucketed["orders"]), root, "mart")
+    spark.sql(f"DROP DATABASE IF EXISTS {prefix}silver_bucketed CASCADE")
+    return result
+
+
+@query
+def quarter_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers per quarter from monthly sketches beside the exact count, and whether they agree within the stated error."""
+    orders = _stored(spark, _orders(spark, folder), new_run_root(spark, "sketches"), "orders")
+    estimated = gold.quarter_customers(gold.channel_customers(orders))
+    quarter = F.concat(F.year("order_date"), F.lit("-Q"), F.quarter("order_date")).alias("quarter")
+    exact = orders.groupBy(quarter, "channel").agg(F.countDistinct("customer_id").alias("unique_customers"))
+    within = F.abs(F.col("estimated_customers") - F.col("unique_customers")) <= F.ceil(F.col("unique_customers") * gold.SKETCH_ERROR)
+    return exact.join(estimated, ["quarter", "channel"], "full").select("quarter", "channel", "unique_customers", within.alias("within_error"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from shelfline.functions.columns import as_declared
-from shelfline.operators.batches import clean_column_names
+from shelfline.operators.batches import distinct_names
 
 
 def read_text_feed(spark: SparkSession, path: str, infer_types: bool = False) -> DataFrame:
@@ -17,7 +17,16 @@ def read_text_feed(spark: SparkSession, path: str, infer_types: bool = False) ->
     data; feeds with a declared schema do not need it.
     """
     reader = spark.read.option("header", "true").option("inferSchema", str(infer_types).lower())
-    return clean_column_names(reader.csv(path))
+    df = reader.csv(path)
+    return df.toDF(*distinct_names(header_names(df.columns)))
+
+
+def header_names(columns: list[str]) -> list[str]:
+    """The names in a CSV header; where some are equal but for their case, the reader puts their places behind them."""
+    stems = [c.removesuffix(str(i)).lower() if c.endswith(str(i)) else None for i, c in enumerate(columns)]
+    return [
+        c.removesuffix(str(i)) if stem and stems.count(stem) > 1 else c for i, (c, stem) in enumerate(zip(columns, stems, strict=True))
+    ]
 
 
 def typed_feed(text: DataFrame, schema: T.StructType) -> DataFrame:

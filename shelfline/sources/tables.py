@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,13 @@ def read_table(
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str, **options) -> DataFrame:
+    """A stored table: what counts of it, where its root has a ledger or published versions, else its folder."""
+    from shelfline.sources import ledger, versions
+
+    if layer == "bronze":
+        return ledger.read_loads(spark, root, layer, table)
+    if versions.has_versions(spark, root):
+        return versions.read_version(spark, root, layer, table)
     return read_table(spark, table_path(root, layer, table), **options)
 
 
@@ -51,21 +59,8 @@ def bronze_schema(table: str, extra: Sequence[str] = ()) -> T.StructType:
 
 
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A bronze table with every column that any batch brought; no rows if there is no table yet.
-
-    Files are asked for their columns, because a later batch may have brought new ones;
-    that is a job over the footers, not over the data.
-    """
-    path = table_path(root, "bronze", table)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], bronze_schema(table))
-    stored = spark.read.option("mergeSchema", "true").parquet(path).columns
-    extra = [c for c in stored if c not in FEED_SCHEMAS[table].fieldNames() and c not in BATCH_COLUMNS]
-    return spark.read.schema(bronze_schema(table, extra)).parquet(path)
-
-
-def read_stored(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    return read_bronze(spark, root, table) if layer == "bronze" else read_layer(spark, root, layer, table)
+    """A bronze table with every column that any batch brought; no rows if there is no table yet."""
+    return read_layer(spark, root, "bronze", table)
 
 
 def write_table(
@@ -112,30 +107,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def replace_folder(spark: SparkSession, new: str, target: str) -> None:
-    """Put the folder ``new`` in the place of ``target``; both are in one file system."""
-    source, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, target))
-    before = spark._jvm.org.apache.hadoop.fs.Path(f"{new}-before")
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(place.getParent())
-    had_one = files.exists(place)
-    if had_one and not files.rename(place, before):
-        raise OSError(f"{target} cannot be moved")
-    if not files.rename(source, place):
-        if had_one:
-            files.rename(before, place)
-        raise OSError(f"{new} cannot be moved to {target}")
-    if had_one:
-        files.delete(before, True)
-
-
-def batch_is_loaded(spark: SparkSession, path: str, batch_id: str, ingestion_date: str) -> bool:
-    """Is ``batch_id`` already stored? Looks at its own day's partition only."""
-    if not path_exists(spark, path):
-        return False
-    keys = T.StructType([T.StructField("_batch_id", T.StringType()), T.StructField("_ingestion_date", T.DateType())])
-    same_day = F.col("_ingestion_date") == F.lit(ingestion_date).cast("date")
-    return not spark.read.schema(keys).parquet(path).where(same_day & (F.col("_batch_id") == batch_id)).isEmpty()
+def _folder(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``."""
+    place, files = _folder(spark, path)
+    return [x.getPath().getName() for x in files.listStatus(place) if x.isDirectory()] if files.exists(place) else []
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not exist yet. It is written beside its place and then takes its name."""
+    place, files = _folder(spark, path)
+    draft, _ = _folder(spark, f"{place.getParent()}/.{uuid4().hex}")
+    out = files.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if files.exists(place) or not files.rename(draft, place):
+        files.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def read_files(spark: SparkSession, path: str, only_last: bool = False) -> dict[str, str]:
+    """Name and content of the small files right below ``path``, or of the one whose name comes last."""
+    place, files = _folder(spark, path)
+    if not files.exists(place):
+        return {}
+    found = {x.getPath().getName(): x.getPath() for x in files.listStatus(place) if x.isFile()}
+    names = sorted(n for n in found if not n.startswith("."))
+    reader = spark._jvm.org.apache.commons.io.IOUtils
+    texts = {}
+    for name in names[-1:] if only_last else names:
+        stream = files.open(found[name])
+        texts[name] = reader.toString(stream, "UTF-8")
+        stream.close()
+    return texts
 
 
 def compact(

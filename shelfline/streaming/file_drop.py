@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-from shelfline.names import FEED_SCHEMAS
 from shelfline.operators.batches import Batch
-from shelfline.operators.contract import STOREFRONT_CONTRACT, Contract
-from shelfline.plans.bronze import IngestResult, ingest
+from shelfline.operators.contract import Contract
+from shelfline.plans.bronze import IngestResult, ingest_files
 
 
 def load_new_files(
@@ -18,32 +17,31 @@ def load_new_files(
     root: str,
     checkpoint: str,
     batch: Batch,
-    contract: Contract = STOREFRONT_CONTRACT,
+    contract: Contract | None = None,
     max_files: int | None = None,
 ) -> list[IngestResult]:
     """Load the files that came since the last call into a bronze table of ``root``.
 
-    Files go the same way as batches do: text stays text, the contract is checked, and
-    both kinds of load can share a table. Each micro-batch is a batch of its own,
-    ``<batch id>-<number>``, and replaces only itself, so a repeated call, or one that follows a
-    lost run, adds no row twice. A micro-batch that breaks the contract is left out and
-    reported. ``max_files`` bounds a micro-batch.
-
-    Headers are checked against the declared columns: a file with other or moved columns
-    stops the load instead of filling the wrong columns.
+    The stream finds the files; their rows go the same way as batches do: text stays text,
+    columns are taken by name, and both kinds of load can share a table. Each file is held to the contract by itself:
+    a good file that came with a bad one is loaded, and the bad one is kept in the rejects with
+    the rules it broke (``read_rejects``). Each micro-batch is a batch of its own, ``<batch id>-<number>``, and replaces only
+    itself, so a repeated call, or one that follows a lost run, adds no row twice.
+    ``max_files`` bounds a micro-batch. A file without a single line is not seen.
     """
-    text = T.StructType([T.StructField(c, T.StringType()) for c in FEED_SCHEMAS[table].fieldNames()])
-    reader = spark.readStream.schema(text).option("header", "true").option("enforceSchema", "false")
+    reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     results: list[IngestResult] = []
 
-    def load(files: DataFrame, number: int) -> None:
+    def load(lines: DataFrame, number: int) -> None:
         own = Batch(f"{batch.batch_id}-{number}", batch.ingested_at)
-        results.append(ingest(spark, root, {table: files}, own, contract, reload="replace_batch"))
+        results.append(ingest_files(spark, root, table, lines, own, contract))
 
     query = (
-        reader.csv(drop_path)
+        reader.load(drop_path)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+        .where("at = 0")
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
