@@ -55,7 +55,7 @@ DENSE_FROM = 8
 #: Bytes of an n-gram hash that travel for the exact count.
 HASH_BYTES = 8
 #: Rows of a tile product that are judged at a time.
-BAND = 256
+BAND = 128
 
 
 def gram_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,7 +157,7 @@ def _pack_sets(n: int):
             data = pa.py_buffer(short.tobytes())
             offsets = pa.py_buffer(np.r_[0, ends].astype(np.int32).tobytes())
             grams = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, data])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), grams], names=["doc_id", "tag", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), grams], names=["node", "grams"])
 
     return run
 
@@ -213,17 +213,15 @@ def _counts(columns: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _allowed(pdf: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of two components that sizes and shared leading n-grams allow to link; rows must be sorted by node."""
+def _allowed(pdf: pd.DataFrame, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of two components that sizes and shared leading n-grams allow to link, some rows at a time; the first comes first."""
     sizes = pdf["size"].to_numpy(np.int64)
     _, root = np.unique(pdf["component"].to_numpy(np.int64), return_inverse=True)
     tile = pdf["tile"].to_numpy()
     two = pdf["first"].iat[0] != pdf["second"].iat[0]  # pairs within a tile have a task of their own
     shared = _counts([np.asarray(k, np.int64) for k in pdf["keys"]])
-    found = []
     for first in range(0, len(pdf), BAND):
-        band = slice(first, first + BAND)
-        common = shared[band, first:]
+        common = shared[first : first + BAND, first:]
         i, j = np.nonzero(np.triu(common > 0, 1))
         common, i, j = common[i, j].astype(np.int64), i + first, j + first
         small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
@@ -231,9 +229,16 @@ def _allowed(pdf: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
         allowed &= (common + (large * percent + 99) // 100 - 1) * (100 + percent) >= percent * (small + large)
         if two:
             allowed &= tile[i] != tile[j]
-        found.append((i[allowed], j[allowed]))
-    a, b = zip(*found, strict=True) if found else ((), ())
-    return np.concatenate([np.zeros(0, np.int64), *a]), np.concatenate([np.zeros(0, np.int64), *b])
+        yield i[allowed], j[allowed]
+
+
+def _touched(pdf: pd.DataFrame, percent: int) -> tuple[np.ndarray, int]:
+    """Rows with an allowed pair, and the number of these pairs."""
+    touched, pairs = np.zeros(len(pdf), bool), 0
+    for a, b in _allowed(pdf, percent):
+        touched[a] = touched[b] = True
+        pairs += len(a)
+    return touched, pairs
 
 
 def _candidates(percent: int):
@@ -241,7 +246,7 @@ def _candidates(percent: int):
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", ignore_index=True)
-        return pdf.loc[np.unique(np.concatenate(_allowed(pdf, percent))), ["node"]]
+        return pdf.loc[_touched(pdf, percent)[0], ["node"]]
 
     return run
 
@@ -252,30 +257,36 @@ def _multiply(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", ignore_index=True)
         nodes, sizes = pdf["node"].to_numpy(np.int64), pdf["size"].to_numpy(np.int64)
-        a, b = _allowed(pdf, percent)
-        some, place = np.unique(np.r_[a, b], return_inverse=True)
-        sets = [_unpack(pdf["grams"].iat[i]) for i in some.tolist()]
-        if len(a) > 5_000:
-            common = _counts([x.view(np.int64) for x in sets])[place[: len(a)], place[len(a) :]].astype(np.int64)
-        else:
-            pairs = zip(place[: len(a)].tolist(), place[len(a) :].tolist(), strict=True)
-            common = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in pairs], np.int64)
-        linked = common * (100 + percent) >= percent * (sizes[a] + sizes[b])
+        touched, pairs = _touched(pdf, percent)
+        sets = [_unpack(g) if t else None for g, t in zip(pdf.pop("grams"), touched, strict=True)]
+        place = np.cumsum(touched) - 1
+        product = _counts([x.view(np.int64) for x in sets if x is not None]) if pairs > 5_000 else None
         _, root = np.unique(pdf["component"].to_numpy(np.int64), return_inverse=True)
-        parent = list(range(len(pdf)))
+        parent = np.arange(root.max() + 1 if len(root) else 0)
 
         def find(x: int) -> int:
             while parent[x] != x:
                 parent[x] = parent[parent[x]]
                 x = parent[x]
-            return x
+            return int(x)
 
         links = []
-        for i, j, both in zip(a[linked].tolist(), b[linked].tolist(), common[linked].tolist(), strict=True):
-            x, y = find(int(root[i])), find(int(root[j]))
-            if x != y:  # what is connected by now needs no further link
-                parent[max(x, y)] = min(x, y)
-                links.append((nodes[i], nodes[j], both))
+        for a, b in _allowed(pdf, percent):
+            # what is connected by now needs no further link
+            while (parent != parent[parent]).any():
+                parent = parent[parent]
+            open_pairs = parent[root[a]] != parent[root[b]]
+            a, b = a[open_pairs], b[open_pairs]
+            if product is not None:
+                common = product[place[a], place[b]].astype(np.int64)
+            else:
+                common = np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a.tolist(), b.tolist(), strict=True)], np.int64)
+            linked = common * (100 + percent) >= percent * (sizes[a] + sizes[b])
+            for i, j, both in zip(a[linked].tolist(), b[linked].tolist(), common[linked].tolist(), strict=True):
+                x, y = find(root[i]), find(root[j])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    links.append((nodes[i], nodes[j], both))
         return pd.DataFrame(links, columns=["a", "b", "common"], dtype="int64")
 
     return run
@@ -353,6 +364,7 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
         root,
         "members",
     )
+    repeats = not members.where("doc_id is not null").groupBy("doc_id", "tag").count().where("count > 1").isEmpty()
     known = docs.where("doc_id is not null")
     counts = word_counts(docs)
     firsts = stored(
@@ -374,9 +386,10 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
         of = stored(spark, sets.join(nodes, "node", "left_semi").select("node", F.col("set_id").alias("doc_id"), F.col("set_tag").alias("tag")), root, f"{name}-nodes")
         # few documents find their texts without moving all of them
         wanted = F.broadcast(of) if of.count() <= BROADCAST_NODES else of
-        packed = known.join(wanted.drop("node"), ["doc_id", "tag"], "left_semi").mapInArrow(_pack_sets(n), "doc_id long, tag long, grams binary")
-        # a row that is repeated has its set once
-        return stored(spark, packed.dropDuplicates(["doc_id", "tag"]).join(of, ["doc_id", "tag"]).select("node", "grams"), root, name)
+        texts = known.join(wanted, ["doc_id", "tag"]).select("node", "text")
+        if repeats:  # a row that is repeated has its set once
+            texts = texts.dropDuplicates(["node"])
+        return stored(spark, texts.mapInArrow(_pack_sets(n), "node long, grams binary"), root, name)
 
     def fits(a: str, b: str):
         return (F.col(f"{a}_size") * 100 >= F.col(f"{b}_size") * percent) & (F.col(f"{b}_size") * 100 >= F.col(f"{a}_size") * percent)
