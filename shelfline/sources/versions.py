@@ -15,8 +15,10 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.names import PARTITION_COLUMN, VERSION_COLUMN
@@ -104,11 +106,38 @@ def write_version(spark: SparkSession, root: str, layer: str, table: str, df: Da
 def scan_state(spark: SparkSession, root: str, layer: str, table: str, state: TableState, only: Sequence[str] | None = None) -> DataFrame:
     """The files of a state, or only of some of its ``partitions()``, with the column of their version."""
     path = table_path(root, layer, table)
-    chosen = state.folders if only is None else [f for p in dict.fromkeys(only) for f in state.partitions().get(p, [])]
     schema = T.StructType([*state.schema.fields, T.StructField(VERSION_COLUMN, T.StringType())])
-    if not chosen:
+    reader = spark.read.schema(schema).option("basePath", path)
+    if only is not None:
+        chosen = [f for p in dict.fromkeys(only) for f in state.partitions().get(p, [])]
+        return reader.parquet(*[f"{path}/{f}" for f in chosen]) if chosen else spark.createDataFrame([], schema)
+    # a version's folder is read as one, without the partitions that later versions replaced
+    places, gone = [], F.lit(False)
+    by_version: dict[str, list[str]] = {}
+    for f in state.folders:
+        by_version.setdefault(f.partition("/")[0], []).append(f)
+    for own, folders in by_version.items():
+        names = {f.partition("/")[2] for f in folders}
+        replaced = set() if names == {""} else set(child_folders(spark, f"{path}/{own}")) - names
+        if len(replaced) > len(names) or any(f.endswith(".parquet") for f in folders):
+            places += folders
+            continue
+        places.append(own)
+        if replaced:
+            gone |= (F.col(VERSION_COLUMN) == own.partition("=")[2]) & _in_partitions(state.schema, replaced)
+    if not places:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in chosen])
+    df = reader.parquet(*[f"{path}/{f}" for f in places])
+    return df if places == state.folders else df.where(~gone)
+
+
+def _in_partitions(schema: T.StructType, names: set[str]) -> Column:
+    """Is a row in one of the partitions (such as ``order_date=2024-01-31``)?"""
+    column = next(iter(names)).partition("=")[0]
+    values = [unquote(n.partition("=")[2]) for n in sorted(names)]
+    filled = [F.lit(v).cast(schema[column].dataType) for v in values if v != "__HIVE_DEFAULT_PARTITION__"]
+    without = F.col(column).isNull() if len(filled) < len(values) else F.lit(False)
+    return (F.coalesce(F.col(column).isin(*filled), F.lit(False)) if filled else F.lit(False)) | without
 
 
 def read_state(spark: SparkSession, root: str, layer: str, table: str, state: TableState, only: Sequence[str] | None = None) -> DataFrame:
