@@ -58,5 +58,33 @@ SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIG
        unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
        sum(removed) OVER (PARTITION BY part, own)::BIGINT AS shapley
 FROM counted
+""",
+    "op3_ngram_jaccard_join": r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM texts
+),
+-- equal sets are one node, named by the smallest doc_id
+nodes AS (SELECT min(doc_id) AS node, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY list_sort(s), len(s)),
+members AS (SELECT doc_id, len(sets.s) AS n_shingles, node FROM sets LEFT JOIN nodes ON list_sort(sets.s) = nodes.s),
+grams AS (SELECT node, n, unnest(s) AS g FROM nodes),
+pairs AS (
+  SELECT a.node AS a, b.node AS b, count(*) AS common, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM grams a JOIN grams b ON a.g = b.g AND a.node < b.node AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.node, b.node
+),
+links AS (SELECT a, b FROM pairs WHERE 100 * common >= 90 * (na + nb - common)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT node, node AS other FROM nodes UNION SELECT reach.node, edges.b FROM reach JOIN edges ON reach.other = edges.a),
+components AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, n_shingles, coalesce(component_id, doc_id) AS component_id FROM members LEFT JOIN components USING (node)
 """,
 }
