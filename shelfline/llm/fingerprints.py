@@ -23,8 +23,9 @@ from pyspark.sql.window import Window
 
 GRAM = 3
 WINDOW = 8
-#: Ids that differ only in so many last bits are put in order together.
+#: Dense ids that differ only in so many last bits are put in order together; where ids lie further apart, more bits.
 BLOCK_BITS = 10
+GROUP_BITS = 12
 #: Ids (8 bytes each) that go to every task at most.
 BROADCAST_HEADS = 1_000_000
 
@@ -81,22 +82,36 @@ def as_string(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda p: F.lower(F.lpad(F.hex(p["hash"]), 8, "0"))), "")
 
 
-def _following(blocks: DataFrame, group_bits: int = 12) -> DataFrame:
+def _following(blocks: DataFrame, levels: int = 5) -> DataFrame:
     """Each ``block`` with the next smaller one that there is; the smallest is followed by the largest.
 
-    Groups of neighbouring blocks are put in order by a task each, and only one row per
-    group, of some four million documents, meets in one place.
+    Blocks are put in order within groups that share all but their last ``GROUP_BITS`` bits, the groups within groups of their own, and
+    so on. However the ids are spread, a window sees 4,096 rows at most; the last one, of all groups together, some 64.
     """
-    blocks = blocks.select("block", F.shiftright("block", group_bits).alias("group"))
+    blocks = blocks.select("block", F.shiftright("block", GROUP_BITS).alias("group"))
     inner = Window.partitionBy("group").orderBy(F.col("block").desc())
     within = blocks.withColumn("after", F.lead("block").over(inner))
     groups = blocks.groupBy("group").agg(F.max("block").alias("top"))
-    outer = Window.orderBy(F.col("group").desc())
-    every = outer.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    groups = groups.select("group", F.coalesce(F.lead("top").over(outer), F.max("top").over(every)).alias("next_top"))
+    if levels > 1:
+        after = _following(groups.select(F.col("group").alias("block")), levels - 1)
+        tops = groups.select(F.col("group").alias("next_block"), F.col("top").alias("next_top"))
+        groups = after.join(tops, "next_block").select(F.col("of_block").alias("group"), "next_top")
+    else:
+        outer = Window.orderBy(F.col("group").desc())
+        every = outer.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        groups = groups.select("group", F.coalesce(F.lead("top").over(outer), F.max("top").over(every)).alias("next_top"))
     return within.join(groups, "group").select(F.col("block").alias("of_block"), F.coalesce("after", "next_top").alias("next_block"))
 
 
+def block_bits(docs: DataFrame) -> int:
+    """Last bits of an id within a block, so that a block has some 2 ** BLOCK_BITS documents where ids lie closest."""
+    shares = [i / 10 for i in range(11)]
+    r = docs.agg(F.count("doc_id").alias("n"), F.percentile_approx("doc_id", shares).alias("at")).first()
+    gaps = [b - a for a, b in zip(r["at"][:-1], r["at"][1:], strict=True)] if r["at"] else []
+    apart = 10 * min(gaps, default=0) // max(1, r["n"])
+    return min(60, BLOCK_BITS + max(0, apart.bit_length() - 1))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, text, packed fingerprint) with next_text and next_fingerprint: of the next smaller doc_id.
 
@@ -106,7 +121,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     each block, goes to every task up to ``BROADCAST_HEADS`` entries and is joined by a shuffle beyond.
     """
     # ids without a number get a block below all others
-    block = F.coalesce(F.shiftright("doc_id", BLOCK_BITS), F.lit(-(1 << 60))).alias("block")
+    block = F.coalesce(F.shiftright("doc_id", block_bits(docs)), F.lit(-(1 << 60))).alias("block")
     blocks = docs.groupBy(block).agg(F.max("doc_id").alias("head"))
     heads = (
         _following(blocks.select("block"))

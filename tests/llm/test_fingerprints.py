@@ -54,6 +54,21 @@ def test_same_as_windows_one_by_one(spark, frame, words):
         assert abs(r.near_next - likeness(brute_force(own), brute_force(following))) < 1e-12
 
 
+def test_next_document_however_ids_are_spread(spark):
+    import random
+
+    rng = random.Random(3)
+    hashed = [rng.getrandbits(63) - (1 << 62) for _ in range(300)]
+    for ids, bits in ((range(3000), 10), (hashed, 50), ([*range(2000), *hashed], 10), ([7], 10), ([i << 20 for i in range(500)], 29)):
+        docs = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string").repartition(3)
+        assert abs(fp.block_bits(docs) - bits) <= 18 and (bits > 10 or fp.block_bits(docs) == 10)
+        rows = fp.with_next(docs.withColumn("fingerprint", F.array(F.col("doc_id")))).collect()
+        order = sorted(ids, reverse=True)
+        following = dict(zip(order, [*order[1:], order[0]], strict=True))
+        assert {r.doc_id: r.next_text for r in rows} == {i: f"t{n}" for i, n in following.items()}
+        assert len(rows) == len(order)
+
+
 def test_match_guarantee(spark, words):
     shared = words(1, fp.GRAM + fp.WINDOW - 1)
     rows = [(i, " ".join(words(10 + i, 50) + shared + words(50 + i, 30))) for i in range(20)]
