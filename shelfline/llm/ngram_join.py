@@ -46,8 +46,8 @@ from shelfline.sources.workspace import new_run_root, stored
 
 #: Slots of the table of word counts. It is the only thing that goes to every task, with 8 bytes a slot.
 WORD_SLOTS = 1 << 17
-#: Ids of at most so many documents (8 bytes each) go to every task; beyond, rows are shuffled.
-BROADCAST_NODES = 100_000
+#: Names of at most so many documents (24 bytes each) go to every task; beyond, texts are shuffled.
+BROADCAST_NODES = 1_000_000
 #: Documents in a tile of the product.
 TILE = 2_000
 #: N-grams of at least so many documents of a tile are multiplied as a dense block.
