@@ -45,15 +45,24 @@ class Build:
     # rows of each table, and the partitions that were written
     rows: dict[str, dict[str, int]] = field(default_factory=lambda: {"silver": {}, "gold": {}})
     rebuilt: dict[str, list[str]] = field(default_factory=dict)
+    # frames over whole tables, whose folders need listing only once
+    frames: dict[tuple, DataFrame] = field(default_factory=dict)
+
+    def whole(self, layer: str, table: str, state: TableState) -> DataFrame:
+        key = (layer, table, *state.folders)
+        if key not in self.frames:
+            self.frames[key] = read_state(self.spark, self.root, layer, table, state)
+        return self.frames[key]
 
     def old(self, layer: str, table: str) -> TableState:
         return self.before.tables[f"{layer}.{table}"]
 
     def old_table(self, layer: str, table: str) -> DataFrame:
-        return read_state(self.spark, self.root, layer, table, self.old(layer, table))
+        return self.whole(layer, table, self.old(layer, table))
 
     def table(self, layer: str, table: str, only: list[str] | None = None) -> DataFrame:
-        return read_state(self.spark, self.root, layer, table, self.version.tables[f"{layer}.{table}"], only)
+        state = self.version.tables[f"{layer}.{table}"]
+        return self.whole(layer, table, state) if only is None else read_state(self.spark, self.root, layer, table, state, only)
 
     def write(self, layer: str, table: str, df: DataFrame, touched: list[str] | None = None, sources: dict[str, DataFrame] | None = None) -> None:
         """Write a table, or its ``touched`` partitions, and keep the other partitions of the last version."""

@@ -40,7 +40,6 @@ class RunResult:
 
     ingest: bronze.IngestResult
     rows: dict[str, dict[str, int]]
-    tables: dict[str, dict[str, DataFrame]]
     version: Version | None = None
     rebuilt: dict[str, list[str]] = field(default_factory=dict)
     log: lineage.JobLog = field(default_factory=lambda: lineage.JobLog("", ""))
@@ -139,8 +138,7 @@ def run_layers(
         raise
     if run_id:
         write_events(spark, root, log)
-    tables = {layer: layer_tables(spark, root, layer) for layer in LAYERS}
-    return RunResult(ingested, rows | built.rows, tables, built.version, built.rebuilt, log)
+    return RunResult(ingested, rows | built.rows, built.version, built.rebuilt, log)
 
 
 def write_events(spark: SparkSession, root: str, log: lineage.JobLog) -> str:
