@@ -7,9 +7,9 @@ from shelfline.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
-# These write some 2,500 day folders each; the driver compares them as well, and
+# These write 1,300 to 2,500 day folders each; the driver compares them as well, and
 # test_storage covers whole runs on small feeds.
-SLOW = {"layer_run_counts", "layer_run_lineage", "catalog_summary"}
+SLOW = {"layer_run_counts", "layer_run_lineage", "catalog_summary", "silver_versions", "incremental_rebuild"}
 
 
 @pytest.fixture(scope="module")
