@@ -46,6 +46,8 @@ from shelfline.sources.workspace import new_run_root, stored
 CHUNK_ROWS = 1 << 16
 #: Fingerprints that one owner gets, about.
 OWNER_ROWS = 1 << 20
+#: Tables between the documents and the classes.
+_ON_THE_WAY = ("rows", "marks", "suspects", "groups")
 _BLANK = b" \t\n\x0b\x0c\r"
 
 
@@ -231,6 +233,13 @@ def _exchange(spark: SparkSession, docs: DataFrame, digest: Callable[[bytes], by
     return table, stored(spark, found, root, "found")
 
 
+def _forget(spark: SparkSession, root: str, names: tuple[str, ...]) -> None:
+    """Delete tables of a run that its stored result does not need any more."""
+    for name in names:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def exact_groups(spark: SparkSession, docs: DataFrame, digest: Callable[[bytes], bytes] = sha256) -> DataFrame:
     """Per row of ``docs``: doc_id, row, sha (of the normalised text), keep_row, keep_id, group_size."""
     root, name = new_run_root(spark, "exact"), f"exact_{uuid4().hex}"
@@ -238,6 +247,7 @@ def exact_groups(spark: SparkSession, docs: DataFrame, digest: Callable[[bytes],
         _, found = _exchange(spark, docs.select("doc_id", "text"), digest, root, name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _forget(spark, root, _ON_THE_WAY)
     return found.drop("sender", "place")
 
 
@@ -256,4 +266,5 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
         kept = stored(spark, rows.select(*[F.col(f"c{i}") for i in range(len(docs.columns))]), root, "kept")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _forget(spark, root, (*_ON_THE_WAY, "found", "gone"))
     return kept.toDF(*docs.columns)
