@@ -100,31 +100,28 @@ def word_counts(docs: DataFrame) -> np.ndarray:
     return counts
 
 
-def _sizes(n: int):
+_ROWS = "row long, key long, doc_id long, tag long, n long, sum_a long, sum_b long"
+
+
+def _rows(n: int, percent: int, counts: np.ndarray):
+    """Each document with its number, the size and two sums of its set, and the n-grams of it that enter the product."""
+    names = [c.split()[0] for c in _ROWS.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 33
         for batch in slices(batches):
-            owners, values, _ = gram_sets(words_of(batch.column("text"), lower=True), n)
+            words = words_of(batch.column("text"), lower=True)
+            owners, values, places = gram_sets(words, n)
+            rows = first + np.arange(batch.num_rows)
+            first += batch.num_rows
             sizes = np.bincount(owners, minlength=batch.num_rows)
             sums = np.zeros((2, batch.num_rows), np.uint64)
             if len(owners):
                 at = np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]])
                 sums[0, owners[at]] = np.add.reduceat(values, at)
                 sums[1, owners[at]] = np.add.reduceat(mix(values ^ np.uint64(0x5DEECE66D)), at)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tag"), pa.array(sizes), *(pa.array(signed(x)) for x in sums)],
-                names=["doc_id", "tag", "n", "sum_a", "sum_b"],
-            )
-
-    return run
-
-
-def _first_grams(n: int, percent: int, counts: np.ndarray):
-    """The n-grams of each document that enter the product."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            words = words_of(batch.column("text"), lower=True)
-            owners, values, places = gram_sets(words, n)
+            columns = [pa.array(rows), pa.nulls(len(rows), pa.int64()), batch.column("doc_id"), batch.column("tag"), pa.array(sizes)]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(signed(x)) for x in sums)], names=names)
             if not len(owners):
                 continue
             seen = counts[(words.hashes & np.uint64(WORD_SLOTS - 1)).astype(np.int64)]
@@ -135,15 +132,12 @@ def _first_grams(n: int, percent: int, counts: np.ndarray):
                 rarity = np.minimum(rarity, seen[near])
             order = np.lexsort((values, rarity, owners))
             owners, values = owners[order], values[order]
-            sizes = np.bincount(owners, minlength=batch.num_rows)
-            first = np.r_[0, np.cumsum(sizes)[:-1]]
-            rank = np.arange(len(owners)) - first[owners]
+            begin = np.r_[0, np.cumsum(sizes)[:-1]]
             size = sizes[owners]
-            keep = rank <= size - (size * percent + 99) // 100
-            ids, tags = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[owners[keep]] for c in ("doc_id", "tag"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(values[keep])), pa.array(ids), pa.array(tags)], names=["key", "doc_id", "tag"]
-            )
+            named = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            keep = (np.arange(len(owners)) - begin[owners] <= size - (size * percent + 99) // 100) & named[owners]
+            none = pa.nulls(int(keep.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(rows[owners[keep]]), pa.array(signed(values[keep])), *[none] * 5], names=names)
 
     return run
 
@@ -347,35 +341,32 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
     """
     root = new_run_root(spark, "ngram")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
-    sizes = stored(spark, docs.mapInArrow(_sizes(n), "doc_id long, tag long, n long, sum_a long, sum_b long"), root, "sizes")
-    # each set gets a number; the document with the smallest doc_id stands for it
+    rows = stored(spark, docs.mapInArrow(_rows(n, percent, word_counts(docs)), _ROWS), root, "rows")
+    sizes = rows.where("n is not null").drop("key")
+    # a set has the number of one of its rows; the document with the smallest doc_id stands for it
     sets = stored(
         spark,
         sizes.where("n > 0 and doc_id is not null")
         .groupBy("n", "sum_a", "sum_b")
-        .agg(F.min(F.struct("doc_id", "tag")).alias("of"))
-        .select("n", "sum_a", "sum_b", F.col("of.doc_id").alias("set_id"), F.col("of.tag").alias("set_tag"), F.monotonically_increasing_id().alias("node")),
+        .agg(F.min(F.struct("doc_id", "tag")).alias("of"), F.min("row").alias("node"))
+        .select("n", "sum_a", "sum_b", F.col("of.doc_id").alias("set_id"), F.col("of.tag").alias("set_tag"), "node"),
         root,
         "sets",
     )
     members = stored(
         spark,
-        sizes.join(sets, ["n", "sum_a", "sum_b"], "left").select("doc_id", "tag", F.col("n").alias("n_shingles"), "set_id", "node"),
+        sizes.join(sets, ["n", "sum_a", "sum_b"], "left").select("row", "doc_id", "tag", F.col("n").alias("n_shingles"), "set_id", "node"),
         root,
         "members",
     )
     repeats = not members.where("doc_id is not null").groupBy("doc_id", "tag").count().where("count > 1").isEmpty()
     known = docs.where("doc_id is not null")
-    counts = word_counts(docs)
-    firsts = stored(
-        spark, known.mapInArrow(_first_grams(n, percent, counts), "key long, doc_id long, tag long"), root, "firsts"
-    )
-    names = members.where("node is not null and doc_id is not null").select("doc_id", "tag", "node", F.col("n_shingles").alias("size")).distinct()
+    # from here on a row's number takes the place of its doc_id
+    firsts = rows.where("key is not null").select("key", F.col("row").alias("doc_id"), F.lit(0).alias("place"))
+    names = members.where("node is not null and doc_id is not null").select(F.col("row").alias("doc_id"), "node", F.col("n_shingles").alias("size"))
     blocks = stored(
         spark,
-        repeated(firsts.withColumn("place", F.lit(0)), lambda x: stored(spark, x, root, "runs"), ("tag",))
-        .join(names, ["doc_id", "tag"])
-        .select("key", "node", "size"),
+        repeated(firsts, lambda x: stored(spark, x, root, "runs")).join(names, "doc_id").select("key", "node", "size"),
         root,
         "blocks",
     )
