@@ -148,8 +148,10 @@ def _bitmaps(pdf: pd.DataFrame) -> pd.DataFrame:
     return _bitmap(pdf["sender"].iat[0], pdf["place"].to_numpy())
 
 
-#: Is the bit of a row's place set in the bitmap of its sender?
-_MARKED = "shiftright(CAST(conv(hex(substring(bits, CAST(place DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), place % 8) & 1 = 1"
+#: Is the bit of a row's place set in the bitmap of its sender? A bitmap ends at its last set bit: places behind that have no byte.
+_MARKED = (
+    "coalesce(shiftright(CAST(conv(hex(substring(bits, CAST(place DIV 8 AS INT) + 1, 1)), 16, 10) AS INT), place % 8) & 1 = 1, false)"
+)
 
 
 def _squeeze_batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:

@@ -75,3 +75,10 @@ def test_copies_under_shared_ids(spark, frame):
     assert kept([(3, "A"), (7, "A"), (7, "B"), *nameless]) == [(3, "A"), (7, "B"), *nameless]
     assert kept([(7, "a b"), (7, "a  b"), (8, "a b"), (9, "c"), *nameless]) == [(7, "a b"), (9, "c"), *nameless]
     assert kept([(1, "x"), (2, "y"), *nameless]) == [(1, "x"), (2, "y"), *nameless]
+
+
+def test_rows_behind_the_last_copy_stay(spark, frame):
+    """The bitmap of a sender ends with its last copy; the many rows behind that one are no copies."""
+    rows = [(0, "twice"), (1, "twice"), *((i, f"text {i}") for i in range(2, 40))]
+    kept = exact_dedup.drop_exact_copies(spark, frame(rows).coalesce(1))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, *range(2, 40)]
