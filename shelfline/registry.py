@@ -240,11 +240,8 @@ def bronze_odd_headers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
-def file_drop_mixed(spark: SparkSession, folder: str) -> DataFrame:
-    """Good and bad storefront files dropped together, and the drop read twice: what is in bronze and what in the rejects."""
-    root = new_run_root(spark, "mixed")
-    feed = _stored(spark, derived.raw_storefront(spark, folder), root, "raw")
+def _drop_storefront(feed: DataFrame, path: str) -> None:
+    """Files of three kinds, each written where its rows are: no task gathers the rows of a kind."""
     day = F.dayofmonth("order_date")
     files = {
         "good": feed.where(day <= 20),
@@ -252,8 +249,15 @@ def file_drop_mixed(spark: SparkSession, folder: str) -> DataFrame:
         "without_customers": feed.where(day > 25).drop("customer_id"),
     }
     for name, rows in files.items():
-        rows = rows.withColumn("kind", F.lit(name)).coalesce(1)
-        rows.write.mode("append").option("header", "true").csv(f"{root}/drop")
+        rows.withColumn("kind", F.lit(name)).write.mode("append").option("header", "true").csv(path)
+
+
+@query
+def file_drop_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """Good and bad storefront files dropped together, and the drop read twice: what is in bronze and what in the rejects."""
+    root = new_run_root(spark, "mixed")
+    feed = _stored(spark, derived.raw_storefront(spark, folder), root, "raw")
+    _drop_storefront(feed, f"{root}/drop")
     for _ in range(2):
         load_new_files(spark, f"{root}/drop", STOREFRONT_TABLE, root, f"{root}/checkpoint", BATCH)
     loaded = read_bronze(spark, root, STOREFRONT_TABLE).withColumn("_rules", F.lit(""))

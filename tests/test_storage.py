@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from shelfline import registry
 from shelfline.names import (
     BRONZE_TABLES,
     INVENTORY_FEED,
@@ -639,3 +640,11 @@ def test_command_line_steps(spark, root, capsys, monkeypatch):
     assert "'orders': 6" in out and "'inventory_turnover_mart': 4" in out and "PASSED" in out
     cli.main(["run", "--root", f"{root}/t", "--batch-id", "b-1", "--reload", "skip_loaded", *paths])
     assert "gold inventory_turnover_mart 4" in capsys.readouterr().out
+
+
+def test_a_kind_of_dropped_files_is_written_by_several_tasks(spark, root):
+    feed = spark.range(40).selectExpr("date_add(DATE '2026-06-01', CAST(id % 28 AS INT)) AS order_date", "id AS quantity", "'c' AS customer_id")
+    registry._drop_storefront(feed.repartition(4), f"{root}/drop")
+    dropped = spark.read.text(f"{root}/drop").select("_metadata.file_path", "value")
+    good = dropped.where("value LIKE '%,good'").groupBy("file_path").count().collect()
+    assert len(good) > 1 and dropped.where("value NOT LIKE 'order_date,%'").count() == 40
