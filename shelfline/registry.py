@@ -733,7 +733,8 @@ def layer_run_lineage(spark: SparkSession, folder: str) -> DataFrame:
 def layer_run_skipped(spark: SparkSession, folder: str) -> DataFrame:
     """A run on a new root whose storefront breaks its contract: rows and events of what was written."""
     root = new_run_root(spark, "skipped")
-    feeds = derived.raw_feeds(spark, folder) | {STOREFRONT_TABLE: derived.broken_storefront(spark, folder)}
+    lines = derived.stored_lines(spark, folder, root)
+    feeds = derived.raw_feeds(spark, folder, lines) | {STOREFRONT_TABLE: derived.broken_storefront(spark, folder, lines)}
     result = runs.run_layers(spark, root, feeds, BATCH)
     log = read_table(spark, runs.log_lineage(spark, root, result, "run-1", BATCH.ingested_at))
     written = spark.createDataFrame(result.counts(), "layer string, table_name string, row_count bigint")

@@ -20,6 +20,7 @@ from shelfline.operators.defects import (
     inject_nulls,
     inject_schema_drift,
 )
+from shelfline.sources.workspace import stored
 
 # Integer key carried through the defect rules and dropped at the end.
 KEY = "_key"
@@ -40,6 +41,18 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey"))
 
 
+#: What the feeds are made of, of an order line.
+LINE_COLUMNS = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate", "l_quantity", "l_extendedprice",
+    "o_custkey", "o_orderstatus",
+)
+
+
+def stored_lines(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    """The lines as a table below ``root``, for runs that read the feeds several times: they are joined once."""
+    return stored(spark, order_lines(spark, folder).select(*LINE_COLUMNS), root, "raw/lines")
+
+
 _LINE_KEY = f"l_orderkey * 10 + l_linenumber AS {KEY}"
 _CUSTOMER = f"{padded_id('CUST-', 'o_custkey', 5)} AS customer_id"
 _PRODUCT = padded_id("PROD-", "l_partkey", 4)
@@ -100,9 +113,9 @@ def raw_marketplace(spark: SparkSession, folder: str) -> DataFrame:
     return _damaged_marketplace(order_lines(spark, folder)).drop(KEY)
 
 
-def raw_sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Storefront and marketplace feed."""
-    lines = order_lines(spark, folder)
+def raw_sales(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Storefront and marketplace feed, cut from ``lines`` where those are stored."""
+    lines = order_lines(spark, folder) if lines is None else lines
     return _damaged_storefront(lines).drop(KEY), _damaged_marketplace(lines).drop(KEY)
 
 
@@ -128,8 +141,8 @@ def raw_inventory(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_feeds(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    storefront, marketplace = raw_sales(spark, folder)
+def raw_feeds(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> dict[str, DataFrame]:
+    storefront, marketplace = raw_sales(spark, folder, lines)
     return {
         STOREFRONT_TABLE: storefront,
         MARKETPLACE_TABLE: marketplace,
@@ -146,23 +159,23 @@ def _stamped(feed: DataFrame, source_system: str, date_column: str) -> DataFrame
     return inject_late_arrivals(stamped, date_column, KEY, shift=LATE_SHIFT).drop(KEY)
 
 
-def sales_history(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def sales_history(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Bronze storefront and marketplace filled by one batch a day, some rows late."""
-    lines = order_lines(spark, folder)
+    lines = order_lines(spark, folder) if lines is None else lines
     return (
         _stamped(_damaged_storefront(lines), STOREFRONT_TABLE, "order_date"),
         _stamped(_damaged_marketplace(lines), MARKETPLACE_TABLE, "order_timestamp"),
     )
 
 
-def broken_storefront(spark: SparkSession, folder: str) -> DataFrame:
+def broken_storefront(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
     """Storefront batch as text, breaking every kind of contract rule."""
 
     def spoiled(column: str, *defects: tuple[str, int]) -> str:
         cases = " ".join(f"WHEN {hit(KEY, 0.01, shift)} THEN {value}" for value, shift in defects)
         return f"CASE {cases} ELSE CAST({column} AS STRING) END AS {column}"
 
-    return _damaged_storefront(order_lines(spark, folder)).selectExpr(
+    return _damaged_storefront(order_lines(spark, folder) if lines is None else lines).selectExpr(
         "order_id",
         spoiled("product_id", ("NULL", 4000)),
         spoiled("order_date", ("'soon'", 5000)),

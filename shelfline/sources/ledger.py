@@ -29,12 +29,16 @@ from pyspark.sql.window import Window
 
 from shelfline.names import BATCH_COLUMNS, FEED_SCHEMAS, LOAD_COLUMN
 from shelfline.operators.batches import Batch
-from shelfline.sources.tables import path_exists, read_table, table_path, write_table
+from shelfline.sources.tables import partition_folder, path_exists, read_table, table_path, write_table
 
 LEDGER = "number long, batch_id string, load_id string, ingestion_date date, replaces boolean, row_count long, recorded_at string, dataset string"
 HISTORY = "version int, batch_id string, columns array<string>, added array<string>, dataset string"
 
 
+#: Batch columns that are the same for all rows of a load, and partitions within it.
+_OF_THE_LOAD = ("_ingestion_date", "_batch_id")
+
+
 @dataclass(frozen=True)
 class Load:
     batch_id: str
@@ -144,11 +148,12 @@ def store_load(
     columns = grow_schema(spark, root, layer, table, batch.batch_id, source, known)
     df = stamped.select(
         *[F.col(f"`{c}`") if c in source else F.lit(None).cast("string").alias(c) for c in columns],
-        *BATCH_COLUMNS,
-        F.lit(load_id).alias(LOAD_COLUMN),
+        *(c for c in BATCH_COLUMNS if c not in _OF_THE_LOAD),
     )
-    by = (LOAD_COLUMN, "_ingestion_date", "_batch_id")
-    rows = write_table(df, table_path(root, layer, table), "append", by, rebalance=False)
+    # all rows go to the one folder of the load, so nothing is sorted by partition before it is written
+    names = {LOAD_COLUMN: load_id, "_ingestion_date": batch.ingestion_date, "_batch_id": batch.batch_id}
+    folder = "/".join(partition_folder(c, v) for c, v in names.items())
+    rows = write_table(df, f"{table_path(root, layer, table)}/{folder}", "append", rebalance=False)
     record_loads(spark, root, layer, table, [Load(batch.batch_id, load_id, rows)], batch.ingestion_date, [replaces])
     return rows
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from uuid import uuid4
 
@@ -48,6 +49,12 @@ def read_layer(spark: SparkSession, root: str, layer: str, table: str, **options
     return read_table(spark, table_path(root, layer, table), **options)
 
 
+def partition_folder(column: str, value: str) -> str:
+    """The folder of a partition value, with the characters set apart that Spark sets apart in such names."""
+    name = re.sub(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""", lambda found: f"%{ord(found[0]):02X}", value)
+    return f"{column}={name or '__HIVE_DEFAULT_PARTITION__'}"
+
+
 def as_columns(names: str | Sequence[str] | None) -> list[str]:
     return [names] if isinstance(names, str) else list(names or ())
 

@@ -648,3 +648,21 @@ def test_a_kind_of_dropped_files_is_written_by_several_tasks(spark, root):
     dropped = spark.read.text(f"{root}/drop").select("_metadata.file_path", "value")
     good = dropped.where("value LIKE '%,good'").groupBy("file_path").count().collect()
     assert len(good) > 1 and dropped.where("value NOT LIKE 'order_date,%'").count() == 40
+
+
+def test_a_load_is_written_without_a_sort_by_its_own_partition(spark, root, monkeypatch):
+    written = []
+
+    def write(df, path, mode, partition_by=None, **options):
+        written.append(partition_by)
+        return write_table(df, path, mode, partition_by, **options)
+
+    monkeypatch.setattr(ledger, "write_table", write)
+    for batch_id in ("a/b c%=é: [1]", "plain"):
+        bronze.ingest(spark, root, {MARKETPLACE_TABLE: fx.marketplace(spark)}, Batch(batch_id, BATCH.ingested_at))
+    assert written.count(None) == 2 and all(by in (None, "dataset") for by in written)
+    rows = read_bronze(spark, root, MARKETPLACE_TABLE)
+    n = fx.marketplace(spark).count()
+    assert {(r[0], str(r[1])): r[2] for r in rows.groupBy("_batch_id", "_ingestion_date").count().collect()} == {
+        ("a/b c%=é: [1]", BATCH.ingestion_date): n, ("plain", BATCH.ingestion_date): n
+    }
