@@ -666,3 +666,16 @@ def test_a_load_is_written_without_a_sort_by_its_own_partition(spark, root, monk
     assert {(r[0], str(r[1])): r[2] for r in rows.groupBy("_batch_id", "_ingestion_date").count().collect()} == {
         ("a/b c%=é: [1]", BATCH.ingestion_date): n, ("plain", BATCH.ingestion_date): n
     }
+
+
+def test_differing_rows_are_counted_in_one_shuffle(spark, same_rows):
+    """As many as both differences of the bags together, and each table is shuffled once."""
+    one = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "n int, t string")
+    other = spark.createDataFrame([("a", 1), (None, 2), ("d", 3), ("d", 3)], "t string, n int")
+    found = registry._differing(one, other)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1
+    named = other.select(*one.columns)
+    assert found.collect()[0][0] == one.exceptAll(named).count() + named.exceptAll(one).count() == 6
+    assert registry._differing(one, one.where("true")).collect()[0][0] == 0
+    assert registry._differing(one.where("false"), one.where("false")).collect()[0][0] == 0
