@@ -8,7 +8,8 @@
    (doc_id, place) is the occurrence that stays.
 3. Suffixes of one document that follow each other against the same occurrence make a
    match, which is then extended word by word to the left and to the right. Matches that
-   touch are joined; stretches of at least ``min_words`` words are the result.
+   touch are joined; stretches of at least ``min_words`` words are the result. A run of one word
+   matches the same occurrence at each of its places; these travel together.
 4. The first occurrence of 34 words need not hold 50 words of the passage that later
    ones share. So every other occurrence also gives the digests of all stretches of 50
    words around its anchors that run over a border of its match. They are sorted in the
@@ -48,6 +49,8 @@ WINDOW = 16
 SEED = 34
 #: Words beside a match that can still belong to it: further out there would be another anchor.
 REACH = WINDOW + GRAM
+#: Places of a document that go in one row if the same occurrence matches them, as in runs of one word; further ones go in further rows.
+PLACES = 64
 
 
 def least_of_windows(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +100,7 @@ _FOUND = T.StructType(
         T.StructField("doc_id", T.LongType()),
         T.StructField("tag", T.LongType()),
         T.StructField("place", T.LongType()),
-        T.StructField("end", T.LongType()),
+        T.StructField("places", T.ArrayType(T.LongType())),
         T.StructField("lead_doc", T.LongType()),
         T.StructField("lead_first", T.LongType()),
         T.StructField("lead_last", T.LongType()),
@@ -126,7 +129,8 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
     """From documents with their hits: matches, stretches of ``size`` words over the borders of matches, and the words
     beside the occurrences that others were matched with."""
     names = [f.name for f in _FOUND]
-    kinds = (pa.int32(), *[pa.int64()] * 7, pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.int64()] * 3)
+    longs = pa.list_(pa.int64())
+    kinds = (pa.int32(), *[pa.int64()] * 3, longs, *[pa.int64()] * 3, pa.binary(), pa.binary(), longs, longs, *[pa.int64()] * 3)
     for batch in slices(batches):
         words = words_of(batch.column("text"))
         short = (words.hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -158,14 +162,20 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
                 first = np.flatnonzero(new)
                 last = np.r_[first[1:], len(h)] - 1
                 begin, end = h[first, 0], h[last, 0] + SEED
-                left, right = _beside(own, begin, end, 1)
-                for j, (b, e) in enumerate(zip(begin.tolist(), end.tolist(), strict=True)):
-                    # a match with an earlier place of the same document only bounds the stretches below
-                    if h[first[j], 1] != doc:
-                        rows.append(
-                            (MATCH, doc, tag, b, e, int(h[first[j], 1]), int(h[first[j], 2]), int(h[last[j], 2]), left[j], right[j],
-                             starts[max(0, b - REACH) : b + 1][::-1].tolist(), ends[e - 1 : e + REACH].tolist(), None, None, None)
-                        )
+                # a match with an earlier place of the same document only bounds the stretches below
+                other = np.flatnonzero(h[first, 1] != doc)
+                leads = np.column_stack([h[first, 1], h[first, 2], h[last, 2]])[other]
+                order = np.lexsort((begin[other], leads[:, 2], leads[:, 1], leads[:, 0]))
+                other, leads = other[order], leads[order]
+                groups = np.flatnonzero(np.r_[True, (leads[1:] != leads[:-1]).any(axis=1)]) if len(other) else []
+                for of in (g[k : k + PLACES] for g in np.split(other, groups[1:]) for k in range(0, len(g), PLACES)):
+                    b, e = begin[of], end[of]
+                    left, right = _beside(own, b, e, 1)
+                    beyond = np.arange(REACH + 1)  # behind the text's ends nothing is equal, so what stands there is never read
+                    char_starts = starts[np.maximum(b[:, None] - beyond, 0)].ravel()
+                    char_ends = ends[np.minimum(e[:, None] - 1 + beyond, len(ends) - 1)].ravel()
+                    lead_doc, lead_first, lead_last = int(h[first[of[0]], 1]), int(h[first[of[0]], 2]), int(h[last[of[0]], 2])
+                    rows.append((MATCH, doc, tag, None, b, lead_doc, lead_first, lead_last, b"".join(left), b"".join(right), char_starts, char_ends, *[None] * 3))
                 own_windows = slice(*np.searchsorted(windows, words.first[i : i + 2]))
                 at, anchor = windows[own_windows] - words.first[i], least[own_windows] - words.first[i]
                 order = np.argsort(h[:, 0], kind="stable")
@@ -183,7 +193,7 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
                 at = np.unique(at[signed(seeds[at + words.first[i]]) == keys])
                 left, right = _beside(own, at, at + SEED, 2)
                 rows += [
-                    (BESIDE, doc, tag, p, None, None, None, None, x, y, *[None] * 5) for p, x, y in zip(at.tolist(), left, right, strict=True)
+                    (BESIDE, doc, tag, p, *[None] * 4, x, y, *[None] * 5) for p, x, y in zip(at.tolist(), left, right, strict=True)
                 ]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
@@ -196,28 +206,32 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
 
 
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def equal(a: pa.Array, b: pa.Array) -> np.ndarray:
-        x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, REACH) for c in (a, b))
-        return np.cumprod(x == y, axis=1).sum(axis=1)
+    def hashes(column: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, REACH)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        left, right = equal(batch.column("left"), batch.column("lead_left")), equal(batch.column("right"), batch.column("lead_right"))
-        starts, ends = batch.column("char_starts").to_pylist(), batch.column("char_ends").to_pylist()
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                batch.column("tag"),
-                pa.array(batch.column("place").to_numpy() - left),
-                pa.array(batch.column("end").to_numpy() + right),
-                pa.array([s[n] for s, n in zip(starts, left.tolist(), strict=True)], pa.int64()),
-                pa.array([s[n] for s, n in zip(ends, right.tolist(), strict=True)], pa.int64()),
-                batch.column("lead_doc"),
-                pa.array(batch.column("lead_first").to_numpy() - left),
-            ],
-            names=["doc_id", "tag", "start", "end", "char_start", "char_end", "match_doc_id", "match_start"],
+        of = np.repeat(np.arange(batch.num_rows), batch.column("places").value_lengths().to_numpy())
+        left, right = (
+            np.cumprod(hashes(batch.column(side)) == hashes(batch.column(f"lead_{side}"))[of], axis=1).sum(axis=1) for side in ("left", "right")
+        )
+        doc_id, tag, lead_doc, lead_first, lead_last = (
+            batch.column(c).to_numpy()[of] for c in ("doc_id", "tag", "lead_doc", "lead_first", "lead_last")
         )
+        places, starts, ends = (batch.column(c).flatten().to_numpy() for c in ("places", "char_starts", "char_ends"))
+        at = np.arange(len(of)) * (REACH + 1)
+        columns = {
+            "doc_id": doc_id,
+            "tag": tag,
+            "start": places - left,
+            "end": places + lead_last - lead_first + SEED + right,
+            "char_start": starts[at + left],
+            "char_end": ends[at + right],
+            "match_doc_id": lead_doc,
+            "match_start": lead_first - left,
+        }
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], names=list(columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -111,3 +111,22 @@ def test_first_occurrence_holds_only_a_piece(spark, words):
     for r in spans:
         assert text[r.doc_id][r.start_word : r.start_word + r.n_words] == text[r.match_doc_id][r.match_start_word : r.match_start_word + r.n_words]
         assert " ".join(text[r.doc_id])[r.start_char : r.start_char + r.n_chars].split() == text[r.doc_id][r.start_word : r.start_word + r.n_words]
+
+
+def test_runs_of_one_word_travel_together(spark, words, monkeypatch):
+    """A run of one word matches the same occurrence at each of its places, which is one row for up to PLACES of them."""
+    rows = [(i, " ".join([*words(50 + i, 40), *["be"] * (150 + 10 * i), *words(80 + i, 45)])) for i in range(6)]
+    kept = {}
+
+    def stored(spark, df, root, name, write=suffix_dedup.stored):
+        kept[name] = write(spark, df, root, name)
+        return kept[name]
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spans = suffix_dedup.repeated_passages(spark, docs).collect()
+    hits = kept["hits"].where("doc_id <> lead_doc").count()
+    matches = kept["matches"].where(f"kind = {suffix_dedup.MATCH}").count()
+    assert hits > 600
+    assert matches <= hits // suffix_dedup.PLACES + 5
+    assert places(spans) == brute_force(rows)
