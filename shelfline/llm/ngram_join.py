@@ -151,7 +151,8 @@ def _pack_sets(n: int):
             data = pa.py_buffer(short.tobytes())
             offsets = pa.py_buffer(np.r_[0, ends].astype(np.int32).tobytes())
             grams = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, data])
-            yield pa.RecordBatch.from_arrays([batch.column("node"), grams], names=["node", "grams"])
+            along = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in along), grams], names=[*along, "grams"])
 
     return run
 
@@ -235,12 +236,16 @@ def _touched(pdf: pd.DataFrame, percent: int) -> tuple[np.ndarray, int]:
     return touched, pairs
 
 
+_PLACED = "cluster long, first long, second long, tile long, node long, size long, component long"
+
+
 def _candidates(percent: int):
-    """Documents of two tiles that may link with another component."""
+    """The documents of two tiles that may link with another component in these tiles."""
+    names = [c.split()[0] for c in _PLACED.split(", ")]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", ignore_index=True)
-        return pdf.loc[_touched(pdf, percent)[0], ["node"]]
+        return pdf.loc[_touched(pdf, percent)[0], names]
 
     return run
 
@@ -373,20 +378,22 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
     keys = stored(spark, blocks.groupBy("node").agg(F.collect_set("key").alias("keys")), root, "keys")
 
     def sets_of(nodes: DataFrame, name: str) -> DataFrame:
-        """Whole n-gram sets of some documents, from their texts."""
-        of = stored(spark, sets.join(nodes, "node", "left_semi").select("node", F.col("set_id").alias("doc_id"), F.col("set_tag").alias("tag")), root, f"{name}-nodes")
+        """Whole n-gram sets of some documents, from their texts; other columns of the distinct ``nodes`` go along."""
+        along = [c for c in nodes.columns if c != "node"]
+        of = stored(spark, sets.join(nodes, "node").select("node", *along, F.col("set_id").alias("doc_id"), F.col("set_tag").alias("tag")), root, f"{name}-nodes")
         # few documents find their texts without moving all of them
         wanted = F.broadcast(of) if of.count() <= BROADCAST_NODES else of
-        texts = known.join(wanted, ["doc_id", "tag"]).select("node", "text")
+        texts = known.join(wanted, ["doc_id", "tag"]).select("node", *along, "text")
         if repeats:  # a row that is repeated has its set once
             texts = texts.dropDuplicates(["node"])
-        return stored(spark, texts.mapInArrow(_pack_sets(n), "node long, grams binary"), root, name)
+        kinds = "".join(f"{c} long, " for c in along)
+        return stored(spark, texts.mapInArrow(_pack_sets(n), f"node long, {kinds}grams binary"), root, name)
 
     def fits(a: str, b: str):
         return (F.col(f"{a}_size") * 100 >= F.col(f"{b}_size") * percent) & (F.col(f"{b}_size") * 100 >= F.col(f"{a}_size") * percent)
 
     def counted(pairs: DataFrame, name: str) -> DataFrame:
-        """Links among the stored ``pairs`` (a, b, a_size, b_size), counted on the whole sets."""
+        """Links among the stored ``pairs`` (a, b, a_size, b_size), one for each b, counted on the whole sets."""
         of = {side: keys.select(F.col("node").alias(side), F.col("keys").alias(f"keys_{side}")) for side in "ab"}
         most = F.ceil(F.greatest("a_size", "b_size") * percent / 100) - 1
         common = F.size(F.array_intersect("keys_a", "keys_b")) + most
@@ -399,11 +406,11 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
             root,
             f"{name}-left",
         )
-        grams = sets_of(left.select(F.col("a").alias("node")).union(left.select(F.col("b").alias("node"))).distinct(), f"{name}-sets")
-        sides = {side: grams.select(F.col("node").alias(side), F.col("grams").alias(f"grams_{side}")) for side in "ab"}
+        # the sets of the one side know their other side from the start, so each moves once
+        seconds = sets_of(left.select(F.col("b").alias("node"), "a", "a_size", "b_size"), f"{name}-b").withColumnsRenamed({"node": "b", "grams": "grams_b"})
+        firsts = sets_of(left.select(F.col("a").alias("node")).distinct(), f"{name}-a").withColumnsRenamed({"node": "a", "grams": "grams_a"})
         common = (
-            left.join(sides["b"], "b")
-            .join(sides["a"], "a")
+            seconds.join(firsts, "a")
             .select("a", "b", "grams_a", "grams_b", "a_size", "b_size")
             .mapInArrow(_overlaps, "a long, b long, a_size long, b_size long, common long")
         )
@@ -466,12 +473,11 @@ def similar_documents(spark: SparkSession, docs: DataFrame, n: int = 5, percent:
         open_keys = stored(spark, rows.groupBy("node").agg(F.collect_set("key").alias("keys")), root, "open-keys")
         placed = stored(spark, members.join(pairs, ["cluster", "tile"]), root, "placed")
         by_tiles = ["cluster", "first", "second"]
-        found = stored(
-            spark, placed.join(open_keys, "node").groupBy(*by_tiles).applyInPandas(_candidates(percent), "node long").distinct(), root, "candidates"
-        )
-        grams = sets_of(found, "sets-2")
+        found = stored(spark, placed.join(open_keys, "node").groupBy(*by_tiles).applyInPandas(_candidates(percent), _PLACED), root, "candidates")
+        grams = sets_of(found.select("node").distinct(), "sets-2")
+        # a whole set goes to those pairs of tiles only in which it may link
         return (
-            placed.join(open_keys, "node")
+            found.join(open_keys, "node")
             .join(grams, "node")
             .groupBy(*by_tiles)
             .applyInPandas(_multiply(percent), "a long, b long, common long")

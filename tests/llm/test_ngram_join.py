@@ -1,5 +1,6 @@
 import re
 from itertools import combinations
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -114,6 +115,30 @@ def test_ranks_over_sort_partitions(spark, monkeypatch, tmp_path):
     assert {(r.cluster, r.node): r.tile for r in got} == {(c, n): i // 4 for c, ns in by_cluster.items() for i, n in enumerate(ns)}
 
 
+def test_sets_go_where_they_may_link(spark, rows, monkeypatch, tmp_path):
+    """Every row that brings its whole set to a pair of tiles has a possible link there."""
+    monkeypatch.setattr(ngram_join, "TILE", 3)
+    multiply = ngram_join._multiply
+
+    def noted(percent):
+        run = multiply(percent)
+
+        def of_tiles(pdf):
+            touched, _ = ngram_join._touched(pdf.sort_values("node", ignore_index=True), percent)
+            (tmp_path / uuid4().hex).write_text(f"{len(pdf)} {touched.sum()}")
+            return run(pdf)
+
+        return of_tiles
+
+    monkeypatch.setattr(ngram_join, "_multiply", noted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found, links = ngram_join.similar_documents(spark, docs, 5, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == brute_force(rows, 5, 80)
+    seen = [[int(n) for n in f.read_text().split()] for f in tmp_path.iterdir()]
+    assert sum(n for n, _ in seen) > 0
+    assert all(n == touched for n, touched in seen)
+
+
 def test_tile_products_by_bands(monkeypatch):
     rng = np.random.default_rng(4)
     monkeypatch.setattr(ngram_join, "BAND", 7)
