@@ -8,8 +8,8 @@
    (doc_id, place) is the occurrence that stays.
 3. Suffixes of one document that follow each other against the same occurrence make a
    match, which is then extended word by word to the left and to the right. Matches that
-   touch are joined; stretches of at least ``min_words`` words are the result. A run of one word
-   matches the same occurrence at each of its places; these travel together.
+   touch are joined; stretches of at least ``min_words`` words are the result. Texts that go round
+   in a few words have the same digest at many places, at equal steps: these are sorted as one row, and what they match travels together.
 4. The first occurrence of 34 words need not hold 50 words of the passage that later
    ones share. So every other occurrence also gives the digests of all stretches of 50
    words around its anchors that run over a border of its match. They are sorted in the
@@ -37,7 +37,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from shelfline.llm.sorted_runs import repeated
 from shelfline.llm.words import Words, signed, slices, words_of
@@ -77,6 +76,23 @@ def anchors(words: Words) -> np.ndarray:
     return np.unique(least_of_windows(words)[1])
 
 
+def _rows_of(places: np.ndarray, farthest: int, *equal: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows of places with equal values that follow each other at equal steps, ``farthest`` at most, as in texts that go round
+    in a few words: the first and the last of each row, the step, and the number of places."""
+    order = np.lexsort((places, *equal))
+    step = np.diff(places[order])
+    apart = step > farthest
+    for values in equal:
+        apart |= values[order][1:] != values[order][:-1]
+    new = np.r_[True, apart][: len(order)]
+    new[2:] |= ~apart[:-1] & (step[1:] != step[:-1])
+    first = np.flatnonzero(new)
+    size = np.diff(first, append=len(order))
+    steps = np.ones(len(first), np.int64)
+    steps[size > 1] = step[first[size > 1]]
+    return order[first], order[first + size - 1], steps, size
+
+
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         words = words_of(batch.column("text"))
@@ -84,11 +100,13 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = anchors(words)
         places = places[places < len(digests)]
         places = places[whole[places]]
+        first, _, step, run = _rows_of(places, SEED, digests[places], words.owner[places])
+        places = places[first]
         owner = words.owner[places]
         ids, tags = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[owner] for c in ("doc_id", "tag"))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(signed(digests[places])), pa.array(ids), pa.array(places - words.first[owner]), pa.array(tags)],
-            names=["key", "doc_id", "place", "tag"],
+            [pa.array(signed(digests[places])), pa.array(ids), pa.array(places - words.first[owner]), pa.array(tags), pa.array(step), pa.array(run)],
+            names=["key", "doc_id", "place", "tag", "step", "run"],
         )
 
 
@@ -111,6 +129,8 @@ _FOUND = T.StructType(
         T.StructField("key", T.LongType()),
         T.StructField("char_start", T.LongType()),
         T.StructField("char_end", T.LongType()),
+        T.StructField("step", T.LongType()),
+        T.StructField("run", T.LongType()),
     ]
 )
 
@@ -130,7 +150,7 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
     beside the occurrences that others were matched with."""
     names = [f.name for f in _FOUND]
     longs = pa.list_(pa.int64())
-    kinds = (pa.int32(), *[pa.int64()] * 3, longs, *[pa.int64()] * 3, pa.binary(), pa.binary(), longs, longs, *[pa.int64()] * 3)
+    kinds = (pa.int32(), *[pa.int64()] * 3, longs, *[pa.int64()] * 3, pa.binary(), pa.binary(), longs, longs, *[pa.int64()] * 5)
     for batch in slices(batches):
         words = words_of(batch.column("text"))
         short = (words.hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -175,16 +195,17 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
                     char_starts = starts[np.maximum(b[:, None] - beyond, 0)].ravel()
                     char_ends = ends[np.minimum(e[:, None] - 1 + beyond, len(ends) - 1)].ravel()
                     lead_doc, lead_first, lead_last = int(h[first[of[0]], 1]), int(h[first[of[0]], 2]), int(h[last[of[0]], 2])
-                    rows.append((MATCH, doc, tag, None, b, lead_doc, lead_first, lead_last, b"".join(left), b"".join(right), char_starts, char_ends, *[None] * 3))
+                    rows.append((MATCH, doc, tag, None, b, lead_doc, lead_first, lead_last, b"".join(left), b"".join(right), char_starts, char_ends, *[None] * 5))
                 own_windows = slice(*np.searchsorted(windows, words.first[i : i + 2]))
                 at, anchor = windows[own_windows] - words.first[i], least[own_windows] - words.first[i]
                 order = np.argsort(h[:, 0], kind="stable")
                 hit = order[np.minimum(np.searchsorted(h[order, 0], anchor), len(h) - 1)]
                 match = np.cumsum(new)[hit] - 1
                 at = at[(h[hit, 0] == anchor) & ((at < begin[match]) | (at + size > end[match]))]
-                stretches.append(
-                    np.column_stack([np.full(len(at), doc), np.full(len(at), tag), at, signed(digests[at + words.first[i]]), starts[at], ends[at + size - 1]])
-                )
+                keys = signed(digests[at + words.first[i]])
+                one, to, step, run = _rows_of(at, size, keys)
+                at, keys, to = at[one], keys[one], at[to]
+                stretches.append(np.column_stack([np.full(len(at), doc), np.full(len(at), tag), at, keys, starts[at], ends[to + size - 1], step, run]))
             if wanted[i].is_valid:
                 w = wanted[i].values
                 at, keys = (w.field(c).to_numpy(zero_copy_only=False) for c in ("lead_place", "key"))
@@ -193,18 +214,22 @@ def _matches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
                 at = np.unique(at[signed(seeds[at + words.first[i]]) == keys])
                 left, right = _beside(own, at, at + SEED, 2)
                 rows += [
-                    (BESIDE, doc, tag, p, *[None] * 4, x, y, *[None] * 5) for p, x, y in zip(at.tolist(), left, right, strict=True)
+                    (BESIDE, doc, tag, p, *[None] * 4, x, y, *[None] * 7) for p, x, y in zip(at.tolist(), left, right, strict=True)
                 ]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
         if n := sum(map(len, stretches)):
             parts = np.ascontiguousarray(np.concatenate(stretches).T)
-            columns = {"kind": np.full(n, STRETCH, np.int32)} | dict(zip(("doc_id", "tag", "place", "key", "char_start", "char_end"), parts, strict=True))
+            columns = {"kind": np.full(n, STRETCH, np.int32)} | dict(zip(("doc_id", "tag", "place", "key", "char_start", "char_end", "step", "run"), parts, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, kinds, strict=True)], names=names
             )
 
 
+#: Stretches of a document with the place that each repeats; those that come of one row travel in one row.
+_SPANS = "array<struct<start: long, end: long, char_start: long, char_end: long, match_doc_id: long, match_start: long>>"
+
+
 def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def hashes(column: pa.Array) -> np.ndarray:
         return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, REACH)
@@ -212,18 +237,15 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        of = np.repeat(np.arange(batch.num_rows), batch.column("places").value_lengths().to_numpy())
+        sizes = batch.column("places").value_lengths().to_numpy()
+        of = np.repeat(np.arange(batch.num_rows), sizes)
         left, right = (
             np.cumprod(hashes(batch.column(side)) == hashes(batch.column(f"lead_{side}"))[of], axis=1).sum(axis=1) for side in ("left", "right")
         )
-        doc_id, tag, lead_doc, lead_first, lead_last = (
-            batch.column(c).to_numpy()[of] for c in ("doc_id", "tag", "lead_doc", "lead_first", "lead_last")
-        )
+        lead_doc, lead_first, lead_last = (batch.column(c).to_numpy()[of] for c in ("lead_doc", "lead_first", "lead_last"))
         places, starts, ends = (batch.column(c).flatten().to_numpy() for c in ("places", "char_starts", "char_ends"))
         at = np.arange(len(of)) * (REACH + 1)
         columns = {
-            "doc_id": doc_id,
-            "tag": tag,
             "start": places - left,
             "end": places + lead_last - lead_first + SEED + right,
             "char_start": starts[at + left],
@@ -231,7 +253,59 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "match_doc_id": lead_doc,
             "match_start": lead_first - left,
         }
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], names=list(columns))
+        spans = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], names=list(columns))
+        offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("tag"), pa.ListArray.from_arrays(offsets, spans)], names=["doc_id", "tag", "spans"]
+        )
+
+
+def _touching(start: np.ndarray, end: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by ``keys``, start and end, and where in it each run of spans begins that have equal keys and overlap or touch."""
+    order = np.lexsort((end, start, *keys[::-1]))
+    others = np.zeros(len(order), bool)
+    for key in keys:
+        others[1:] |= key[order][1:] != key[order][:-1]
+    # spans of later keys lie behind all of the earlier ones
+    apart = np.cumsum(others) * (int(end.max()) + 2)
+    reached = np.maximum.accumulate(end[order] + apart)
+    return order, np.flatnonzero(np.r_[True, reached[:-1] < (start[order] + apart)[1:]])
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """From documents with all their spans: the stretches that these make together, with the longest match in each."""
+    for batch in batches:
+        lists = batch.column("spans")
+        spans = lists.flatten()
+        if not len(spans):
+            continue
+        of = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+        start, end, char_start, char_end, match, match_start = (spans.field(i).to_numpy(zero_copy_only=False) for i in range(6))
+        # what overlaps and repeats the same place is one match
+        order, first = _touching(start, end, of, match, match_start - start)
+        of, match = of[order][first], match[order][first]
+        start, char_start, match_start = (np.minimum.reduceat(c[order], first) for c in (start, char_start, match_start))
+        end, char_end = (np.maximum.reduceat(c[order], first) for c in (end, char_end))
+        order, first = _touching(start, end, of)
+        stretch = np.empty(len(order), np.int64)
+        stretch[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
+        by_length = np.lexsort((-match_start, -match, end - start, stretch))
+        longest = by_length[np.r_[first[1:], len(order)] - 1]
+        begin, char_begin = (np.minimum.reduceat(c[order], first) for c in (start, char_start))
+        n_words, n_chars = (np.maximum.reduceat(c[order], first) - b for c, b in ((end, begin), (char_end, char_begin)))
+        doc_id, tag = (batch.column(c).to_numpy()[of[order][first]] for c in ("doc_id", "tag"))
+        columns = {
+            "doc_id": doc_id,
+            "text_hash": tag,
+            "start_word": begin,
+            "n_words": n_words,
+            "start_char": char_begin,
+            "n_chars": n_chars,
+            "match_doc_id": match[longest],
+            "match_start_word": match_start[longest],
+        }
+        kept = pa.array(n_words >= min_words)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], names=list(columns)).filter(kept)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -245,10 +319,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, min_words: int = MIN
     size = min(min_words, MIN_WORDS)
     root = new_run_root(spark, "suffixes")
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
-    suffixes = stored(spark, docs.mapInArrow(_suffixes, "key long, doc_id long, place long, tag long"), root, "suffixes")
+    suffixes = stored(spark, docs.mapInArrow(_suffixes, "key long, doc_id long, place long, tag long, step long, run long"), root, "suffixes")
     hits = stored(
         spark,
-        repeated(suffixes, lambda x: stored(spark, x, root, "runs"), ("tag",)).where("doc_id <> lead_doc or place <> lead_place"),
+        repeated(suffixes, lambda x: stored(spark, x, root, "runs"), ("tag", "step", "run"))
+        .selectExpr("key", "doc_id", "explode(sequence(place, place + step * (run - 1), step)) AS place", "tag", "lead_doc", "lead_place")
+        .where("doc_id <> lead_doc or place <> lead_place"),
         root,
         "hits",
     )
@@ -267,49 +343,28 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, min_words: int = MIN
     left = beside.select(F.col("doc_id").alias("lead_doc"), F.col("place").alias("lead_first"), F.col("left").alias("lead_left"))
     right = beside.select(F.col("doc_id").alias("lead_doc"), F.col("place").alias("lead_last"), F.col("right").alias("lead_right"))
     spans = matches.join(left, ["lead_doc", "lead_first"]).join(right, ["lead_doc", "lead_last"]).mapInArrow(
-        _extend, "doc_id long, tag long, start long, end long, char_start long, char_end long, match_doc_id long, match_start long"
+        _extend, f"doc_id long, tag long, spans {_SPANS}"
     )
+    # stretches of a row touch and so are one in the end: each may have the characters of all
     further = (
-        repeated(found.where(F.col("kind") == STRETCH), lambda x: stored(spark, x, root, "stretches"), ("char_start", "char_end", "tag"))
+        repeated(found.where(F.col("kind") == STRETCH), lambda x: stored(spark, x, root, "stretches"), ("char_start", "char_end", "tag", "step", "run"))
         .where("doc_id <> lead_doc")
-        .select(
+        .selectExpr(
             "doc_id",
             "tag",
-            F.col("place").alias("start"),
-            (F.col("place") + size).alias("end"),
-            "char_start",
-            "char_end",
-            F.col("lead_doc").alias("match_doc_id"),
-            F.col("lead_place").alias("match_start"),
+            f"""transform(sequence(place, place + step * (run - 1), step), x -> named_struct('start', x, 'end', x + {size}L, 'char_start', char_start,
+                'char_end', char_end, 'match_doc_id', lead_doc, 'match_start', lead_place)) AS spans""",
         )
     )
-    # what overlaps and repeats the same place is one match
-    spans = spans.unionByName(further).withColumn("shift", F.col("match_start") - F.col("start"))
-    in_row = Window.partitionBy("doc_id", "tag", "match_doc_id", "shift").orderBy("start", "end")
-    ended = F.max("end").over(in_row.rowsBetween(Window.unboundedPreceding, -1))
-    spans = (
-        spans.withColumn("new", (F.coalesce(ended, F.lit(-1)) < F.col("start")).cast("int"))
-        .withColumn("part", F.sum("new").over(in_row))
-        .groupBy("doc_id", "tag", "match_doc_id", "shift", "part")
-        .agg(*(f(c).alias(c) for c, f in (("start", F.min), ("end", F.max), ("char_start", F.min), ("char_end", F.max), ("match_start", F.min))))
-    )
-    in_order = Window.partitionBy("doc_id", "tag").orderBy("start", "end", "match_doc_id", "match_start")
-    so_far = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    longest = F.struct((F.col("end") - F.col("start")).alias("n"), -F.col("match_doc_id"), -F.col("match_start"))
+    # a document has no more spans than words
     return (
-        spans.withColumn("new", (F.coalesce(so_far, F.lit(-1)) < F.col("start")).cast("int"))
-        .withColumn("stretch", F.sum("new").over(in_order))
-        .groupBy("doc_id", F.col("tag").alias("text_hash"), "stretch")
-        .agg(
-            F.min("start").alias("start_word"),
-            (F.max("end") - F.min("start")).alias("n_words"),
-            F.min("char_start").alias("start_char"),
-            (F.max("char_end") - F.min("char_start")).alias("n_chars"),
-            F.max_by("match_doc_id", longest).alias("match_doc_id"),
-            F.max_by("match_start", longest).alias("match_start_word"),
+        spans.unionByName(further)
+        .groupBy("doc_id", "tag")
+        .agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        .mapInArrow(
+            partial(_stretches, min_words=min_words),
+            "doc_id long, text_hash long, start_word long, n_words long, start_char long, n_chars long, match_doc_id long, match_start_word long",
         )
-        .where(F.col("n_words") >= min_words)
-        .drop("stretch")
     )
 
 

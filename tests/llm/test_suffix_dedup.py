@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from shelfline.llm import suffix_dedup
 
 N = 50
@@ -130,3 +133,85 @@ def test_runs_of_one_word_travel_together(spark, words, monkeypatch):
     assert hits > 600
     assert matches <= hits // suffix_dedup.PLACES + 5
     assert places(spans) == brute_force(rows)
+
+
+def test_texts_that_go_round_are_sorted_in_few_rows(spark, words, monkeypatch):
+    """The suffixes, and the stretches over borders, of a text that goes round in one or two words are few rows, and nothing found is lost."""
+    rows = []
+    for i in range(8):
+        rounds = ["be"] * (300 + 10 * i) if i % 2 else ["to", "be"] * (150 + 5 * i)
+        rows.append((i, " ".join([*words(50 + i, 40), *rounds, *words(80 + i, 45)])))
+    kept = {}
+
+    def stored(spark, df, root, name, write=suffix_dedup.stored):
+        kept[name] = write(spark, df, root, name)
+        return kept[name]
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    spans = suffix_dedup.repeated_passages(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert kept["runs"].count() < 100
+    assert kept["stretches"].count() < 100
+    assert places(spans) == brute_force(rows)
+    for r in spans:
+        cut = dict(rows)[r.doc_id][r.start_char : r.start_char + r.n_chars].split()
+        assert cut == dict(rows)[r.doc_id].split()[r.start_word : r.start_word + r.n_words]
+
+
+def test_places_of_one_row_stay_in_one_row():
+    """Places that one occurrence matches are extended each by itself, and leave in the row in which they came."""
+    reach, seed = suffix_dedup.REACH, suffix_dedup.SEED
+    same, other = np.zeros(reach, np.uint32), np.ones(reach, np.uint32)
+    beyond = np.arange(reach + 1)
+    places = [30, 31, 90]
+    row = {
+        "doc_id": 7,
+        "tag": 1,
+        "places": places,
+        "lead_doc": 3,
+        "lead_first": 40,
+        "lead_last": 50,
+        "left": b"".join(x.tobytes() for x in (same, np.r_[same[:2], other[2:]], other)),
+        "right": b"".join(x.tobytes() for x in (other, other, same)),
+        "lead_left": same.tobytes(),
+        "lead_right": same.tobytes(),
+        "char_starts": [2 * x for p in places for x in (p - beyond).tolist()],
+        "char_ends": [2 * x for p in places for x in (p + 10 + seed + beyond).tolist()],
+    }
+    out = [r for b in suffix_dedup._extend(iter([pa.RecordBatch.from_pylist([row])])) for r in b.to_pylist()]
+    assert len(out) == 1
+    found = [(x["start"], x["end"], x["char_start"], x["char_end"], x["match_doc_id"], x["match_start"]) for x in out[0]["spans"]]
+    ends = [30 + 10 + seed, 31 + 10 + seed, 90 + 10 + seed + reach]
+    starts = [30 - reach, 29, 90]
+    assert found == [(s, e, 2 * s, 2 * e, 3, 40 - p + s) for p, s, e in zip(places, starts, ends)]
+
+
+def test_stretches_are_those_of_a_plain_rule():
+    """Spans of the same shift that touch are one match; matches that touch are one stretch, named by its longest match."""
+    rng = random.Random(8)
+    docs = [
+        [(s, s + rng.randrange(20, 60), rng.randrange(3), s + rng.choice((-5, 0, 3))) for s in (rng.randrange(900) for _ in range(rng.randrange(1, 25)))]
+        for _ in range(80)
+    ]
+
+    def joined(spans):
+        found = []
+        for s in sorted(spans):
+            if found and found[-1][1] >= s[0]:
+                found[-1] = (found[-1][0], max(found[-1][1], s[1]), found[-1][2] + s[2])
+            else:
+                found.append(s)
+        return found
+
+    expected = []
+    for doc, spans in enumerate(docs):
+        matches = []
+        for lead, shift in sorted({(lead, at - s) for s, _, lead, at in spans}):
+            matches += [(s, e, [(e - s, -lead, -(s + shift))]) for s, e, _ in joined([(s, e, []) for s, e, k, at in spans if (k, at - s) == (lead, shift)])]
+        for s, e, of in joined(matches):
+            _, lead, at = max(of)
+            expected += [(doc, s, e - s, 2 * s, 2 * (e - s), -lead, -at)] if e - s >= N else []
+    kind = pa.list_(pa.struct([(c, pa.int64()) for c in ("start", "end", "char_start", "char_end", "match_doc_id", "match_start")]))
+    rows = [[dict(start=s, end=e, char_start=2 * s, char_end=2 * e, match_doc_id=k, match_start=at) for s, e, k, at in d] for d in docs]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(80)), pa.array(range(80)), pa.array(rows, kind)], names=["doc_id", "tag", "spans"])
+    got = [tuple(v for c, v in r.items() if c != "text_hash") for b in suffix_dedup._stretches(iter([batch]), N) for r in b.to_pylist()]
+    assert sorted(got) == sorted(expected)
